@@ -9,10 +9,20 @@ from pyspark.sql import types as T
 from corpusloom.functions import patterns as P
 from corpusloom.functions.text import first_nonempty
 
-CANONICAL = T.StructType.fromDDL(
-    "id string, text string, source string, language string, domain string, token_count bigint,"
-    " quality_score double, dedup_signature string, safety_flags array<string>, filtered boolean,"
-    " filter_reason string, metadata map<string,string>"
+CANONICAL = (
+    T.StructType()
+    .add("id", "string")
+    .add("text", "string")
+    .add("source", "string")
+    .add("language", "string")
+    .add("domain", "string")
+    .add("token_count", "long")
+    .add("quality_score", "double")
+    .add("dedup_signature", "string")
+    .add("safety_flags", T.ArrayType(T.StringType()))
+    .add("filtered", "boolean")
+    .add("filter_reason", "string")
+    .add("metadata", T.MapType(T.StringType(), T.StringType()))
 )
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
@@ -61,7 +71,7 @@ def normalize_records(df: DataFrame) -> DataFrame:
         "source": one_of(text_field("source", "unknown"), P.VALID_SOURCES),
         "language": one_of(text_field("language", "unknown"), P.VALID_LANGUAGES),
         "domain": text_field("domain", "unknown"),
-        "token_count": number("token_count", "bigint"),
+        "token_count": number("token_count", "long"),
         "quality_score": number("quality_score", "double"),
         "dedup_signature": text_field("dedup_signature"),
         "safety_flags": F.coalesce(flags, no_flags),
