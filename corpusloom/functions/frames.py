@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +54,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(df: DataFrame) -> DataFrame:
+    """Let Spark copy this package to the Python workers; called before the few steps that run Python there."""
+    context = df.sparkSession.sparkContext
+    package = Path(__file__).resolve().parent.parent
+    if not any(name.endswith(f"/{package.name}.zip") or name == f"{package.name}.zip" for name in context.listFiles):
+        folder = tempfile.mkdtemp(prefix=f"{package.name}-")
+        archive = shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+    return df

@@ -14,6 +14,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from corpusloom.functions.frames import ship_package
+
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -121,7 +123,7 @@ def gram_sets(rows: DataFrame, n: int) -> DataFrame:
         for batch in batches:
             yield pd.DataFrame({"ord": batch["ord"], "grams": [gram_hashes(t, n).view(np.int64) for t in batch["gram_text"]]})
 
-    return rows.select("ord", "gram_text").mapInPandas(run, "ord bigint, grams array<bigint>")
+    return ship_package(rows).select("ord", "gram_text").mapInPandas(run, "ord bigint, grams array<bigint>")
 
 
 def sketches(rows: DataFrame, n: int, tokens_of) -> DataFrame:
@@ -140,4 +142,4 @@ def sketches(rows: DataFrame, n: int, tokens_of) -> DataFrame:
             )
 
     schema = "ord bigint, size bigint, signature string, tokens array<bigint>"
-    return rows.select("ord", "gram_text").mapInPandas(run, schema)
+    return ship_package(rows).select("ord", "gram_text").mapInPandas(run, schema)

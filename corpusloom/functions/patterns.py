@@ -41,20 +41,25 @@ PARSER_CODE = "code_plain_text"
 PARSER_INSTRUCTION = "instruction_template"
 SKIPPED_TAGS = ["script", "style", "nav", "footer", "noscript", "header"]
 
-URL = rf"(?iu)https?://{NOT_WS}+|www\.{NOT_WS}+"
+# A pattern that opens with a plain class or a look-ahead for one is skipped quickly at most positions;
+# these openings only rule out impossible starts (\x{17f} and \x{212a} are the other cases of s and k).
+URL = rf"(?=[hHwW][tTwW])(?iu:https?://{NOT_WS}+|www\.{NOT_WS}+)"
 EMAIL = EDGE + r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}" + EDGE
 PHONE = (
-    rf"(?<!{DIGIT})(?:\+?{DIGIT}{{1,3}}[-{WS_RANGES}]?)?"
+    rf"(?=[+{DIGIT}])(?<!{DIGIT})(?:\+?{DIGIT}{{1,3}}[-{WS_RANGES}]?)?"
     rf"(?:1[3-9]{DIGIT}{{9}}|{DIGIT}{{3}}[-.{WS_RANGES}]?{DIGIT}{{3}}[-.{WS_RANGES}]?{DIGIT}{{4}})(?!{DIGIT})"
 )
-ID_CARD = rf"(?<!{DIGIT})(?:{DIGIT}{{15}}|{DIGIT}{{17}}[{DIGIT}Xx])(?!{DIGIT})"
+# 15 digits, or 17 digits and a digit or X.
+ID_CARD = rf"{DIGIT}(?<!{DIGIT}{DIGIT}){DIGIT}{{14}}(?:{DIGIT}{{2}}[{DIGIT}Xx])?(?!{DIGIT})"
 API_KEY = (
     rf"(?iu)(?:api[_-]?key|access[_-]?key|secret|token|password){WS}*[:=]{WS}*['\"]?[A-Za-z0-9_\-]{{8,}}"
     r"|sk-[A-Za-z0-9_\-]{10,}"
 )
+# Every match of API_KEY has one of these.
+API_KEY_MARKS = [":", "=", "k-", "K-", "\N{KELVIN SIGN}-"]
 SENSITIVE = (
-    # The look-ahead only rules out impossible starts early.
-    rf"(?iu)(?=[psab])(?<!{WORD})(?:password|secret|api[_-]?key|access[_-]?token|bearer{WS}+[A-Za-z0-9_\-.]+){EDGE}"
+    rf"(?=[pPsSaAbB\x{{17f}}][aAeEpPcC])(?<!{WORD})"
+    rf"(?iu:password|secret|api[_-]?key|access[_-]?token|bearer{WS}+[A-Za-z0-9_\-.]+){EDGE}"
 )
 PII_FLAGS = ["email", "phone", "id_card", "api_key", "sensitive_keyword"]
 
@@ -65,6 +70,8 @@ CODE_KEYWORDS = [
 ]
 
 TOKEN = rf"[{CJK_RANGE}]|[A-Za-z_]+(?:'[A-Za-z]+)?|{DIGIT}+(?:\.{DIGIT}+)?|{NOT_WS}"
+# The tokens of TOKEN that can be longer than one character.
+LONG_TOKEN = rf"[A-Za-z_{DIGIT}](?:(?<=[A-Za-z_])[A-Za-z_]*(?:'[A-Za-z]+)?|(?<={DIGIT}){DIGIT}*(?:\.{DIGIT}+)?)"
 SIMHASH_TOKEN = rf"{WORD}+|[^\p{{L}}\p{{N}}_{WS_RANGES}]"
 
 LENGTH_BUCKETS = [(32, "0-32"), (128, "33-128"), (512, "129-512"), (2048, "513-2048"), (None, "2049+")]
@@ -72,7 +79,7 @@ QUALITY_BUCKETS = [(0.75, "high"), (0.45, "medium"), (None, "low")]
 # --- end of fixed values ------------------------------------------------------------------------
 
 CODE_SYMBOL_CLASS = "[" + "".join("\\" + c for c in CODE_SYMBOLS if c != "_") + "_]"
-CODE_KEYWORD = rf"(?<!{WORD})(?:{'|'.join(CODE_KEYWORDS)})(?!{WORD})"
+CODE_KEYWORD = rf"(?=[dcirfwetlv][elmohfxrua])(?<!{WORD})(?:{'|'.join(CODE_KEYWORDS)})(?!{WORD})"
 
 
 @lru_cache(maxsize=None)

@@ -7,6 +7,8 @@ compute it once with :func:`corpusloom.functions.frames.once`.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -35,11 +37,13 @@ def compact_whitespace(c: Column | str) -> Column:
 
 def normalize_text(c: Column | str) -> Column:
     """Unify line ends, drop control/format characters, collapse blanks and blank lines, trim."""
-    v = F.regexp_replace(F.coalesce(col_of(c), F.lit("")), r"\r\n?", "\n")
+    v = F.replace(F.coalesce(col_of(c), F.lit("")), F.lit("\r\n"), F.lit("\n"))
+    v = F.replace(v, F.lit("\r"), F.lit("\n"))
     v = F.regexp_replace(v, r"[\p{C}&&[^\n\t]]+", "")
-    # Form feed and vertical tab are control characters and gone by now; a lone space stays as it is.
-    v = F.regexp_replace(v, r"[ \t]{2,}|\t", " ")
-    v = F.regexp_replace(v, r" +\n *|\n +", "\n")
+    # Form feed and vertical tab are control characters and gone by now.  A lone space and a line end
+    # without spaces around are no matches, because there is nothing to change.
+    v = F.regexp_replace(v, r"[ \t](?:(?<=\t)|[ \t])[ \t]*", " ")
+    v = F.regexp_replace(v, r"[ \n](?:(?<=\n) |(?<= )\n ?)", "\n")
     return strip(F.regexp_replace(v, r"\n{3,}", "\n\n"))
 
 
@@ -106,7 +110,7 @@ def pii_flags(c: Column | str) -> Column:
         "email": F.contains(v, F.lit("@")) & v.rlike(P.EMAIL),
         "phone": v.rlike(P.PHONE),
         "id_card": v.rlike(P.ID_CARD),
-        "api_key": v.rlike(P.API_KEY),
+        "api_key": reduce(Column.__or__, [F.contains(v, F.lit(m)) for m in P.API_KEY_MARKS]) & v.rlike(P.API_KEY),
         "sensitive_keyword": v.rlike(P.SENSITIVE),
     }
     marks = F.array(*[F.when(found[name], name).otherwise("") for name in P.PII_FLAGS])
@@ -167,7 +171,8 @@ def tokens(c: Column | str) -> Column:
 
 
 def token_count(c: Column | str) -> Column:
-    return F.regexp_count(col_of(c), F.lit(P.TOKEN)).cast("bigint")
+    """Size of :func:`tokens`: shrink every longer token to one character, then count the visible ones."""
+    return F.length(visible_chars(F.regexp_replace(col_of(c), P.LONG_TOKEN, "x"))).cast("bigint")
 
 
 def length_bucket(n: Column | str) -> Column:

@@ -59,12 +59,13 @@ def filter_reason(text: Column, flags: Column, config: CleanConfig, counters: st
     return reason.when(low_information, "low_information").otherwise("")
 
 
-def clean(df: DataFrame, config: CleanConfig = CleanConfig(), keep_counters: bool = False) -> DataFrame:
+def clean(df: DataFrame, config: CleanConfig = CleanConfig(), keep_counters: bool = False, canonical: bool = False) -> DataFrame:
     """Canonical rows with normalised text, language, safety flags and the filter verdict.
 
-    Purely row by row: no shuffle, and usable on a stream.
+    Purely row by row: no shuffle, and usable on a stream.  ``canonical`` says that the rows have been
+    through ``normalize_records`` already.
     """
-    df = once(normalize_records(df), text=X.normalize_text("text"))
+    df = once(df if canonical else normalize_records(df), text=X.normalize_text("text"))
     df = with_counters(df)
     df = once(
         df,

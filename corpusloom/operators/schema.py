@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import patterns as P
-from corpusloom.functions.text import first_nonempty
 
 CANONICAL = (
     T.StructType()
@@ -28,42 +27,46 @@ CANONICAL = (
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
 
 
-def one_of(c: Column, allowed: list[str], fallback: str = "unknown") -> Column:
-    return F.when(c.isin(allowed), c).otherwise(fallback)
+EMPTY_MAP = "cast(map() AS map<string,string>)"
 
 
-def with_metadata_defaults(metadata: Column) -> Column:
+def sql_list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def one_of(x: str, allowed: list[str], fallback: str = "unknown") -> str:
+    return f"CASE WHEN {x} IN ({sql_list(allowed)}) THEN {x} ELSE '{fallback}' END"
+
+
+def with_metadata_defaults(metadata: str) -> str:
     """Fill in the default keys; keys that are present win."""
-    given = F.coalesce(metadata, F.create_map().cast("map<string,string>"))
-    defaults = F.create_map(*[F.lit(x) for kv in P.METADATA_DEFAULTS.items() for x in kv])
-    return F.map_concat(F.map_filter(defaults, lambda k, _: ~F.map_contains_key(given, k)), given)
+    given = f"coalesce({metadata}, {EMPTY_MAP})"
+    defaults = ", ".join(f"'{k}', '{v}'" for k, v in P.METADATA_DEFAULTS.items())
+    return f"map_concat(map_filter(map({defaults}), (k, v) -> NOT map_contains_key({given}, k)), {given})"
 
 
 def normalize_records(df: DataFrame) -> DataFrame:
     """Bring any frame to the canonical columns; missing ones get their default, extra ones stay."""
     types = {f.name: f.dataType for f in df.schema}
 
-    def given(name: str) -> Column:
-        return F.col(name) if name in types else F.lit(None)
+    def given(name: str, kind: str) -> str:
+        return f"cast({name if name in types else 'NULL'} AS {kind})"
 
-    def text_field(name: str, default: str = "") -> Column:
-        return F.coalesce(F.nullif(given(name).cast("string"), F.lit("")), F.lit(default))
+    def text_field(name: str, default: str = "") -> str:
+        return f"coalesce(nullif({given(name, 'string')}, ''), '{default}')"
 
-    def number(name: str, kind: str) -> Column:
+    def number(name: str, kind: str) -> str:
         # An empty string is a missing number; any other unreadable string is an error in ANSI mode.
-        value = given(name)
-        if isinstance(types.get(name), T.StringType):
-            value = F.nullif(value, F.lit(""))
-        return F.coalesce(value.cast(kind), F.lit(0).cast(kind))
+        is_text = isinstance(types.get(name), T.StringType)
+        return f"coalesce(cast({f"nullif({name}, '')" if is_text else given(name, kind)} AS {kind}), cast(0 AS {kind}))"
 
-    flags = given("safety_flags").cast("array<string>") if "safety_flags" not in types else F.col("safety_flags")
-    no_flags = F.array().cast("array<string>")
     if isinstance(types.get("safety_flags"), T.StringType):
-        flags = F.when(first_nonempty(flags) == "", no_flags).otherwise(F.array(flags))
-
-    filtered = given("filtered")
-    if isinstance(types.get("filtered"), T.StringType):
-        filtered = first_nonempty(filtered) != ""  # any non-empty string counts as true
+        flags = "CASE WHEN coalesce(safety_flags, '') <> '' THEN array(safety_flags) END"
+    else:
+        flags = given("safety_flags", "array<string>")
+    # Any non-empty string counts as true.
+    is_text = isinstance(types.get("filtered"), T.StringType)
+    filtered = "filtered <> ''" if is_text else given("filtered", "boolean")
 
     columns = {
         "id": text_field("id"),
@@ -71,16 +74,16 @@ def normalize_records(df: DataFrame) -> DataFrame:
         "source": one_of(text_field("source", "unknown"), P.VALID_SOURCES),
         "language": one_of(text_field("language", "unknown"), P.VALID_LANGUAGES),
         "domain": text_field("domain", "unknown"),
-        "token_count": number("token_count", "long"),
+        "token_count": number("token_count", "bigint"),
         "quality_score": number("quality_score", "double"),
         "dedup_signature": text_field("dedup_signature"),
-        "safety_flags": F.coalesce(flags, no_flags),
-        "filtered": F.coalesce(filtered.cast("boolean"), F.lit(False)),
+        "safety_flags": f"coalesce({flags}, cast(array() AS array<string>))",
+        "filtered": f"coalesce({filtered}, false)",
         "filter_reason": text_field("filter_reason"),
-        "metadata": with_metadata_defaults(given("metadata").cast("map<string,string>")),
+        "metadata": with_metadata_defaults(given("metadata", "map<string,string>")),
     }
-    extra = [F.col(c) for c in df.columns if c not in columns]
-    return df.select(*extra, *[c.alias(n) for n, c in columns.items()])
+    extra = [f"`{c}`" for c in df.columns if c not in columns]
+    return df.selectExpr(*extra, *[f"{x} AS {n}" for n, x in columns.items()])
 
 
 def validate_records(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.functions.frames import once
+from corpusloom.functions.frames import once, ship_package
 
 BUILTIN_TOKENIZER = "simple_fallback_tokenizer"
 
@@ -60,7 +60,7 @@ def add_token_counts(df: DataFrame, tokenizer: Tokenizer = Tokenizer()) -> DataF
     """Set ``token_count``."""
     if tokenizer.load is None:
         return once(df, token_count=tokenizer.count("text"))
-    return df.withColumn("token_count", tokenizer.count("text"))
+    return ship_package(df).withColumn("token_count", tokenizer.count("text"))
 
 
 def token_stats(df: DataFrame) -> DataFrame:

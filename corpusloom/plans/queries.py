@@ -37,12 +37,12 @@ def raw_docs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def cleaned_docs(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean(raw.parse_raw(tables.documents(spark, folder)))
+    return cleaning.clean(tables.load_tables(spark, folder, ("document",)), canonical=True)
 
 
 def scored_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """All tables, cleaned, counted and scored."""
-    rows = cleaning.clean(tables.load_tables(spark, folder), LONG_TEXTS, keep_counters=True)
+    rows = cleaning.clean(tables.load_tables(spark, folder), LONG_TEXTS, keep_counters=True, canonical=True)
     return quality.add_quality_scores(tokens.add_token_counts(rows), flags_complete=True).drop("counters")
 
 
@@ -77,7 +77,7 @@ def filter_reason(spark, folder):
 
 
 def clean_records(spark, folder):
-    c = cleaning.clean(tables.load_tables(spark, folder))
+    c = cleaning.clean(tables.load_tables(spark, folder), canonical=True)
     flags = F.concat_ws(",", "safety_flags").alias("flags")
     return c.select("ord", "id", "source", "language", "domain", flags, "filter_reason", "text")
 
@@ -195,7 +195,7 @@ def tokenize_count(spark, folder):
 
 
 def counted_docs(spark, folder):
-    return tokens.add_token_counts(raw.parse_raw(tables.documents(spark, folder)))
+    return tokens.add_token_counts(tables.load_tables(spark, folder, ("document",)))
 
 
 def token_stats(spark, folder):
@@ -281,7 +281,7 @@ def sampling_metrics(spark, folder):
 
 
 def instruction_text(spark, folder):
-    return raw.parse_raw(tables.instructions(spark, folder)).select("ord", "id", "text", F.col("metadata")["parser"].alias("parser"))
+    return tables.load_tables(spark, folder, ("instruction",)).select("ord", "id", "text", F.col("metadata")["parser"].alias("parser"))
 
 
 def html_to_text(spark, folder):
@@ -344,7 +344,7 @@ def source_distribution(spark, folder):
 
 
 def reason_distribution(spark, folder):
-    return report.filtered_reasons(cleaning.clean(tables.load_tables(spark, folder)))
+    return report.filtered_reasons(cleaning.clean(tables.load_tables(spark, folder), canonical=True))
 
 
 def quality_distribution(spark, folder):
@@ -352,7 +352,7 @@ def quality_distribution(spark, folder):
 
 
 def safety_flag_hist(spark, folder):
-    return report.safety_flag_counts(cleaning.clean(tables.load_tables(spark, folder)))
+    return report.safety_flag_counts(cleaning.clean(tables.load_tables(spark, folder), canonical=True))
 
 
 def value_counts(spark, folder):
@@ -365,7 +365,7 @@ def top_samples(spark, folder):
 
 
 def filtered_samples(spark, folder):
-    return report.filtered_samples(cleaning.clean(tables.load_tables(spark, folder)))
+    return report.filtered_samples(cleaning.clean(tables.load_tables(spark, folder), canonical=True))
 
 
 def report_core(spark, folder):

@@ -35,7 +35,7 @@ def row_pass(records: DataFrame, config: RunConfig, tokenizer: Tokenizer = Token
     Nothing of it depends on other rows, so the stages after this one only move narrow columns.  The
     columns of later stages are prepared under names with a leading underscore.
     """
-    rows = cleaning.clean(records, config.cleaning, keep_counters=True)
+    rows = cleaning.clean(records, config.cleaning, keep_counters=True, canonical=True)
     rows = once(rows, _signature=F.md5(hash_form("text")))
     later = add_quality_scores(add_token_counts(rows, tokenizer), flags_complete=True)
     prepared = later.select(
@@ -189,7 +189,7 @@ def _write_report(
 
 def run_clean(spark: SparkSession, input_path: str, output_path: str, config: RunConfig = RunConfig(), mode: str = "errorifexists") -> str:
     """Load, parse and clean only; JSON lines in input order."""
-    sinks.write_jsonl(cleaning.clean(load_corpus(spark, input_path), config.cleaning), output_path, "ord", mode)
+    sinks.write_jsonl(cleaning.clean(load_corpus(spark, input_path), config.cleaning, canonical=True), output_path, "ord", mode)
     return output_path
 
 

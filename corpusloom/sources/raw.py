@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from corpusloom.functions import patterns as P
-from corpusloom.functions.frames import once
-from corpusloom.functions.text import compact_whitespace, first_nonempty, strip
-from corpusloom.operators.schema import normalize_records
+from corpusloom.functions.frames import once, ship_package
+from corpusloom.functions.text import compact_whitespace
+from corpusloom.operators.schema import EMPTY_MAP, normalize_records, sql_list
 from corpusloom.sources.html import html_lines
 
 TEXT_FIELDS = [
@@ -19,82 +18,82 @@ TEXT_FIELDS = [
 RAW = T.StructType([T.StructField(f, T.StringType()) for f in TEXT_FIELDS]).add("metadata", T.MapType(T.StringType(), T.StringType()))
 
 
-def instruction_text(instruction: Column, input_text: Column, output: Column, text: Column) -> Column:
+def first_of(*names: str) -> str:
+    """SQL for the first value that is neither NULL nor empty, else ''."""
+    return f"coalesce({', '.join(f"nullif({n}, '')" for n in names)}, '')"
+
+
+def stripped(x: str) -> str:
+    return f"btrim({x}, '{P.WS_CHARS}')"
+
+
+def instruction_text() -> str:
     """Instruction / Input / Output lines; the input line only if it is not blank; else the plain text."""
-    lines = F.concat_ws(
-        "\n",
-        F.concat(F.lit("Instruction: "), strip(instruction)),
-        F.when(strip(input_text) != "", F.concat(F.lit("Input: "), strip(input_text))),
-        F.concat(F.lit("Output: "), strip(output)),
-    )
-    return F.when((instruction == "") & (output == ""), text).otherwise(lines)
+    instruction = first_of("instruction", "prompt", "query")
+    given_input = first_of("input", "context")
+    output = first_of("output", "response", "answer")
+    input_line = f"CASE WHEN {stripped(given_input)} <> '' THEN concat('Input: ', {stripped(given_input)}) END"
+    lines = f"concat_ws(chr(10), concat('Instruction: ', {stripped(instruction)}), {input_line}, concat('Output: ', {stripped(output)}))"
+    return f"CASE WHEN {instruction} = '' AND {output} = '' THEN text ELSE {lines} END"
 
 
-def infer_domain(domain: Column, source: Column) -> Column:
-    known = F.when(source == "code", "code").when(source == "document", "education").when(source == "web", "technology")
-    return F.coalesce(F.nullif(domain, F.lit("")), known.otherwise("general"))
+def infer_domain() -> str:
+    known = "CASE source WHEN 'code' THEN 'code' WHEN 'document' THEN 'education' WHEN 'web' THEN 'technology' ELSE 'general' END"
+    return f"coalesce(nullif(domain, ''), {known})"
 
 
 def extract_html(df: DataFrame, html: str, name: str = "text") -> DataFrame:
     """Add the readable text of an HTML column; NULL stays NULL."""
-    return once(df.withColumn("_lines", html_lines(html)), **{name: compact_whitespace("_lines")}).drop("_lines")
-
-
-def parse_raw(df: DataFrame) -> DataFrame:
-    """Canonical rows from raw ones (any subset of the RAW columns; others, like ``ord``, pass through)."""
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in RAW if f.name not in df.columns}
-    df = df.withColumns(absent)
-    raw_source = first_nonempty("source")
-    raw_source = F.when(raw_source == "", "unknown").otherwise(raw_source)
-    df = df.withColumns({"source": raw_source, "text": first_nonempty("text")})
-    source, text = F.col("source"), F.col("text")
-
-    looks_like_html = F.lower(text).contains("<html") | F.lower(text).contains("<p")
-    # A given html field wins even when it is empty.
-    page = F.when((source == "web") & F.col("html").isNotNull(), F.col("html")).when((source == "web") & looks_like_html, text)
-    df = extract_html(df.withColumn("_page", page), "_page", "_page_text")
-
-    body = (
-        F.when(source == "web", F.coalesce("_page_text", "text"))
-        .when(source == "document", first_nonempty("content", "body", "text"))
-        .when(source == "code", first_nonempty("code", "text"))
-        .when(
-            source == "instruction",
-            instruction_text(
-                first_nonempty("instruction", "prompt", "query"),
-                first_nonempty("input", "context"),
-                first_nonempty("output", "response", "answer"),
-                text,
-            ),
-        )
-        .otherwise(text)
-    )
-    parser = (
-        F.when(F.col("_page").isNotNull(), P.PARSER_HTML)
-        .when(source == "document", P.PARSER_DOCUMENT)
-        .when(source == "code", P.PARSER_CODE)
-        .when(source == "instruction", P.PARSER_INSTRUCTION)
-        .otherwise(P.PARSER_PLAIN)
-    )
-    given = F.coalesce("metadata", F.create_map().cast("map<string,string>"))
-    own = {
-        "url": first_nonempty(F.col("url"), given["url"]),
-        "title": first_nonempty(F.col("title"), given["title"]),
-        "parser": parser,
-        "version": F.coalesce(given["version"], F.lit(P.METADATA_DEFAULTS["version"])),
+    return once(ship_package(df).withColumn("_lines", html_lines(html)), **{name: compact_whitespace("_lines")}).drop("_lines")
+
+
+def parse_raw(df: DataFrame, only: str | None = None) -> DataFrame:
+    """Canonical rows from raw ones (any subset of the RAW columns; others, like ``ord``, pass through).
+
+    ``only`` says that all rows have this source, which leaves out what the other sources need.
+    """
+    passed = [c for c in df.columns if c not in RAW.names]
+    absent = [f"cast(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in RAW if f.name not in df.columns]
+    fixed = {"source": f"'{only}'" if only else "coalesce(nullif(source, ''), 'unknown')", "text": first_of("text")}
+    df = df.selectExpr("*", *absent)
+    df = df.selectExpr(*[f"{fixed[c]} AS {c}" if c in fixed else f"`{c}`" for c in df.columns])
+
+    # Per source: its text, and the name of its parser.
+    branches = {
+        "document": (first_of("content", "body", "text"), f"'{P.PARSER_DOCUMENT}'"),
+        "code": (first_of("code", "text"), f"'{P.PARSER_CODE}'"),
+        "instruction": (instruction_text(), f"'{P.PARSER_INSTRUCTION}'"),
+        "web": ("coalesce(_page_text, text)", f"CASE WHEN _page IS NOT NULL THEN '{P.PARSER_HTML}' ELSE '{P.PARSER_PLAIN}' END"),
     }
-    others = F.map_filter(given, lambda k, _: ~k.isin(list(own)))
-    metadata = F.map_concat(others, F.create_map(*[x for k, v in own.items() for x in (F.lit(k), v)]))
+    if only:
+        branches = {n: b for n, b in branches.items() if n == only}
+    if "web" in branches:
+        # A given html field wins even when it is empty.
+        looks_like_html = "contains(lower(text), '<html') OR contains(lower(text), '<p')"
+        page = f"CASE WHEN source <> 'web' THEN NULL WHEN html IS NOT NULL THEN html WHEN {looks_like_html} THEN text END"
+        df = extract_html(df.selectExpr("*", f"{page} AS _page"), "_page", "_page_text")
+
+    def by_source(which: int, fallback: str) -> str:
+        cases = " ".join(f"WHEN '{name}' THEN {branch[which]}" for name, branch in branches.items())
+        return f"CASE source {cases} ELSE {fallback} END" if cases else fallback
 
-    passed = [F.col(c) for c in df.columns if c not in RAW.names and c not in ("_page", "_page_text")]
+    given = f"coalesce(metadata, {EMPTY_MAP})"
+    own = {
+        "url": first_of("url", f"{given}['url']"),
+        "title": first_of("title", f"{given}['title']"),
+        "parser": by_source(1, f"'{P.PARSER_PLAIN}'"),
+        "version": f"coalesce({given}['version'], '{P.METADATA_DEFAULTS['version']}')",
+    }
+    others = f"map_filter({given}, (k, v) -> k NOT IN ({sql_list(list(own))}))"
+    metadata = f"map_concat({others}, map({', '.join(f"'{k}', {v}" for k, v in own.items())}))"
     return normalize_records(
-        df.select(
-            *passed,
-            first_nonempty("id").alias("id"),
-            body.alias("text"),
+        df.selectExpr(
+            *[f"`{c}`" for c in passed],
+            f"{first_of('id')} AS id",
+            f"{by_source(0, 'text')} AS text",
             "source",
             "language",
-            infer_domain(F.col("domain"), source).alias("domain"),
-            metadata.alias("metadata"),
+            f"{infer_domain()} AS domain",
+            f"{metadata} AS metadata",
         )
     )

@@ -71,7 +71,7 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
 def load_tables(spark: SparkSession, folder: str, sources: tuple[str, ...] = ("document", "instruction", "web")) -> DataFrame:
     """Canonical records of the chosen tables, with ``ord``."""
     readers = {"document": documents, "instruction": instructions, "web": pages}
-    frames = [parse_raw(readers[s](spark, folder)) for s in sources]
+    frames = [parse_raw(readers[s](spark, folder), only=s) for s in sources]
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
