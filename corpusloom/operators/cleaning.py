@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import patterns as P
 from corpusloom.functions import text as X
 from corpusloom.functions.frames import once
-from corpusloom.operators.schema import normalize_records
+from corpusloom.operators.schema import CANONICAL, normalize_records
 from corpusloom.plans.config import CleanConfig
 
 COUNTERS = ["length", "visible", "zh", "letters", "digits", "symbols", "alnum", "distinct", "keywords", "urls", "max_run"]
@@ -77,8 +77,9 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig(), keep_counters: boo
         filter_reason=filter_reason(F.col("text"), F.col("_pii"), config),
         safety_flags=F.array_distinct(F.concat("safety_flags", "_pii")),
     )
-    df = df.withColumn("filtered", F.col("filter_reason") != "").drop("_pii")
-    return df if keep_counters else df.drop("counters")
+    df = df.withColumn("filtered", F.col("filter_reason") != "")
+    extra = [c for c in df.columns if c not in CANONICAL.names and c != "_pii" and (keep_counters or c != "counters")]
+    return df.select(*extra, *CANONICAL.names)
 
 
 def keep_unfiltered(df: DataFrame) -> DataFrame:
