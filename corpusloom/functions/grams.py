@@ -62,8 +62,24 @@ class PigeonholeTokens:
     k depends on the sizes, so sizes are cut into classes by the factor 1/t; similar sets lie in the same
     or in neighbouring classes.  Class c emits for the schemes c and c+1.  An empty group says little and is
     left out, unless so many groups are empty that the guarantee would rest on them.
+
+    The number of shared tokens says more: every group that is filled in one set and not equal in the other
+    holds a difference of its own.  So similar sets share at least (filled groups - differences) tokens of
+    a scheme, see :meth:`fewest_shared`.
     """
 
+    @staticmethod
+    def fewest_shared(threshold: float) -> str:
+        """SQL for how many tokens two rows ``a`` and ``b`` (size, shape) share at least if they are similar."""
+        differences = f"floor((1 - {threshold!r}D) / (1 + {threshold!r}D) * (a.size + b.size) + 1e-6D)"
+        lower = f"greatest(a.shape[1], b.shape[1]) - {differences}"
+        upper = f"greatest(a.shape[2], b.shape[2]) - {differences}"
+        return (
+            f"CASE a.shape[0] - b.shape[0] WHEN 0 THEN greatest({lower}, 0) + greatest({upper}, 0)"
+            f" WHEN 1 THEN greatest(a.shape[1], b.shape[2]) - {differences}"
+            f" WHEN -1 THEN greatest(a.shape[2], b.shape[1]) - {differences} ELSE 0 END"
+        )
+
     def __init__(self, threshold: float):
         self.t = threshold
         self.starts = [1]
@@ -78,25 +94,28 @@ class PigeonholeTokens:
         differences = math.floor(2 * (1 - self.t) / (1 + self.t) * largest + 1e-9)
         return differences, differences + 2 + (differences + 1) // 20
 
-    def __call__(self, grams: np.ndarray) -> np.ndarray:
+    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """The tokens, and [class, filled groups in the scheme of the class, and in the next one]."""
         if not len(grams):
-            return grams
+            return grams, [0, 0, 0]
         c = self._class_of(len(grams))
         self._class_of(self.starts[c + 1])
-        tokens = []
+        tokens, filled = [], []
+        mixed = mix(grams)
         for scheme in (c, c + 1):
             differences, groups = self._scheme(scheme)
-            sums = np.zeros(groups, dtype=np.uint64)
-            # The low bits pick the group; the mixed hash, summed up, stands for the group's members.
-            group = (grams % np.uint64(groups)).astype(np.int64)
-            np.add.at(sums, group, mix(grams))
-            used = np.zeros(groups, dtype=bool)
-            used[group] = True
-            if groups - differences <= groups - int(used.sum()):
-                used[:] = True
-            ids = np.nonzero(used)[0].astype(np.uint64)
-            tokens.append(mix(sums[used] ^ mix(ids + np.uint64(scheme << 32))))
-        return np.concatenate(tokens)
+            group = grams % np.uint64(groups)
+            order = np.argsort(group)
+            ids, first = np.unique(group[order], return_index=True)
+            # The sum of the mixed hashes stands for the group's members, whatever their order.
+            sums = np.add.reduceat(mixed[order], first)
+            filled.append(len(ids))
+            if groups - differences <= groups - len(ids):
+                every = np.zeros(groups, dtype=np.uint64)
+                every[ids.astype(np.int64)] = sums
+                ids, sums = np.arange(groups, dtype=np.uint64), every
+            tokens.append(mix(sums ^ mix(ids + np.uint64(scheme << 32))))
+        return np.concatenate(tokens), [c, *filled]
 
 
 class MinHashTokens:
@@ -106,14 +125,18 @@ class MinHashTokens:
         self.bands, self.rows = bands, rows
         self.factors = odd_multipliers(bands * rows, 2)
 
-    def __call__(self, grams: np.ndarray) -> np.ndarray:
+    @staticmethod
+    def fewest_shared(threshold: float) -> str:
+        return "1"
+
+    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int]]:
         if not len(grams):
-            return grams
+            return grams, []
         lows = np.array([(grams * f).min() for f in self.factors], dtype=np.uint64)
         tokens = np.arange(self.bands, dtype=np.uint64)
         for row in lows.reshape(self.bands, self.rows).T:
             tokens = mix(tokens ^ row)
-        return tokens
+        return tokens, []
 
 
 def gram_sets(rows: DataFrame, n: int) -> DataFrame:
@@ -127,19 +150,21 @@ def gram_sets(rows: DataFrame, n: int) -> DataFrame:
 
 
 def sketches(rows: DataFrame, n: int, tokens_of) -> DataFrame:
-    """(ord, gram_text) -> (ord, size, signature, tokens): all that candidate search has to shuffle."""
+    """(ord, gram_text) -> (ord, size, signature, shape, tokens): all that candidate search has to shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [gram_hashes(t, n) for t in batch["gram_text"]]
+            found = [tokens_of(g) for g in sets]
             yield pd.DataFrame(
                 {
                     "ord": batch["ord"],
                     "size": [len(g) for g in sets],
                     "signature": [set_signature(g) for g in sets],
-                    "tokens": [tokens_of(g).view(np.int64) for g in sets],
+                    "shape": [shape for _, shape in found],
+                    "tokens": [tokens.view(np.int64) for tokens, _ in found],
                 }
             )
 
-    schema = "ord bigint, size bigint, signature string, tokens array<bigint>"
+    schema = "ord bigint, size bigint, signature string, shape array<int>, tokens array<bigint>"
     return ship_package(rows).select("ord", "gram_text").mapInPandas(run, schema)

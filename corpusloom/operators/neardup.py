@@ -106,13 +106,15 @@ def _drop(rows: DataFrame, threshold: float, n: int, tokens) -> DataFrame:
     sketched = materialize(G.sketches(rows, n, tokens), "sketches")
     groups = sketched.groupBy("signature").agg(F.min("ord").alias("ord"), F.count("*").alias("copies"))
     distinct = sketched.join(groups.select("ord"), "ord", "left_semi")
+    facts = distinct.select("ord", "size", "shape")
     entries = materialize(distinct.select("ord", "size", F.explode("tokens").alias("token")), "tokens")
 
     edges: list[DataFrame] = []
     dropped = kept = None  # decided so far: (ord)
     bucket = FIRST_BUCKET
     while True:
-        pairs, open_rows = _candidates(entries, dropped, kept, threshold, bucket)
+        pairs, hidden, open_rows = _candidates(entries, dropped, kept, threshold, bucket)
+        pairs = _plausible(pairs, facts, hidden, tokens.fewest_shared(threshold))
         found = materialize(_similar(rows, pairs, n, threshold), "similar")
         edges.append(found)
         undecided = _minus(_minus(found.select("lo", "hi"), dropped, "lo"), dropped, "hi")
@@ -155,36 +157,37 @@ def _plus(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
 
 def _candidates(
     entries: DataFrame, dropped: DataFrame | None, kept: DataFrame | None, threshold: float, bucket: int
-) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs (lo, hi) that share a token and have compatible sizes, and the open rows (None: there are none)."""
+) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Pairs (lo, hi), one row per token they share; (ord, hidden) tokens of a row that may be shared with
+    others unseen; and the open rows.  The latter two are None if no bucket is crowded.
+    """
     undecided = _minus(_minus(entries, dropped), kept)
     place = F.row_number().over(Window.partitionBy("token").orderBy("ord"))
     # Spark trims to the first rows of each token before the shuffle, and the list stays within bucket + 1.
+    # A lone undecided row matters only for the rows that were dropped before.
     lists = materialize(
         undecided.withColumn("_place", place)
         .filter(F.col("_place") <= bucket + 1)
         .groupBy("token")
         .agg(F.sort_array(F.collect_list(F.struct("ord", "size"))).alias("rows"))
-        .filter(F.size("rows") > 1),
+        .filter(F.size("rows") > (1 if dropped is None else 0)),
         "buckets",
     )
-    compatible = (F.least("lo.size", "hi.size") >= F.greatest("lo.size", "hi.size") * F.lit(threshold) - 1e-6) & (F.col("lo.ord") < F.col("hi.ord"))
+    sizes = F.least("lo.size", "hi.size") >= F.greatest("lo.size", "hi.size") * F.lit(threshold) - 1e-6
+    compatible = sizes & (F.col("lo.ord") < F.col("hi.ord"))
+
+    def ords(pairs: DataFrame) -> DataFrame:
+        return pairs.filter(compatible).select("lo.ord", "hi.ord").toDF("lo", "hi")
+
     whole = lists.filter(F.size("rows") <= bucket)
-    pairs = (
-        whole.select("rows", F.explode("rows").alias("hi"))
-        .select("hi", F.explode("rows").alias("lo"))
-        .filter(compatible)
-        .select("lo.ord", "hi.ord")
-        .toDF("lo", "hi")
-    )
+    pairs = ords(whole.select("rows", F.explode("rows").alias("hi")).select("hi", F.explode("rows").alias("lo")))
     if dropped is not None:
         # Dropped rows may still find an earlier leader among the rows that are undecided.
         later = entries.join(dropped, "ord", "left_semi").select("token", F.struct("ord", "size").alias("hi"))
-        again = whole.join(later, "token").select("hi", F.explode("rows").alias("lo"))
-        pairs = pairs.union(again.filter(compatible).select("lo.ord", "hi.ord"))
+        pairs = pairs.union(ords(whole.join(later, "token").select("hi", F.explode("rows").alias("lo"))))
     crowded = lists.filter(F.size("rows") > bucket)
     if crowded.isEmpty():
-        return pairs.distinct(), None
+        return pairs, None, None
 
     heads = max(2, bucket // HEAD_SHARE)
     crowded = crowded.select("token", F.slice("rows", 1, heads).alias("heads"))
@@ -193,9 +196,23 @@ def _candidates(
         _minus(entries, kept).join(crowded, "token").select(F.struct("ord", "size").alias("hi"), "heads"),
         "crowded",
     )
-    pairs = pairs.union(hits.select("hi", F.explode("heads").alias("lo")).filter(compatible).select("lo.ord", "hi.ord"))
+    pairs = pairs.union(ords(hits.select("hi", F.explode("heads").alias("lo"))))
+    hidden = hits.groupBy(F.col("hi.ord").alias("ord")).agg(F.count("*").alias("hidden"))
     behind = hits.filter(F.col("hi.ord") > F.element_at("heads", -1)["ord"]).select("hi.ord").distinct()
-    return pairs.distinct(), materialize(_minus(behind, dropped), "open")
+    return pairs, hidden, materialize(_minus(behind, dropped), "open")
+
+
+def _plausible(pairs: DataFrame, facts: DataFrame, hidden: DataFrame | None, fewest_shared: str) -> DataFrame:
+    """Distinct pairs (lo, hi) that share as many tokens as similar rows have to."""
+    counted = pairs.groupBy("lo", "hi").agg(F.count("*").alias("seen"))
+    if fewest_shared == "1":
+        return counted.select("lo", "hi")
+    known = facts.withColumn("hidden", F.lit(0))
+    if hidden is not None:
+        known = facts.join(hidden, "ord", "left").withColumn("hidden", F.coalesce("hidden", F.lit(0)))
+    side = known.select("ord", F.struct("size", "shape", "hidden").alias("side"))
+    enough = f"seen + least(a.hidden, b.hidden) >= {fewest_shared}"
+    return counted.join(side.toDF("lo", "a"), "lo").join(side.toDF("hi", "b"), "hi").filter(enough).select("lo", "hi")
 
 
 def _similar(rows: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
