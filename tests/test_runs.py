@@ -86,3 +86,17 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_matches_sql(spark, name):
     assert differences(entry.queries()[name](spark, SMALL), duck(SMALL), entry.oracle_sql()[name]) == ""
+
+
+def test_clean_stream(spark, folder):
+    from corpusloom.streaming.clean_stream import run_clean_stream
+
+    def step():
+        run_clean_stream(spark, str(folder / "raw"), str(folder / "stream"), str(folder / "state")).awaitTermination()
+        return {(r.source, r.text, r.filter_reason) for r in spark.read.parquet(str(folder / "stream")).collect()}
+
+    batch = runs.run_clean(spark, str(folder / "raw"), str(folder / "cleaned"))
+    want = {(r.source, r.text, r.filter_reason) for r in spark.read.json(batch).collect()}
+    assert step() == want
+    (folder / "raw" / "late.jsonl").write_text(json.dumps({"source": "web", "text": "too short"}) + "\n")
+    assert step() == want | {("web", "too short", "too_short")}
