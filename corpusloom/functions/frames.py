@@ -35,14 +35,14 @@ def scratch_dir(spark: SparkSession) -> str:
 
     On a cluster it has to be set; only a local session without it gets a temporary folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
+    return context.getCheckpointDir()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
