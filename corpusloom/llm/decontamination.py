@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.frames import once
+from corpusloom.llm.ngrams import winnowed, with_run_hashes, word_hashes
 from corpusloom.llm.rows import as_row, column, materialize, same_document, text_key
 
 WINDOW = 13  # words of a benchmark window
 GRAM = 8  # words of a k-gram; a shared window of 13 words spans 6 of them
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what separates words once A-Z are in lower case
+_BETWEEN_ANY = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # in a text of any case
 
 
 def words_of(text: Column) -> Column:
@@ -27,34 +29,28 @@ def words_of(text: Column) -> Column:
     return F.coalesce(F.filter(F.split(low, _BETWEEN), lambda w: w != ""), F.array().cast("array<string>"))
 
 
-def _kept(hashes: Column, window: int) -> Column:
-    """Of each run of ``window`` hashes, the index from 0 of the smallest, the leftmost of equals; each index once."""
-    if window == 1:
-        return F.sequence(F.lit(0), F.size(hashes) - 1)
-
-    def lowest(i: Column) -> Column:
-        run = F.slice(hashes, i + 1, window)
-        return (i + F.array_position(run, F.array_min(run)) - 1).cast("int")
-
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(hashes) - window), lowest))
-
-
 def fingerprints(words: DataFrame, lengths: list[int], *names: str) -> DataFrame:
     """(names, span, at, hash): winnowed k-grams of ``words``, such that texts with a common span of any of ``lengths`` share one there."""
-    hashed = once(words.filter(F.size("words") >= min(lengths)), each=F.transform("words", lambda w: F.xxhash64(w))).drop("words")
+    hashed = once(words.filter(F.size("words") >= min(lengths)), each=word_hashes(F.col("words"))).drop("words")
     kept = []
     for length in lengths:
         gram = min(GRAM, length)
-        last = F.size("each") - gram + 1
-        grams = F.transform(F.sequence(F.lit(1), last), lambda i, gram=gram: F.xxhash64(F.slice("each", i, gram)))
-        name = f"grams{length}"
-        hashed = once(hashed, **{name: F.when(F.size("each") >= length, grams)})
-        chosen = _kept(F.col(name), length - gram + 1)
-        marks = F.transform(chosen, lambda i, name=name, length=length: F.struct(F.lit(length).alias("span"), i.alias("at"), F.get(F.col(name), i).alias("hash")))
-        kept.append(F.when(F.size("each") >= length, marks).otherwise(F.array().cast("array<struct<span:int,at:int,hash:bigint>>")))
+        hashed = with_run_hashes(hashed, "each", gram, f"grams{length}")
+        kept.append(_marks(F.col(f"grams{length}"), length, length - gram + 1))
     return hashed.select(*names, F.inline(F.concat(*kept)))
 
 
+def _marks(grams: Column, length: int, window: int) -> Column:
+    """The winnowed grams of a text that has at least ``length`` words, with the span that they stand for."""
+    marks = F.transform(winnowed(grams, window), lambda m: F.struct(F.lit(length).alias("span"), m["at"].alias("at"), m["hash"].alias("hash")))
+    return F.when(F.size("each") >= length, marks).otherwise(F.array().cast("array<struct<span:int,at:int,hash:bigint>>"))
+
+
+def n_words_of(text: Column) -> Column:
+    """How many words a text has; counting needs no lower case."""
+    return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, _BETWEEN_ANY), lambda w: w != ""))).cast("long")
+
+
 def _items(benchmark: DataFrame) -> DataFrame:
     """(item, words, n, span, ids): the different word sequences of the benchmark, the ids that carry them, their window."""
     words = benchmark.select(column("item_id").cast("string").alias("item_id"), words_of(column("text")).alias("words")).filter("size(words) > 0")
@@ -119,7 +115,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     rows = _read(docs)
     found = _verdicts(rows, benchmark)
-    counted = rows.select("doc_id", "key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    counted = rows.select("doc_id", "key", n_words_of(F.col("text")).alias("n_words"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     return counted.join(found, same_document(counted, found), "left").select(
@@ -134,5 +130,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = _verdicts(_read(docs), benchmark)
     marked = rows.join(found.select(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), "n_hit"), F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")), "left")
     # Only rows with a hit have their words counted.
-    spoiled = F.col("n_hit").isNotNull() & (20 * F.col("n_hit") >= F.size(words_of(F.col("text"))))
+    spoiled = F.col("n_hit").isNotNull() & (20 * F.col("n_hit") >= n_words_of(F.col("text")))
     return marked.filter(~F.coalesce(spoiled, F.lit(False))).select("row.*")

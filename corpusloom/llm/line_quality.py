@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.frames import once
+from corpusloom.llm.ngrams import with_run_hashes, word_hashes
 from corpusloom.llm.rows import column
 
 _SPACE = r"[\x20\x09-\x0D]+"  # what separates words
@@ -19,7 +20,8 @@ MAX_REPEATED = 30  # percent of words inside of repeated windows
 END_PUNCTUATION = r"[.!?:;,\"')\]”’»…。！？][\x20\x09-\x0D]*$"
 NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|next|previous|back to top|top|menu|log ?in|sign ?in|sign ?up|register|search|share|contact( us)?|about( us)?|read more|skip to content)[\x20\x09-\x0D]*$"
 CRUMBS = r"^([^|>»·•]{1,40}[|>»·•]){2,}[^|>»·•]{0,40}$"  # short pieces between separators
-CRUMBS_LENGTH = 400  # a line of crumbs is no longer than this
+SHORT_LINE = 400  # bytes; navigation and crumbs are no longer than this
+ENDING = 40  # end punctuation is looked for in so many last characters
 BOILERPLATE = (
     r"(?i)cookie policy|privacy policy|terms of use|terms of service|all rights reserved|enable javascript|uses cookies|lorem ipsum|subscribe to our newsletter"
 )
@@ -41,9 +43,9 @@ def _symbols(text: Column) -> Column:
 
 def _passes(line: Column) -> Column:
     """Whether a line with a word is text: it ends like a sentence and is no navigation, boilerplate or run of symbols."""
-    crumbs = (F.char_length(line) <= CRUMBS_LENGTH) & line.rlike(CRUMBS)
-    noisy = _symbols(line) > MAX_SYMBOLS * F.size(F.split(F.trim(line), _SPACE))
-    return line.rlike(END_PUNCTUATION) & ~noisy & ~line.rlike(NAVIGATION) & ~crumbs & ~line.rlike(BOILERPLATE)
+    short = F.octet_length(line) <= SHORT_LINE
+    noisy = (_symbols(line) > 0) & (_symbols(line) > MAX_SYMBOLS * F.size(F.split(F.trim(line), _SPACE)))
+    return F.right(line, F.lit(ENDING)).rlike(END_PUNCTUATION) & ~noisy & ~(short & (line.rlike(NAVIGATION) | line.rlike(CRUMBS))) & ~line.rlike(BOILERPLATE)
 
 
 def _characters(lines: Column) -> Column:
@@ -66,9 +68,9 @@ def _with_repeated(df: DataFrame) -> DataFrame:
     A window is its words' hash.  Only texts in which a window occurs again sort their windows; neighbours
     of equal hash are then repeats.
     """
-    df = once(df, each=F.transform("words", lambda w: F.xxhash64(w))).drop("words")
-    windows = F.transform(F.sequence(F.lit(1), F.size("each") - SPAN + 1), lambda i: F.xxhash64(F.slice("each", i, SPAN)))
-    df = once(df, windows=F.when(F.size("each") >= SPAN, windows)).drop("each")
+    df = once(df, each=word_hashes(F.col("words"))).drop("words")
+    df = with_run_hashes(df, "each", SPAN, "windows").drop("each")
+    df = once(df, windows=F.when(F.size("windows") >= SPAN, F.slice("windows", 1, F.size("windows") - SPAN + 1)))
     again = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     df = once(df, placed=F.when(again, placed)).drop("windows")
