@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,60 +21,83 @@ from pyspark.sql import functions as F
 from corpusloom.llm.rows import as_row, column, in_arrow, materialize, text_key
 
 MIN_WORDS = 25  # of a run; so every repeated passage of 50 words that begins and ends with sentences is covered whole
-SHORT = 4  # a sentence of fewer words belongs to the one before
+SHORT = 4  # a sentence of fewer words is a tail of the one before
 LONG = 16  # a sentence of more words is cut into parts of this many
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
 
 
-def sentences(text: str) -> list[tuple[int, int, int]]:
-    """(begin, end, words) of the text's sentences, without a gap; white space goes with the sentence before it.
+@dataclass
+class Sentence:
+    """Text from ``begin`` to ``mid``, then a tail of short sentences up to ``end``; words of both."""
 
-    A sentence ends behind . ! or ? before white space, or at a line feed.  Sentences under ``SHORT`` words belong to the one
-    before, longer ones than ``LONG`` words are cut from their start on; both depend on the sentence alone, so a passage is cut alike wherever it stands.
+    begin: int
+    mid: int
+    end: int
+    words: int
+    tail: int = 0
+
+
+def sentences(text: str) -> list[Sentence]:
+    """The text's sentences, without a gap; white space goes with the sentence before it.
+
+    A sentence ends behind . ! or ? before white space, or at a line feed.  Those under ``SHORT`` words are tails of the one
+    before, longer ones than ``LONG`` words are cut from their start on.  A sentence depends on nothing around it, so a
+    passage is cut alike wherever it stands.
     """
-    out: list[tuple[int, int, int]] = []
+    out: list[Sentence] = []
     begin = 0
     for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
         n = len(text[begin:end].split())
         if n < SHORT and out:
-            out[-1] = (out[-1][0], end, out[-1][2] + n)
+            out[-1].end, out[-1].tail = end, out[-1].tail + n
         elif n <= LONG:
-            out.append((begin, end, n))
+            out.append(Sentence(begin, end, end, n))
         else:
             stops = [w.end() for w in _WORD.finditer(text, begin, end)][LONG - 1 : n - 1 : LONG] + [end]
             for i, stop in enumerate(stops):
-                out.append((begin, stop, min(LONG, n - i * LONG)))
+                out.append(Sentence(begin, stop, stop, min(LONG, n - i * LONG)))
                 begin = stop
         begin = end
     return out
 
 
-def runs(words: list[int], least: int) -> Iterator[tuple[int, int]]:
-    """(first, last) of the shortest runs of two or more sentences with ``least`` words, from each sentence on and up to each sentence; each once."""
-    last, held, forward = 0, 0, {}
-    for first in range(len(words)):  # from each sentence on
-        while last < len(words) and (held < least or last < first + 2):
-            held += words[last]
+def runs(found: list[Sentence], least: int) -> Iterator[tuple[int, int, bool]]:
+    """(first, last, whole) of runs of two or more sentences with at least ``least`` words, each once.
+
+    They are the shortest ones from each sentence on and up to each sentence.  The last sentence counts without its tail, which
+    may belong to what follows a passage; only the run up to the text's end comes with the tail (whole) as well.
+    """
+    n = len(found)
+    last, held, forward = 0, 0, {}  # held: words from first up to last, without last
+    for first in range(n):  # from each sentence on
+        while last < n and (held + found[last].words < least or last <= first):
+            held += found[last].words + found[last].tail
             last += 1
-        if held < least or last < first + 2:
+        if last == n:
             break
-        forward[first] = last - 1
-        held -= words[first]
-    yield from forward.items()
-    first, held = 0, 0
-    for last in range(len(words)):  # up to each sentence
-        held += words[last]
-        while first < last - 1 and held - words[first] >= least:
-            held -= words[first]
+        forward[first] = last
+        held -= found[first].words + found[first].tail
+    yield from ((first, last, False) for first, last in forward.items())
+    first, held = 0, 0  # held: as before
+    for last in range(n):  # up to each sentence
+        while first < last - 1 and held - found[first].words - found[first].tail + found[last].words >= least:
+            held -= found[first].words + found[first].tail
             first += 1
-        if held >= least and first < last and forward.get(first) != last:
-            yield first, last
+        if first < last and held + found[last].words >= least:
+            if forward.get(first) != last:
+                yield first, last, False
+            if last == n - 1 and found[last].end > found[last].mid:
+                yield first, last, True
+        held += found[last].words + found[last].tail
 
 
 def _spans(docs: DataFrame, least: int) -> DataFrame:
-    """(hash, doc_id, place, last) of every run; place holds half of the document's key and, below, the run's first sentence."""
+    """(hash, doc_id, place, last) of every run; place holds half of the document's key and, below, the run's first sentence.
+
+    last is twice the number of the last sentence, plus 1 if its tail belongs to the run.
+    """
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,12 +105,13 @@ def _spans(docs: DataFrame, least: int) -> DataFrame:
             for doc_id, half, text in zip(batch.column("doc_id").to_pylist(), batch.column("half").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py()
                 found = sentences(text)
-                each = [xxhash.xxh3_128_digest(" ".join(text[b:e].split()).lower()) for b, e, _ in found]
-                for first, last in runs([n for _, _, n in found], least):
+                whole = [xxhash.xxh3_128_digest(" ".join(text[s.begin : s.end].split()).lower()) for s in found]
+                bare = [w if s.mid == s.end else xxhash.xxh3_128_digest(" ".join(text[s.begin : s.mid].split()).lower()) for s, w in zip(found, whole, strict=True)]
+                for first, last, tail in runs(found, least):
                     ids.append(doc_id)
-                    hashes.append(xxhash.xxh3_64_intdigest(b"".join(each[first : last + 1])))
+                    hashes.append(xxhash.xxh3_64_intdigest(b"".join(whole[first:last]) + (whole if tail else bare)[last]))
                     places.append((half << 32) + first)
-                    lasts.append(last)
+                    lasts.append(2 * last + tail)
             arrays = [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(lasts, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, names=["hash", "doc_id", "place", "last"])
 
@@ -138,7 +163,7 @@ def _non_first(spans: DataFrame) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, half, ranges): for documents with repeated runs, the (first, last) sentences of each run that isn't the first of its hash.
+    """(doc_id, half, ranges): for documents with repeated runs, the (first, last) of each run that isn't the first of its hash.
 
     half is the upper half of the document's text key; a document has at most two ranges for each of its sentences.
     """
@@ -149,19 +174,20 @@ def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
 
 
 def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """The text without the sentences in ``ranges``, how many there were and how many went."""
+    """The text without the runs in ``ranges`` (first, last and whether whole), how many sentences there were and how many went."""
     found = sentences(text)
-    gone = bytearray(len(found))
+    gone = [0] * len(found)  # 1: without its tail, 2: whole
     for first, last in ranges:
-        gone[first : last + 1] = b"\1" * (last + 1 - first)
-    return "".join(text[b:e] for (b, e, _), g in zip(found, gone, strict=True) if not g), len(found), sum(gone)
+        gone[first : last // 2] = [2] * (last // 2 - first)
+        gone[last // 2] = max(gone[last // 2], 1 + last % 2)
+    return "".join(text[(s.begin, s.mid, s.end)[g] : s.end] for s, g in zip(found, gone, strict=True)), len(found), sum(map(bool, gone))
 
 
 def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with new texts: sentences covered by a repeated run that isn't the run's first are removed.
 
     A run is two or more consecutive sentences with at least ``least`` words, compared without regard to case and white space; it
-    is the shortest such from its first sentence on, or up to its last.  The first of equal runs is that with the smallest (doc_id, text key, place);
+    is the shortest such from its first sentence on, or up to its last; a sentence of fewer than four words goes with the one before.  The first of equal runs is that with the smallest (doc_id, text key, place);
     null ids come first.  All other columns and all rows stay, also rows whose text becomes empty; a text without repeated
     runs, and a null text, stays as it is.  Repeated rows (equal doc_id and text) count as one document and all get its
     text.  An empty table gives an empty result.  ``counts`` names two columns to add: sentences, and sentences removed (null if
