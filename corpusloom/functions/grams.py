@@ -119,11 +119,28 @@ class PigeonholeTokens:
 
 
 class MinHashTokens:
-    """MinHash bands (Broder 1997): sets of Jaccard similarity s share a token with 1 - (1 - s^rows)^bands."""
+    """MinHash bands (Broder 1997): sets of Jaccard similarity s share a token with 1 - (1 - s^rows)^bands.
 
-    def __init__(self, bands: int = 20, rows: int = 5):
-        self.bands, self.rows = bands, rows
-        self.factors = odd_multipliers(bands * rows, 2)
+    For a threshold the fewest hashes are taken that find a pair at the threshold with ``RECALL``: of the widest bands first
+    (up to 5 rows, which keeps unrelated sets apart), as many bands as that needs, at most ``MOST`` hashes.
+    """
+
+    RECALL = 0.9999
+    MOST = 640
+
+    def __init__(self, threshold: float):
+        self.bands, self.rows = self.tuned(threshold)
+        self.factors = odd_multipliers(self.bands * self.rows, 2)
+
+    @classmethod
+    def tuned(cls, threshold: float) -> tuple[int, int]:
+        """(bands, rows) for a threshold."""
+        for rows in (5, 4, 3, 2, 1):
+            share = threshold**rows
+            bands = 1 if share >= 1 else math.ceil(math.log1p(-cls.RECALL) / math.log1p(-share))
+            if bands * rows <= cls.MOST or rows == 1:
+                return max(bands, 1), rows
+        raise AssertionError
 
     @staticmethod
     def fewest_shared(threshold: float) -> str:

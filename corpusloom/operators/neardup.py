@@ -28,6 +28,7 @@ from pyspark.sql.window import Window
 from corpusloom.functions import grams as G
 from corpusloom.functions import text as X
 from corpusloom.functions.frames import materialize, once
+from corpusloom.functions.rounding import python_round
 from corpusloom.operators.ordering import add_position
 
 FIRST_BUCKET = 32  # rows of a bucket that are all paired in the first round; grows fourfold per round
@@ -56,7 +57,7 @@ class NearDedup:
         return (
             self.dropped.join(ids.withColumnRenamed("id", "record_id"), "ord")
             .join(leaders, "leader_ord")
-            .select("ord", "record_id", "duplicate_of", F.round("similarity", 4).alias("similarity"))
+            .select("ord", "record_id", "duplicate_of", python_round(F.col("similarity"), 4).alias("similarity"))
         )
 
     @property
@@ -88,7 +89,7 @@ def near_dedup(df: DataFrame, threshold: float = 0.85, ngram_size: int = 5, meth
     """Near deduplication of rows (ord, id, text, ...).
 
     ``method`` chooses the candidates: "exact" finds every pair; "minhash" takes far fewer tokens per row
-    (20 bands of 5) and finds a pair of similarity .85 with a probability above .9999.  Every candidate is
+    in bands that follow from the threshold, and finds a pair at the threshold with a probability of .9999 or more.  Every candidate is
     checked by its true similarity in both.
     """
     rows = once(df.select("ord", "text"), gram_text=X.gram_form("text")).select("ord", "gram_text")
@@ -97,7 +98,7 @@ def near_dedup(df: DataFrame, threshold: float = 0.85, ngram_size: int = 5, meth
     elif threshold <= 0:
         dropped = _all_like_the_first(rows, ngram_size)
     else:
-        tokens = G.PigeonholeTokens(threshold) if method == "exact" else G.MinHashTokens()
+        tokens = G.PigeonholeTokens(threshold) if method == "exact" else G.MinHashTokens(threshold)
         dropped = _drop(rows, threshold, ngram_size, tokens)
     return NearDedup(df, dropped, threshold, ngram_size, method)
 

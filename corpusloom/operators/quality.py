@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions.frames import once
+from corpusloom.functions.rounding import python_round
 from corpusloom.operators.cleaning import with_counters
 
 
@@ -81,13 +82,17 @@ def add_quality_scores(df: DataFrame, flags_complete: bool = False) -> DataFrame
 
 
 def quality_stats(df: DataFrame) -> DataFrame:
-    """One row: average, minimum and maximum score; zeros for an empty input."""
+    """One row: average, sum (in ten-thousandths), minimum and maximum score; zeros for an empty input."""
     score = F.col("quality_score")
-    return df.agg(
-        F.coalesce(F.round(F.avg(score), 4), F.lit(0.0)).alias("avg_score"),
+    # Scores have four digits, so their sum in units of the last is exact and doesn't depend on the order of rows.
+    total = F.coalesce(F.sum(F.round(score * 10_000).cast("bigint")), F.lit(0))
+    totals = df.agg(
+        F.coalesce(total / 10_000 / F.nullif(F.count("*"), F.lit(0)), F.lit(0.0)).alias("avg_score"),
+        total.alias("score_sum"),
         F.coalesce(F.min(score), F.lit(0.0)).alias("min_score"),
         F.coalesce(F.max(score), F.lit(0.0)).alias("max_score"),
     )
+    return totals.withColumn("avg_score", python_round(F.col("avg_score"), 4))
 
 
 def quality_counts(df: DataFrame) -> DataFrame:

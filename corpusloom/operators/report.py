@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import patterns as P
 from corpusloom.functions import text as X
+from corpusloom.functions.rounding import python_round
 
 
 def source_distribution(df: DataFrame) -> DataFrame:
     """source, record_count, token_count, token_share (4 digits), by source name."""
     sums = df.groupBy("source").agg(F.count("*").alias("record_count"), F.sum("token_count").alias("token_count"))
     total = F.sum("token_count").over(Window.partitionBy())  # over one row per source
-    share = F.bround(X.ratio(F.col("token_count"), total), 4)
+    share = python_round(X.ratio(F.col("token_count"), total), 4)
     return sums.withColumn("token_share", share).orderBy("source")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions.frames import once, ship_package
+from corpusloom.functions.rounding import python_round
 
 BUILTIN_TOKENIZER = "simple_fallback_tokenizer"
 
@@ -66,12 +67,13 @@ def add_token_counts(df: DataFrame, tokenizer: Tokenizer = Tokenizer()) -> DataF
 def token_stats(df: DataFrame) -> DataFrame:
     """One row: total, average (2 digits), minimum and maximum; zeros for an empty input."""
     n = F.col("token_count")
-    return df.agg(
+    totals = df.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_tokens"),
-        F.coalesce(F.bround(F.avg(n), 2), F.lit(0.0)).alias("avg_tokens"),
+        F.coalesce(F.avg(n), F.lit(0.0)).alias("avg_tokens"),
         F.coalesce(F.min(n), F.lit(0)).alias("min_tokens"),
         F.coalesce(F.max(n), F.lit(0)).alias("max_tokens"),
     )
+    return totals.withColumn("avg_tokens", python_round(F.col("avg_tokens"), 2))
 
 
 def tokens_by_source(df: DataFrame) -> DataFrame:

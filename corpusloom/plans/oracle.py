@@ -108,6 +108,16 @@ PAIRS = """SELECT conv_id, turn, text AS question, answer FROM (
       SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS answer FROM conversations
       WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) WHERE role = 'user' AND next_role = 'assistant'"""
 
+TURNS = """SELECT conv_id, turn, CASE WHEN role = 'user' THEN own ELSE '' END AS question,
+      CASE WHEN role = 'user' AND role_before = 'system' THEN before ELSE '' END AS given,
+      CASE WHEN role = 'user' AND role_after = 'assistant' THEN after WHEN role = 'assistant' THEN own ELSE '' END AS answer,
+      CASE WHEN role <> 'user' THEN own WHEN role_before = 'system' THEN before ELSE '' END AS alone
+    FROM (SELECT conv_id, turn, role, own, coalesce(lag(role) OVER w, '') AS role_before, coalesce(lag(own) OVER w, '') AS before,
+        coalesce(lead(role) OVER w, '') AS role_after, coalesce(lead(own) OVER w, '') AS after
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS own FROM conversations)
+      WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+    WHERE NOT (role = 'assistant' AND role_before = 'user') AND NOT (role = 'system' AND role_after = 'user')"""
+
 RAW_DOCS = "docs AS MATERIALIZED (SELECT doc_id AS ord, text FROM documents)"
 DOCS = f"docs AS MATERIALIZED (SELECT doc_id AS ord, {normalized('text')} AS text FROM documents)"
 PLACE = 72057594037927936  # 2^56
@@ -118,8 +128,9 @@ CORPUS = f"""
       'education' AS domain, '' AS url, 'document_plain_text' AS parser, 'origin=' || source || '|' AS extra FROM documents
     UNION ALL
     SELECT 2 * {PLACE} + conv_id * 65536 + turn, 'conversation-' || conv_id || '-' || turn, 'instruction',
-      CASE WHEN question = '' AND answer = '' THEN '' ELSE 'Instruction: ' || {strip('question')} || chr(10) || 'Output: ' || {strip('answer')} END,
-      NULL, 'general', '', 'instruction_template', '' FROM ({PAIRS})
+      CASE WHEN question = '' AND answer = '' THEN alone ELSE 'Instruction: ' || {strip('question')} ||
+        (CASE WHEN {strip('given')} = '' THEN '' ELSE chr(10) || 'Input: ' || {strip('given')} END) || chr(10) || 'Output: ' || {strip('answer')} END,
+      NULL, 'general', '', 'instruction_template', '' FROM ({TURNS})
     UNION ALL
     SELECT 3 * {PLACE} + page_id, 'page-' || page_id, 'web', {page_text('html')}, NULL, 'technology', url, 'beautifulsoup_html', '' FROM pages
   )"""
@@ -267,11 +278,22 @@ TOKENS_OF_DOCS = f"WITH {DOCS}, counted AS MATERIALIZED (SELECT ord AS doc_id, l
 RAW_TOKENS = f"WITH counted AS (SELECT len(regexp_extract_all(text, '{TOKEN}'))::BIGINT AS token_count FROM documents)"
 CLEAN_DOCS = f"WITH {cleaned(corpus=DOCS_CORPUS)}"
 SCORED = f"WITH {scored()}"
+SCORED_DEFAULT = f"WITH {scored('0.04')}"
+SAMPLED_DEFAULT = f"WITH {scored('0.04')}, {CANDIDATES}, {sampled('candidates')}"
 SAMPLED = f"WITH {scored()}, {CANDIDATES}, {sampled('candidates')}"
 BACKFILL = "(VALUES ('code', 0, 188), ('instruction', 1, 62), ('web', 2, 0)) q(source, place, target)"
-TRAIN = f"""WITH RECURSIVE {scored()}, unfiltered AS MATERIALIZED (SELECT * FROM scored WHERE filter_reason = ''), {exact('unfiltered')}, {near()},
+
+
+def train(min_unique: str) -> str:
+    return f"""WITH RECURSIVE {scored(min_unique)}, unfiltered AS MATERIALIZED (SELECT * FROM scored WHERE filter_reason = ''), {exact('unfiltered')}, {near()},
   candidates AS MATERIALIZED (SELECT * EXCLUDE (dedup_signature, first_ord) FROM survivors WHERE quality_score >= 0.45), {sampled('candidates')}"""
 
+
+TRAIN = train("0.0")
+REPORT_CORE = f"""SELECT a AS raw_records, a - f AS kept_records, f AS filtered_records, a - f AS dedup_before, t AS dedup_after,
+      round({ratio('(a - f - t)', '(a - f)')}, 6) AS duplicate_rate, t AS train_records, k::BIGINT AS total_tokens FROM
+      (SELECT count(*) AS a, count(*) FILTER (filter_reason <> '') AS f FROM scored), (SELECT count(*) AS t, coalesce(sum(token_count), 0) AS k FROM sampled)"""
+
 SQL: dict[str, str] = {
     "normalize_text": f"WITH {DOCS} SELECT ord AS doc_id, text FROM docs",
     "text_counters": f"{WITH_DOCS} SELECT ord AS doc_id, * EXCLUDE (ord) FROM counted",
@@ -286,7 +308,7 @@ SQL: dict[str, str] = {
     "info_unique_ratio": f"""{WITH_DOCS} SELECT ord AS doc_id, round({ratio('alnum', 'visible')}, 6) AS info_ratio,
       round({ratio('"distinct"', 'visible')}, 6) AS unique_ratio FROM counted""",
     "ingest_counts": f"""SELECT 'document' AS source, count(*) AS records FROM documents UNION ALL SELECT 'web', count(*) FROM pages
-      UNION ALL SELECT 'instruction', count(*) FROM ({PAIRS})""",
+      UNION ALL SELECT 'instruction', count(*) FROM ({TURNS})""",
     "exact_dedup": f"WITH {RAW_DOCS}, {exact()} SELECT ord, dedup_signature FROM firsts",
     "exact_dedup_stats": f"""WITH {RAW_DOCS}, {exact()} SELECT 'md5_exact' AS method, a AS input_records, b AS output_records, a - b AS duplicates_removed
       FROM (SELECT count(*) AS a FROM signed), (SELECT count(*) AS b FROM firsts)""",
@@ -300,13 +322,13 @@ SQL: dict[str, str] = {
       sizes AS (SELECT k, (SELECT count(*) FROM a WHERE a.k = p.k) AS m, (SELECT count(*) FROM b WHERE b.k = p.k) AS n,
         (SELECT count(*) FROM a JOIN b USING (k, g) WHERE a.k = p.k) AS shared FROM pairs p)
       SELECT k.c AS conv_id, k.t AS turn, round(CASE WHEN m + n = 0 THEN 1.0::DOUBLE ELSE shared::DOUBLE / (m + n - shared)::DOUBLE END, 6) AS similarity FROM sizes""",
-    "near_dedup": f"{NEAR} SELECT ord, ord::VARCHAR AS record_id, leader::VARCHAR AS duplicate_of, round(similarity, 4) AS similarity FROM dropped",
+    "near_dedup": f"{NEAR} SELECT ord, ord::VARCHAR AS record_id, leader::VARCHAR AS duplicate_of, printf('%.4f', similarity)::DOUBLE AS similarity FROM dropped",
     "near_dedup_kept": f"{NEAR} SELECT ord, md5(text) AS text_md5 FROM survivors",
     "near_dedup_stats": f"""{NEAR}, ranked AS (SELECT ord, row_number() OVER (ORDER BY ord) AS place FROM survivors)
       SELECT 'char_ngram_jaccard' AS method, (SELECT count(*) FROM firsts) AS input_records, (SELECT count(*) FROM survivors) AS output_records,
         (SELECT count(*) FROM gone) AS duplicates_removed, 0.85::DOUBLE AS threshold, 5::BIGINT AS ngram_size,
         ((SELECT sum(place - 1) FROM ranked) + coalesce((SELECT sum(place) FROM dropped d JOIN ranked r ON r.ord = d.leader), 0))::BIGINT AS comparisons""",
-    "minhash_near_dedup": f"{NEAR} SELECT ord, ord::VARCHAR AS record_id, leader::VARCHAR AS duplicate_of, round(similarity, 4) AS similarity FROM dropped",
+    "minhash_near_dedup": f"{NEAR} SELECT ord, ord::VARCHAR AS record_id, leader::VARCHAR AS duplicate_of, printf('%.4f', similarity)::DOUBLE AS similarity FROM dropped",
     "dedup_rollup": f"""{NEAR} SELECT a AS input_records, b AS output_records, a - b AS duplicates_removed, round({ratio('(a - b)', 'a')}, 6) AS duplicate_rate
       FROM (SELECT count(*) AS a FROM docs), (SELECT count(*) AS b FROM survivors)""",
     "simhash_sig": f"WITH src AS (SELECT doc_id AS key, text FROM documents) SELECT key AS ord, simhash FROM ({votes('src')})",
@@ -317,7 +339,7 @@ SQL: dict[str, str] = {
       FROM hashed q JOIN hashed a ON q.key.c = a.key.c AND q.key.t = a.key.t WHERE q.key.s = 'q' AND a.key.s = 'a'""",
     "tokenize": f"WITH {DOCS} SELECT token, count(*) AS occurrences FROM (SELECT unnest(regexp_extract_all(text, '{TOKEN}')) AS token FROM docs) GROUP BY token",
     "tokenize_count": f"{TOKENS_OF_DOCS} SELECT doc_id, token_count, {LENGTH_BUCKET} AS length_bucket FROM counted",
-    "token_stats": f"""{RAW_TOKENS} SELECT sum(token_count)::BIGINT AS total_tokens, round_even(sum(token_count)::DOUBLE / count(*)::DOUBLE, 2) AS avg_tokens,
+    "token_stats": f"""{RAW_TOKENS} SELECT sum(token_count)::BIGINT AS total_tokens, printf('%.2f', sum(token_count)::DOUBLE / count(*)::DOUBLE)::DOUBLE AS avg_tokens,
       min(token_count) AS min_tokens, max(token_count) AS max_tokens FROM counted""",
     "length_distribution": f"{RAW_TOKENS} SELECT {LENGTH_BUCKET} AS length_bucket, count(*) AS records FROM counted GROUP BY 1",
     "tokens_by_source": f"WITH {CORPUS} SELECT source, sum(len(regexp_extract_all(raw_text, '{TOKEN}')))::BIGINT AS tokens FROM corpus GROUP BY source",
@@ -326,7 +348,8 @@ SQL: dict[str, str] = {
       flags <> '' AS pii_flag, language, source, round(code_symbol_ratio, 6) AS code_symbol_ratio, round(alpha_digit_ratio, 6) AS alpha_digit_ratio,
       has_instruction_structure FROM ({FEATURES})""",
     "quality_score": f"{SCORED} SELECT ord, source, quality_score, quality_bucket FROM scored",
-    "quality_stats": f"{SCORED} SELECT round(avg(quality_score), 4) AS avg_score, min(quality_score) AS min_score, max(quality_score) AS max_score FROM scored",
+    "quality_stats": f"{SCORED} SELECT printf('%.4f', sum(quality_score::DECIMAL(18,4))::DOUBLE / count(*)::DOUBLE)::DOUBLE AS avg_score, sum(round(quality_score * 10000)::BIGINT)::BIGINT AS score_sum, min(quality_score) AS min_score, max(quality_score) AS max_score FROM scored",
+    "quality_stats_default": f"{SCORED_DEFAULT} SELECT printf('%.4f', sum(quality_score::DECIMAL(18,4))::DOUBLE / count(*)::DOUBLE)::DOUBLE AS avg_score, sum(round(quality_score * 10000)::BIGINT)::BIGINT AS score_sum, min(quality_score) AS min_score, max(quality_score) AS max_score FROM scored",
     "quality_counts": f"""{SCORED} SELECT source, quality_bucket, count(*) AS records FROM scored
       GROUP BY GROUPING SETS ((quality_bucket), (source, quality_bucket))""",
     "sample_by_quality": f"{SCORED}, {CANDIDATES} SELECT ord, quality_score, token_count FROM candidates",
@@ -351,7 +374,7 @@ SQL: dict[str, str] = {
       CASE WHEN lang IN ('zh','en','mixed','code','unknown') THEN lang ELSE 'unknown' END AS language, md5(text) AS text_md5
       FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM documents)""",
     "source_distribution": f"""{SAMPLED} SELECT source, count(*) AS record_count, sum(token_count)::BIGINT AS token_count,
-      round_even(sum(token_count)::DOUBLE / (SELECT sum(token_count) FROM sampled)::DOUBLE, 4) AS token_share FROM sampled GROUP BY source""",
+      printf('%.4f', sum(token_count)::DOUBLE / (SELECT sum(token_count) FROM sampled)::DOUBLE)::DOUBLE AS token_share FROM sampled GROUP BY source""",
     "reason_distribution": f'WITH {cleaned()} SELECT filter_reason, count(*) AS "count" FROM clean WHERE filter_reason <> \'\' GROUP BY 1',
     "quality_distribution": f"""{SCORED} SELECT b AS quality_bucket, count(s.ord) AS "count" FROM (VALUES ('high'), ('medium'), ('low')) v(b)
       LEFT JOIN scored s ON s.quality_bucket = b GROUP BY b""",
@@ -360,9 +383,9 @@ SQL: dict[str, str] = {
     "value_counts": 'SELECT lang AS "value", count(*) AS "count" FROM documents GROUP BY lang',
     "top_samples": f"{SAMPLED} SELECT train_rank, source, quality_score, {preview('text')} AS preview FROM sampled ORDER BY quality_score DESC, train_rank LIMIT 3",
     "filtered_samples": f"WITH {cleaned()} SELECT ord, filter_reason, source, {preview('text')} AS preview FROM clean WHERE filter_reason <> '' ORDER BY ord LIMIT 5",
-    "report_core": f"""{SAMPLED} SELECT a AS raw_records, a - f AS kept_records, f AS filtered_records, a - f AS dedup_before, t AS dedup_after,
-      round({ratio('(a - f - t)', '(a - f)')}, 6) AS duplicate_rate, t AS train_records, k::BIGINT AS total_tokens FROM
-      (SELECT count(*) AS a, count(*) FILTER (filter_reason <> '') AS f FROM scored), (SELECT count(*) AS t, sum(token_count) AS k FROM sampled)""",
+    "report_core": f"{SAMPLED} {REPORT_CORE}",
+    "report_core_default": f"{SAMPLED_DEFAULT} {REPORT_CORE}",
     "train_set": f"{TRAIN} SELECT train_rank, ord, source, token_count, quality_score, quality_bucket AS bucket, md5(text) AS text_md5 FROM sampled",
+    "train_set_default": f"{train('0.04')} SELECT train_rank, ord, source, token_count, quality_score, quality_bucket AS bucket, md5(text) AS text_md5 FROM sampled",
     "train_set_minhash": f"{TRAIN} SELECT train_rank, ord, source, token_count, quality_score FROM sampled",
 }

@@ -40,9 +40,9 @@ def cleaned_docs(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean(tables.load_tables(spark, folder, ("document",)), canonical=True)
 
 
-def scored_corpus(spark: SparkSession, folder: str) -> DataFrame:
+def scored_corpus(spark: SparkSession, folder: str, config: CleanConfig = LONG_TEXTS) -> DataFrame:
     """All tables, cleaned, counted and scored."""
-    rows = cleaning.clean(tables.load_tables(spark, folder), LONG_TEXTS, keep_counters=True, canonical=True)
+    rows = cleaning.clean(tables.load_tables(spark, folder), config, keep_counters=True, canonical=True)
     return quality.add_quality_scores(tokens.add_token_counts(rows), flags_complete=True).drop("counters")
 
 
@@ -240,6 +240,11 @@ def quality_stats(spark, folder):
     return quality.quality_stats(scored_corpus(spark, folder))
 
 
+def quality_stats_default(spark, folder):
+    """As ``quality_stats``, with the default rules."""
+    return quality.quality_stats(scored_corpus(spark, folder, CleanConfig()))
+
+
 def quality_counts(spark, folder):
     return quality.quality_counts(scored_corpus(spark, folder))
 
@@ -368,18 +373,28 @@ def filtered_samples(spark, folder):
     return report.filtered_samples(cleaning.clean(tables.load_tables(spark, folder), canonical=True))
 
 
-def report_core(spark, folder):
-    rows = materialize(scored_corpus(spark, folder).select("ord", "id", "source", "filtered", "quality_score", "token_count"), "scored")
+def report_core(spark, folder, config=LONG_TEXTS):
+    rows = materialize(scored_corpus(spark, folder, config).select("ord", "id", "source", "filtered", "quality_score", "token_count"), "scored")
     sampled = sampling.sample_by_source_ratio(sampling.sample_by_quality(rows), RATIOS, 300)
     core = report.report_core(sampled, rows)
     return core.withColumn("duplicate_rate", F.round("duplicate_rate", 6))
 
 
+def report_core_default(spark, folder):
+    """As ``report_core``, with the default rules."""
+    return report_core(spark, folder, CleanConfig())
+
+
 # --- whole runs -------------------------------------------------------------------------------------
 
 
-def train_set(spark, folder):
-    rows = runs.train_set(tables.load_tables(spark, folder), CONFIG)
+def train_set_default(spark, folder):
+    """As ``train_set``, with the default rules."""
+    return train_set(spark, folder, replace(CONFIG, cleaning=CleanConfig()))
+
+
+def train_set(spark, folder, config=CONFIG):
+    rows = runs.train_set(tables.load_tables(spark, folder), config)
     return rows.select("train_rank", "ord", "source", "token_count", "quality_score", F.col("metadata")["quality_bucket"].alias("bucket"), F.md5("text").alias("text_md5"))
 
 
@@ -400,6 +415,7 @@ QUERIES: dict[str, Query] = {
         quality_counts, sample_by_quality, sample_by_source_ratio, sample_backfill, sample_topk, source_quotas,
         sampling_metrics, instruction_text, html_to_text, parse_corpus, normalize_records, validate_records,
         jsonl_ingest, source_distribution, reason_distribution, quality_distribution, safety_flag_hist, value_counts,
-        top_samples, filtered_samples, report_core, train_set, train_set_minhash,
+        top_samples, filtered_samples, report_core, train_set, train_set_minhash, quality_stats_default,
+        report_core_default, train_set_default,
     )
 }

@@ -62,22 +62,25 @@ def scored(rows: DataFrame) -> DataFrame:
 
 
 def deduplicate(kept: DataFrame, config: RunConfig) -> tuple[DataFrame, dict[str, Any]]:
-    """Exact, then near deduplication of prepared rows; returns the surviving rows and the metrics."""
-    rows, details = kept, {}
+    """Exact, then near deduplication of prepared rows; returns the surviving rows and what the stages did, by name."""
+    rows, stages = kept, {}
     if config.dedup.exact:
-        exact = exact_dedup(rows.withColumn("dedup_signature", F.col("_signature")), prepared=True)
-        details["exact"] = _values(exact.stats)
-        rows = exact.kept
+        stages["exact"] = exact_dedup(rows.withColumn("dedup_signature", F.col("_signature")), prepared=True)
+        rows = stages["exact"].kept
     if config.dedup.approximate:
-        near = near_dedup(rows, config.dedup.approximate_threshold, config.dedup.ngram_size, config.dedup.method)
-        details["approximate"] = _values(near.stats)
-        rows = near.kept
+        stages["approximate"] = near_dedup(rows, config.dedup.approximate_threshold, config.dedup.ngram_size, config.dedup.method)
+        rows = stages["approximate"].kept
+    return rows, stages
+
+
+def _dedup_metrics(kept: DataFrame, stages: dict[str, Any]) -> dict[str, Any]:
+    details = {name: _values(stage.stats) for name, stage in stages.items()}
     if details:
-        stages = list(details.values())
-        before, after = stages[0]["input_records"], stages[-1]["output_records"]
+        totals = list(details.values())
+        before, after = totals[0]["input_records"], totals[-1]["output_records"]
     else:
         before = after = kept.count()
-    return rows, {**dedup_rollup(before, after), **details}
+    return {**dedup_rollup(before, after), **details}
 
 
 def train_set(records: DataFrame, config: RunConfig, tokenizer: Tokenizer = Tokenizer()) -> DataFrame:
@@ -103,7 +106,8 @@ def run(
     """
     out = output_dir.rstrip("/")
     paths = {n: f"{out}/{n}" for n in ("clean", "processed", "train", "metrics", "source_distribution", "filtered_reasons",
-                                       "quality_distribution", "safety_flags", "core", "top_samples", "filtered_samples")}
+                                       "quality_distribution", "safety_flags", "core", "top_samples", "filtered_samples",
+                                       "duplicate_ids", "duplicate_pairs")}
     tokenizer = tokenizer.checked()
     records = load_corpus(spark, input_path)
     if records.isEmpty():
@@ -119,7 +123,14 @@ def run(
     reasons = _counts(cleaning.filter_reason_counts(cleaned))
     metrics["cleaning"] = {**_values(cleaning.cleaning_stats(cleaned)), "filter_reasons": reasons}
 
-    survivors, metrics["dedup"] = deduplicate(cleaning.keep_unfiltered(cleaned), config)
+    kept = cleaning.keep_unfiltered(cleaned)
+    survivors, stages = deduplicate(kept, config)
+    metrics["dedup"] = _dedup_metrics(kept, stages)
+    # The duplicates themselves, in input order: what was removed and for which record.
+    if exact := stages.get("exact"):
+        sinks.write_jsonl(exact.duplicates, paths["duplicate_ids"], "ord", mode)
+    if near := stages.get("approximate"):
+        sinks.write_jsonl(near.pairs, paths["duplicate_pairs"], "ord", mode)
     survivors = scored(survivors)
     sinks.write_corpus(survivors, paths["processed"], "source", mode)
     processed = spark.read.schema(survivors.schema).parquet(paths["processed"])

@@ -1,7 +1,7 @@
 """Corpus tables in Parquet -> raw records.
 
-``documents`` become source document, ``conversations`` (each user turn with the assistant turn that
-answers it) become source instruction, ``pages`` become source web.
+``documents`` become source document, ``conversations`` source instruction (see :func:`turn_records`),
+``pages`` source web.
 """
 
 from __future__ import annotations
@@ -46,14 +46,44 @@ def turn_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return c.filter("role = 'user' AND next_role = 'assistant'").select("conv_id", "turn", F.col("text").alias("question"), "answer")
 
 
+def turn_records(spark: SparkSession, folder: str) -> DataFrame:
+    """(conv_id, turn, instruction, input, output, text): every turn of a conversation is part of one record.
+
+    A user turn is a record: the assistant turn right after it is its output (empty if there is none), the system turn
+    right before it its input.  An assistant turn without a user turn right before it is a record of its own output, any
+    other turn (a system turn without a user turn right after it) a record of its own text.
+    """
+    c = read_table(spark, folder, "conversations", ["conv_id", "turn", "role", "text"], "conv_id")
+    order = Window.partitionBy("conv_id").orderBy("turn")
+    text, empty = F.coalesce("text", F.lit("")), F.lit("")
+    c = c.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), text.alias("own"))
+    sides = {"role_before": F.lag("role"), "before": F.lag("own"), "role_after": F.lead("role"), "after": F.lead("own")}
+    c = c.withColumns({name: F.coalesce(value.over(order), empty) for name, value in sides.items()})
+    user, answer = F.col("role") == "user", F.col("role") == "assistant"
+    given = F.when(user & (F.col("role_before") == "system"), F.col("before")).otherwise(empty)
+    output = F.when(user & (F.col("role_after") == "assistant"), F.col("after")).when(answer, F.col("own")).otherwise(empty)
+    taken = (answer & (F.col("role_before") == "user")) | ((F.col("role") == "system") & (F.col("role_after") == "user"))
+    return c.filter(~taken).select(
+        "conv_id",
+        "turn",
+        F.when(user, F.col("own")).otherwise(empty).alias("instruction"),
+        given.alias("input"),
+        output.alias("output"),
+        F.when(user, given).otherwise(F.col("own")).alias("text"),
+    )
+
+
 def instructions(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("conv_id") * (1 << TURN_BITS) + F.col("turn")
-    return turn_pairs(spark, folder).select(
+    fits = F.col("turn").between(0, (1 << TURN_BITS) - 1)
+    key = F.when(fits, F.col("conv_id") * (1 << TURN_BITS) + F.col("turn")).otherwise(F.raise_error(F.lit("turn beyond the key's bits")).cast("bigint"))
+    return turn_records(spark, folder).select(
         ord_of("instruction", key).alias("ord"),
         F.format_string("conversation-%d-%d", "conv_id", "turn").alias("id"),
         F.lit("instruction").alias("source"),
-        F.col("question").alias("instruction"),
-        F.col("answer").alias("output"),
+        "instruction",
+        "input",
+        "output",
+        "text",
     )
 
 
