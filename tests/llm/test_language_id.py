@@ -1,0 +1,48 @@
+import zlib
+
+import cases
+from corpusloom.llm.language_id import SAMPLE_CHARS, SAMPLES, Classifier, fit, identify, keep_identified
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    truth = {r.doc_id: (r.lang, r.text) for r in docs.collect()}
+    got = identify(docs, docs).collect()
+    assert {r.doc_id: r.held_out for r in got} == {d: zlib.crc32(str(d).encode()) % 3 == 1 for d in truth}
+    held = [r for r in got if r.held_out]
+    right = [r.lang_pred == truth[r.doc_id][0] for r in held]
+    assert len(held) > 3000 and sum(right) / len(right) > 0.985
+    assert all(0 <= r.score <= 1 for r in got)
+    assert sum(not r.accepted for r in got) < 0.01 * len(got)
+
+
+def test_learns_only_from_the_others(spark):
+    docs = cases.table(spark)
+    shuffled = docs.selectExpr("doc_id", "text", "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1 THEN 'zz' ELSE lang END AS lang")
+    found = fit(docs)
+    assert found == fit(shuffled.repartition(3)) and set(found) <= {"en", "fr", "de", "xx"}
+    assert all(len(d.decode()) <= SAMPLES * (SAMPLE_CHARS + 1) for d in found.values())
+
+
+def test_und_and_ties(spark):
+    got = {(r.doc_id, r.lang_pred) for r in identify(cases.table(spark), cases.table(spark)).collect()}
+    assert {d for d, lang in got if lang == "und"} == {200, 201, 202, 205, None}
+    assert (213, "und") not in got
+    alone = Classifier({"en": b"the of"})
+    assert alone.predict("words") == ("en", 1.0) and alone.predict("12 !") == ("und", 0.0)
+    assert Classifier({}).predict("words") == ("und", 0.0)
+    assert Classifier({"b": b"the of", "a": b"the of"}).predict("the of")[0] == "a"
+
+
+def test_kept_rows_are_whole(spark):
+    docs = cases.table(spark)
+    kept = keep_identified(docs, docs)
+    good = sorted(((r.doc_id, r.lang_pred) for r in identify(docs, docs).collect() if r.accepted), key=repr)
+    assert kept.columns == docs.columns and sorted((r.doc_id for r in kept.collect()), key=repr) == [d for d, _ in good]
+
+
+def test_empty_and_null(spark):
+    none = cases.table(spark, [])
+    assert identify(none, none).collect() == [] and keep_identified(none, none).collect() == []
+    assert {(r.lang_pred, r.accepted) for r in identify(cases.table(spark), none).collect()} == {("und", False)}
+    assert {tuple(r) for r in identify(cases.with_nulls(spark), cases.with_nulls(spark)).collect()} == {(None, False, "und", 0.0, False)}

@@ -1,0 +1,44 @@
+import zlib
+
+import cases
+from corpusloom.llm.sharding import shard_by_bytes
+
+
+def _expected(rows: list[tuple], shards: int) -> list[tuple]:
+    narrow = [(d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, _ in rows]
+    narrow.sort(key=lambda r: (r[0] is not None, r))
+    whole, before, slots, out = sum(r[1] for r in narrow), 0, [0] * shards, []
+    for doc_id, size, crc in narrow:
+        shard = (2 * before + size) * shards // (2 * whole)
+        out.append((doc_id, size, crc, "bytes", shard, slots[shard], None))
+        slots[shard] += 1
+        before += size
+    return out
+
+
+def test_equals_one_running_sum(spark):
+    for rows in (cases.texts(), [(i, "x" * (i % 7), None) for i in range(500)], [(1, "ab", None)] * 90):
+        for shards in (1, 8, 3):
+            got = [tuple(r) for r in shard_by_bytes(cases.table(spark, rows), shards).collect()]
+            assert sorted(got, key=repr) == sorted(_expected(rows, shards), key=repr)
+
+
+def test_balance_and_slots(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = shard_by_bytes(docs, 8).collect()
+    sizes = [sum(r.size for r in got if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 2 * max(r.size for r in got)
+    for s in range(8):
+        own = sorted((r.slot, r.doc_id) for r in got if r.shard == s)
+        assert [n for n, _ in own] == list(range(len(own))) and [d for _, d in own] == sorted(d for _, d in own)
+
+
+def test_partitions_do_not_matter(spark):
+    rows = cases.texts()
+    a, b = (sorted(map(repr, shard_by_bytes(cases.table(spark, rows).repartition(n), 8).collect())) for n in (1, 13))
+    assert a == b
+
+
+def test_empty_and_null(spark):
+    assert shard_by_bytes(cases.table(spark, [])).collect() == []
+    assert sorted(r.slot for r in shard_by_bytes(cases.with_nulls(spark), 1).collect()) == [0, 1, 2]

@@ -1,0 +1,111 @@
+import base64
+import gzip
+import hashlib
+import uuid
+from pathlib import Path
+
+import pytest
+from corpusloom.functions.frames import scratch_dir
+from corpusloom.llm.warc import _hex, parse, read_archives, write_archives
+from pyspark.sql import functions as F
+
+COLUMNS = "page_id long, url string, html string, file string, place long, sha string"
+
+
+def _folder(spark) -> str:
+    return f"{scratch_dir(spark)}/test-warc-{uuid.uuid4().hex}"
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame([(*r, "f", 1, "s") for r in rows], COLUMNS).repartition(4)
+
+
+ROWS = [
+    *[(i, f"http://a.example/{i}", f"<p>page {i} é漢</p>" * (i % 9)) for i in range(60)],
+    *[(100 - i, f"http://b.example/{i}", "<p>copy</p>") for i in range(12)],
+    (200, None, None), (201, "http://x y/\r\nz", ""), (202, "", None), (None, "http://n", "<p>copy</p>"), (None, "http://n", "<p>alone</p>"), (None, None, None),
+    (3, "http://a.example/3", "<p>page 3 é漢</p>" * 3), (3, "http://other.example/3", "<p>page 3 é漢</p>" * 3), (210, "http://long", "\0\r\n\r\n" + "x" * 300_000), (211, "http://u", "WARC/1.1\r\n\r\n"),
+]
+
+
+def _expected(rows, least):
+    out, groups = [], {}
+    payloads = [(p, u or "", (h or "").encode()) for p, u, h in rows]
+    for i, (page, url, payload) in sorted(enumerate(payloads), key=lambda x: (x[1][0] is None, x[1][0] or 0, x[1][1], x[0])):
+        sha = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        first = groups.setdefault(sha, (i, page)) if len(payload) >= least else (i, page)
+        out.append((page, len(payload), sha, "response" if first[0] == i else "revisit", None if first[0] == i else first[1], payload if first[0] == i else None))
+    return out
+
+
+def _got(df):
+    return [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in df.collect()]
+
+
+@pytest.mark.parametrize("least", [0, 20])
+def test_round_trip(spark, least):
+    folder = _folder(spark)
+    write_archives(_pages(spark, ROWS), folder, file_bytes=3_000, least=least)
+    assert sorted(_got(read_archives(spark, folder)), key=repr) == sorted(_expected(ROWS, least), key=repr)
+
+
+def _contents(folder):
+    root = Path(folder.removeprefix("file:"))
+    return {f.parent.name: f.read_bytes() for f in root.glob("archives/*/part-*")}
+
+
+def test_files_are_plain_gzip_and_depend_on_rows_alone(spark):
+    one, two = _folder(spark), _folder(spark)
+    write_archives(_pages(spark, ROWS), one, file_bytes=3_000)
+    write_archives(_pages(spark, ROWS[::-1]).repartition(7), two, file_bytes=3_000)
+    files = _contents(one)
+    assert files == _contents(two) and len(files) > 3
+    pages = []
+    for name in sorted(files, key=lambda n: int(n.split("=")[1])):
+        text = gzip.decompress(files[name])  # the standard library's reader takes the whole file
+        assert text.startswith(b"WARC/1.1\r\n") and text.endswith(b"\r\n\r\n")
+        pages += [int(x.split(b"\r\n")[0] or 10**9) for x in text.split(b"\r\nX-Page-ID: ")[1:]]
+    assert pages == sorted(pages) and len(pages) == len(ROWS)
+    sizes = [len(files[n]) for n in files]
+    assert max(sizes) < 3_000 + 2_000
+    manifest = {r.file: (r.records, r.bytes) for r in spark.read.json(f"{one}/manifest").collect()}
+    assert sum(n for n, _ in manifest.values()) == len(ROWS) and {f"file={k}": b for k, (_, b) in manifest.items()} == {n: len(x) for n, x in files.items()}
+
+
+def test_record_beyond_the_size_field(spark):
+    folder = _folder(spark)
+    write_archives(_pages(spark, [(1, "http://big", "ab" * 9_000_000), (2, "http://s", "small")]), folder)
+    assert {(r[0], r[1]) for r in _got(read_archives(spark, folder))} == {(1, 18_000_000), (2, 5)}
+    assert gzip.decompress(_contents(folder)["file=0"]).count(b"WARC/1.1") == 2
+
+
+def test_broken_archives_are_errors(spark):
+    folder = _folder(spark)
+    write_archives(_pages(spark, ROWS[:5]), folder)
+    with pytest.raises(FileExistsError):
+        write_archives(_pages(spark, ROWS[:5]), folder)
+    file = next(Path(folder.removeprefix("file:")).glob("archives/*/part-*"))
+    data = gzip.decompress(file.read_bytes())
+    record = data[: data.index(b"WARC/1.1", 5)]
+    assert parse(record)["WARC-Type"] == "response"
+    with pytest.raises(ValueError):
+        parse(record.replace(b"Content-Type: text/html", b"Content-Type: text/htmx"))
+    file.write_bytes(file.read_bytes()[:-1])
+    (file.parent / f".{file.name}.crc").unlink()
+    with pytest.raises(ValueError):
+        read_archives(spark, folder).collect()
+
+
+def test_base32_to_hex(spark):
+    shas = [hashlib.sha1(bytes([i])).digest() for i in range(50)] + [b"\0" * 20, b"\xff" * 20]
+    rows = spark.createDataFrame([(base64.b32encode(s).decode(), s.hex()) for s in shas], "a string, b string")
+    assert rows.filter(_hex(F.col("a")) != F.col("b")).count() == 0
+
+
+def test_empty_and_null(spark):
+    folder = _folder(spark)
+    write_archives(_pages(spark, []), folder)
+    assert read_archives(spark, folder).collect() == []
+    folder = _folder(spark)
+    write_archives(spark.createDataFrame([(None,) * 6] * 3, COLUMNS), folder)
+    assert sorted(r.record_type for r in read_archives(spark, folder).collect()) == ["response", "revisit", "revisit"]
