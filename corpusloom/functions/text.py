@@ -150,8 +150,10 @@ def char_ngrams(c: Column | str, n: int = 5) -> Column:
 def jaccard(a: Column | str, b: Column | str) -> Column:
     """Jaccard similarity of two sets given as arrays without repeats; two empty sets are alike."""
     a, b = col_of(a), col_of(b)
-    both = F.size(F.array_intersect(a, b)).cast("double")
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
+    every = F.size(a) + F.size(b)
+    # A one-element array binds the shared count, so the sets are intersected once.
+    shared = F.transform(F.array(F.size(F.array_intersect(a, b)).cast("double")), lambda n: n / (every - n))
+    return F.when(every == 0, F.lit(1.0)).otherwise(shared[0])
 
 
 def token_hash64(token: Column) -> Column:

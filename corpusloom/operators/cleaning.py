@@ -11,6 +11,7 @@ from corpusloom.functions.frames import once
 from corpusloom.operators.schema import CANONICAL, normalize_records
 from corpusloom.plans.config import CleanConfig
 
+VERDICT_COUNTERS = ["length", "visible", "alnum", "distinct", "urls", "max_run"]
 COUNTERS = ["length", "visible", "zh", "letters", "digits", "symbols", "alnum", "distinct", "keywords", "urls", "max_run"]
 
 
@@ -43,7 +44,7 @@ def language_of(counters: str = "counters") -> Column:
 
 def filter_reason(text: Column, flags: Column, config: CleanConfig, counters: str = "counters") -> Column:
     """Why a text is filtered, '' if it is not; the first matching rule wins."""
-    c = {n: F.col(f"{counters}.{n}") for n in COUNTERS}
+    c = {n: F.col(f"{counters}.{n}") for n in VERDICT_COUNTERS}
     low_information = (X.ratio(c["alnum"], c["visible"]) < config.min_info_ratio) | (
         X.ratio(c["distinct"], c["visible"]) < config.min_unique_ratio
     )
@@ -82,6 +83,15 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig(), keep_counters: boo
     return df.select(*extra, *CANONICAL.names)
 
 
+def verdicts(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
+    """(filter_reason, filtered) of canonical rows: only the counters that the verdict needs."""
+    df = once(df.select("text"), text=X.normalize_text("text"))
+    df = with_counters(df, VERDICT_COUNTERS)
+    df = once(df, _pii=X.pii_flags("text"))
+    df = once(df, filter_reason=filter_reason(F.col("text"), F.col("_pii"), config))
+    return df.select("filter_reason", (F.col("filter_reason") != "").alias("filtered"))
+
+
 def keep_unfiltered(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("filtered"))
 

@@ -26,8 +26,17 @@ class ExactDedup:
 
     @property
     def kept(self) -> DataFrame:
-        """The surviving rows.  Only (ord) is matched: wide rows are never ranked or grouped."""
-        return self.rows.join(self.first.select(F.col("first_ord").alias("ord")), "ord", "left_semi")
+        """The surviving rows: all but the removed ones, which are few and narrow.
+
+        Wide rows are never ranked or grouped, and need no shuffle where the removed rows fit a broadcast.
+        """
+        return self.rows.join(self.removed, "ord", "left_anti")
+
+    @property
+    def removed(self) -> DataFrame:
+        """(ord) of each row that is a copy of an earlier one."""
+        repeated = self.first.filter("copies > 1").select("dedup_signature", "first_ord")
+        return self.rows.select("ord", "dedup_signature").join(repeated, "dedup_signature").filter("ord > first_ord").select("ord")
 
     @property
     def duplicates(self) -> DataFrame:

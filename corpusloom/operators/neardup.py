@@ -221,11 +221,9 @@ def _similar(rows: DataFrame, pairs: DataFrame, n: int, threshold: float) -> Dat
     pairs = materialize(pairs, "pairs")
     wanted = pairs.select(F.col("lo").alias("ord")).union(pairs.select("hi")).distinct()
     sets = G.gram_sets(rows.join(wanted, "ord", "left_semi"), n)
-    checked = (
-        pairs.join(sets.toDF("lo", "lo_grams"), "lo")
-        .join(sets.toDF("hi", "hi_grams"), "hi")
-        .select("lo", "hi", X.jaccard("lo_grams", "hi_grams").alias("similarity"))
-    )
+    both = pairs.join(sets.toDF("lo", "lo_grams"), "lo").join(sets.toDF("hi", "hi_grams"), "hi")
+    # The filter on it would otherwise intersect the sets again and again.
+    checked = once(both, similarity=X.jaccard("lo_grams", "hi_grams")).select("lo", "hi", "similarity")
     return checked.filter(F.col("similarity") >= threshold)
 
 

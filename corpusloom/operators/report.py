@@ -48,10 +48,13 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("count"))
 
 
+def best_rows(sampled: DataFrame, n: int = 3) -> DataFrame:
+    return sampled.orderBy(F.desc("quality_score"), "train_rank").limit(n)
+
+
 def top_samples(sampled: DataFrame, n: int = 3) -> DataFrame:
     """The best sampled rows with a preview; ties in training order."""
-    best = sampled.orderBy(F.desc("quality_score"), "train_rank").limit(n)
-    return best.select("train_rank", "source", "quality_score", X.preview("text").alias("preview"))
+    return best_rows(sampled, n).select("train_rank", "source", "quality_score", X.preview("text").alias("preview"))
 
 
 def filtered_samples(cleaned: DataFrame, n: int = 5) -> DataFrame:

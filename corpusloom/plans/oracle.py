@@ -174,8 +174,8 @@ LENGTH_BUCKET = """CASE WHEN token_count <= 32 THEN '0-32' WHEN token_count <= 1
       WHEN token_count <= 2048 THEN '513-2048' ELSE '2049+' END"""
 
 
-def scored(min_unique: str = "0.0") -> str:
-    return f"""{cleaned(min_unique)},
+def scored(min_unique: str = "0.0", corpus: str | None = None) -> str:
+    return f"""{cleaned(min_unique, corpus or CORPUS)},
   featured AS MATERIALIZED ({FEATURES}),
   scored AS MATERIALIZED (SELECT *, {bucket()} AS quality_bucket FROM (SELECT *, {SCORE} AS quality_score FROM featured))"""
 
@@ -284,12 +284,15 @@ SAMPLED = f"WITH {scored()}, {CANDIDATES}, {sampled('candidates')}"
 BACKFILL = "(VALUES ('code', 0, 188), ('instruction', 1, 62), ('web', 2, 0)) q(source, place, target)"
 
 
-def train(min_unique: str) -> str:
-    return f"""WITH RECURSIVE {scored(min_unique)}, unfiltered AS MATERIALIZED (SELECT * FROM scored WHERE filter_reason = ''), {exact('unfiltered')}, {near()},
+def train(min_unique: str, corpus: str | None = None) -> str:
+    return f"""WITH RECURSIVE {scored(min_unique, corpus)}, unfiltered AS MATERIALIZED (SELECT * FROM scored WHERE filter_reason = ''), {exact('unfiltered')}, {near()},
   candidates AS MATERIALIZED (SELECT * EXCLUDE (dedup_signature, first_ord) FROM survivors WHERE quality_score >= 0.45), {sampled('candidates')}"""
 
 
 TRAIN = train("0.0")
+NUMBERED = """corpus AS MATERIALIZED (SELECT n AS ord, 'doc_' || CASE WHEN n < 1000000 THEN lpad(n::VARCHAR, 6, '0') ELSE n::VARCHAR END AS id, 'document' AS source,
+    text AS raw_text, 'education' AS domain FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM documents))"""
+FILES = train("0.0", NUMBERED)
 REPORT_CORE = f"""SELECT a AS raw_records, a - f AS kept_records, f AS filtered_records, a - f AS dedup_before, t AS dedup_after,
       round({ratio('(a - f - t)', '(a - f)')}, 6) AS duplicate_rate, t AS train_records, k::BIGINT AS total_tokens FROM
       (SELECT count(*) AS a, count(*) FILTER (filter_reason <> '') AS f FROM scored), (SELECT count(*) AS t, coalesce(sum(token_count), 0) AS k FROM sampled)"""
@@ -385,6 +388,13 @@ SQL: dict[str, str] = {
     "filtered_samples": f"WITH {cleaned()} SELECT ord, filter_reason, source, {preview('text')} AS preview FROM clean WHERE filter_reason <> '' ORDER BY ord LIMIT 5",
     "report_core": f"{SAMPLED} {REPORT_CORE}",
     "report_core_default": f"{SAMPLED_DEFAULT} {REPORT_CORE}",
+    "run_clean": f"WITH {cleaned(corpus=NUMBERED)} SELECT id, source, language, filter_reason, md5(text) AS text_md5 FROM clean",
+    "run_pipeline": f"{FILES} SELECT train_rank, source, token_count, quality_score, md5(text) AS text_md5 FROM sampled",
+    "run_duplicates": f"""{FILES} SELECT 'exact' AS stage, s.id, f.id AS duplicate_of, 1.0::DOUBLE AS similarity FROM signed s JOIN firsts f USING (dedup_signature) WHERE s.ord > f.ord
+      UNION ALL SELECT 'near', a.id, b.id, printf('%.4f', similarity)::DOUBLE FROM dropped d JOIN firsts a ON a.ord = d.ord JOIN firsts b ON b.ord = d.leader""",
+    "run_report": f"""{FILES} SELECT source, count(*) AS record_count, sum(token_count)::BIGINT AS token_count, 1.0::DOUBLE AS token_share FROM sampled GROUP BY source""",
+    "rejected_lines": """SELECT problem, count(*) AS lines FROM (SELECT CASE doc_id % 3 WHEN 0 THEN 'Invalid JSON' WHEN 1 THEN 'JSONL line must be an object' ELSE 'none' END AS problem
+      FROM documents) GROUP BY problem""",
     "train_set": f"{TRAIN} SELECT train_rank, ord, source, token_count, quality_score, quality_bucket AS bucket, md5(text) AS text_md5 FROM sampled",
     "train_set_default": f"{train('0.04')} SELECT train_rank, ord, source, token_count, quality_score, quality_bucket AS bucket, md5(text) AS text_md5 FROM sampled",
     "train_set_minhash": f"{TRAIN} SELECT train_rank, ord, source, token_count, quality_score FROM sampled",

@@ -83,11 +83,11 @@ def clean_records(spark, folder):
 
 
 def clean_stats(spark, folder):
-    return cleaning.cleaning_stats(cleaned_docs(spark, folder))
+    return cleaning.cleaning_stats(cleaning.verdicts(tables.load_tables(spark, folder, ("document",))))
 
 
 def clean_filter_reasons(spark, folder):
-    return cleaning.filter_reason_counts(cleaned_docs(spark, folder))
+    return cleaning.filter_reason_counts(cleaning.verdicts(tables.load_tables(spark, folder, ("document",))))
 
 
 def repeated_run(spark, folder):
@@ -338,11 +338,6 @@ def jsonl_ingest(spark, folder):
 # --- report -----------------------------------------------------------------------------------------
 
 
-def sampled_corpus(spark, folder):
-    rows = materialize(scored_corpus(spark, folder), "scored")
-    return sampling.sample_by_source_ratio(sampling.sample_by_quality(rows), RATIOS, 300)
-
-
 def source_distribution(spark, folder):
     rows = sampling.sample_by_quality(narrow_corpus(spark, folder))
     return report.source_distribution(sampling.sample_by_source_ratio(rows, RATIOS, 300))
@@ -366,7 +361,11 @@ def value_counts(spark, folder):
 
 
 def top_samples(spark, folder):
-    return report.top_samples(sampled_corpus(spark, folder))
+    """The best rows are chosen without texts; then only their texts are read and normalised."""
+    rows = sampling.sample_by_quality(narrow_corpus(spark, folder))
+    best = report.best_rows(sampling.sample_by_source_ratio(rows, RATIOS, 300)).select("ord", "train_rank", "quality_score")
+    texts = tables.load_tables(spark, folder).select("ord", "source", "text").join(best, "ord")
+    return report.top_samples(once(texts, text=X.normalize_text("text")))
 
 
 def filtered_samples(spark, folder):
@@ -385,6 +384,65 @@ def report_core_default(spark, folder):
     return report_core(spark, folder, CleanConfig())
 
 
+# --- runs on files ----------------------------------------------------------------------------------
+
+
+def raw_files(spark: SparkSession, folder: str) -> str:
+    """The documents as JSON lines in a new folder."""
+    d = tables.read_table(spark, folder, "documents", ["doc_id", "text", "lang"], "doc_id")
+    lines = d.select("doc_id", F.to_json(F.struct(F.lit("document").alias("source"), F.col("text").alias("content"), F.col("lang").alias("language"))).alias("value"))
+    path = f"{scratch_dir(spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+    lines.repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    return path
+
+
+def run_clean(spark, folder):
+    """The clean-only run on files, read back."""
+    out = runs.run_clean(spark, raw_files(spark, folder), f"{scratch_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}", pattern="*.txt")
+    rows = spark.read.schema("id string, source string, language string, filter_reason string, text string").json(out)
+    return rows.select("id", "source", "language", "filter_reason", F.md5("text").alias("text_md5"))
+
+
+def full_run(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The outputs of a full run on files."""
+    return runs.run(spark, raw_files(spark, folder), f"{scratch_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}", CONFIG, pattern="*.txt")
+
+
+def run_pipeline(spark, folder):
+    """The training set of a full run on files, read back."""
+    rows = jsonl.read_train(spark, full_run(spark, folder)["train"])
+    return rows.select("train_rank", "source", "token_count", "quality_score", F.md5("text").alias("text_md5"))
+
+
+def run_duplicates(spark, folder):
+    """The duplicate lists of a full run on files, read back."""
+    paths = full_run(spark, folder)
+    ids = spark.read.schema("id string, kept_id string").json(paths["duplicate_ids"])
+    pairs = spark.read.schema("record_id string, duplicate_of string, similarity double").json(paths["duplicate_pairs"])
+    ids = ids.select(F.lit("exact").alias("stage"), "id", F.col("kept_id").alias("duplicate_of"), F.lit(1.0).alias("similarity"))
+    return ids.union(pairs.select(F.lit("near").alias("stage"), "record_id", "duplicate_of", "similarity"))
+
+
+def run_report(spark, folder):
+    """The report of an exported training set, its source table read back."""
+    paths = runs.run_report(spark, full_run(spark, folder)["train"], f"{scratch_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}")
+    rows = spark.read.option("header", True).csv(paths["source_distribution"])
+    return rows.toDF("source", "record_count", "token_count", "token_share").selectExpr(
+        "source", "CAST(record_count AS BIGINT) AS record_count", "CAST(token_count AS BIGINT) AS token_count", "CAST(token_share AS DOUBLE) AS token_share"
+    )
+
+
+def rejected_lines(spark, folder):
+    """Every third document's line is broken or no object; the others are read, these are listed."""
+    d = tables.read_table(spark, folder, "documents", ["doc_id", "text"], "doc_id")
+    good = F.to_json(F.struct(F.col("text").alias("content")))
+    value = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("{"), good)).when(F.col("doc_id") % 3 == 1, F.to_json(F.array("text"))).otherwise(good)
+    path = f"{scratch_dir(spark).rstrip('/')}/raw-{uuid.uuid4().hex}"
+    d.select("doc_id", value.alias("value")).repartitionByRange("doc_id").sortWithinPartitions("doc_id").select("value").write.text(path)
+    found = jsonl.rejected_lines(spark, path, "*.txt").select("problem")
+    return found.union(jsonl.read_jsonl(spark, path, strict=False, pattern="*.txt").select(F.lit("none"))).groupBy("problem").agg(F.count("*").alias("lines"))
+
+
 # --- whole runs -------------------------------------------------------------------------------------
 
 
@@ -416,6 +474,6 @@ QUERIES: dict[str, Query] = {
         sampling_metrics, instruction_text, html_to_text, parse_corpus, normalize_records, validate_records,
         jsonl_ingest, source_distribution, reason_distribution, quality_distribution, safety_flag_hist, value_counts,
         top_samples, filtered_samples, report_core, train_set, train_set_minhash, quality_stats_default,
-        report_core_default, train_set_default,
+        report_core_default, train_set_default, run_clean, run_pipeline, run_duplicates, run_report, rejected_lines,
     )
 }

@@ -98,6 +98,7 @@ def run(
     config: RunConfig = RunConfig(),
     tokenizer: Tokenizer = Tokenizer(),
     mode: str = "errorifexists",
+    pattern: str = "*.jsonl",
 ) -> dict[str, str]:
     """Raw JSONL to a training set with report tables; returns the output folders.
 
@@ -109,7 +110,7 @@ def run(
                                        "quality_distribution", "safety_flags", "core", "top_samples", "filtered_samples",
                                        "duplicate_ids", "duplicate_pairs")}
     tokenizer = tokenizer.checked()
-    records = load_corpus(spark, input_path)
+    records = load_corpus(spark, input_path, pattern=pattern)
     if records.isEmpty():
         raise FileNotFoundError(f"no JSONL records in {input_path}")
 
@@ -198,9 +199,13 @@ def _write_report(
     sinks.write_metrics(spark, metrics, paths["metrics"], mode)
 
 
-def run_clean(spark: SparkSession, input_path: str, output_path: str, config: RunConfig = RunConfig(), mode: str = "errorifexists") -> str:
+def run_clean(
+    spark: SparkSession, input_path: str, output_path: str, config: RunConfig = RunConfig(), mode: str = "errorifexists", pattern: str = "*.jsonl"
+) -> str:
     """Load, parse and clean only; JSON lines in input order."""
-    sinks.write_jsonl(cleaning.clean(load_corpus(spark, input_path), config.cleaning, canonical=True), output_path, "ord", mode)
+    # Written once: bringing the rows into order reads its input twice.
+    rows = materialize(cleaning.clean(load_corpus(spark, input_path, pattern=pattern), config.cleaning, canonical=True), "clean")
+    sinks.write_jsonl(rows, output_path, "ord", mode)
     return output_path
 
 
