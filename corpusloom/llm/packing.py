@@ -12,13 +12,16 @@ from __future__ import annotations
 import bisect
 import os
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.bpe_count import byte_symbols
 from corpusloom.llm.cache import TwoGenerations
 from corpusloom.llm.rows import column, in_arrow, materialize
 from corpusloom.operators.ordering import add_position
@@ -29,10 +32,18 @@ CACHED = 250_000  # words in each of a worker's two generations of known ids
 _CACHED_LENGTH = 64
 
 
+# Fixed value: how the tokenizer splits text without white space, in lower case, before merging.
+_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
+_LATIN = "\u0250"  # characters before this one are composed already
+_BEYOND = regex.compile(r"[^\x00-\u024f]")
+_SYMBOLS = {b: ord(c) for c, b in byte_symbols().items()}  # of bytes, taken as Latin-1 characters
+
+
 class Ids:
     """Token ids of texts as little-endian unsigned 32-bit numbers, by way of the words between spaces.
 
-    For a tokenizer that drops white space and never merges across it, a text's ids are its words' ids in order.
+    For a tokenizer that drops white space and never merges across it, a text's ids are its words' ids in order.  New
+    words of printable Latin characters go to the tokenizer's merges directly, others through all of its steps.
     """
 
     def __init__(self, path: str):
@@ -40,21 +51,28 @@ class Ids:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = TwoGenerations(lambda word: self.encode([word])[0], CACHED, _CACHED_LENGTH)
-        self.known[""] = b""
-
-    def encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return [b"".join(i.to_bytes(4, "little") for i in x.ids) for x in found]
+        self.merged = self.tokenizer.model.tokenize
+        self.known = TwoGenerations(self.word, CACHED, _CACHED_LENGTH)
+
+    def word(self, word: str) -> bytes:
+        low = word.lower()
+        if not low or max(low) >= _LATIN or not low.isprintable() or "<|" in low:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if low.isalpha():
+            pieces = [low]
+        elif low[:-1].isalpha() and low[-1] in ".,;:!?":
+            pieces = [low[:-1], low[-1]]
+        else:
+            pieces = _PIECES.findall(low)
+        merged, out = self.merged, array("I")
+        for p in pieces:
+            out.extend([t.id for t in merged(p if p.isascii() else p.encode().decode("latin-1").translate(_SYMBOLS))])
+        return out.tobytes()
 
     def of(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = [w for w in set(words).difference(known) if w not in known.old]
-        if len(new) <= known.size // 2:
-            for word, ids in zip(new, self.encode(new), strict=True):
-                known.put(word, ids)
-        return b"".join(map(known.__getitem__, words))
+        if "<|" not in text and (text.isascii() or not _BEYOND.search(text)):
+            text = text.lower()  # of these characters, changes nothing but finds known words
+        return b"".join(map(self.known.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _IDS: dict[str, Ids] = {}  # of this worker
