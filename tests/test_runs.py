@@ -4,10 +4,11 @@ import json
 
 import pytest
 
-import __spark_entry__ as entry
 from compare import differences, duck
 from corpusloom.plans import runs
 from corpusloom.plans.config import RunConfig
+from corpusloom.plans.oracle import SQL
+from corpusloom.plans.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 SENTENCE = "Rivers carry sand and silt from the mountains to the sea, and the coast grows where they slow down."
@@ -80,12 +81,18 @@ def test_dedup_switches(spark, folder):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, name):
-    assert differences(entry.queries()[name](spark, SMALL), duck(SMALL), entry.oracle_sql()[name]) == ""
+    assert differences(QUERIES[name](spark, SMALL), duck(SMALL), SQL[name]) == ""
+
+
+def test_entry(spark):
+    import __spark_entry__ as entry
+
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql()) and entry.entry(spark).columns
 
 
 def test_clean_stream(spark, folder):
@@ -100,3 +107,23 @@ def test_clean_stream(spark, folder):
     assert step() == want
     (folder / "raw" / "late.jsonl").write_text(json.dumps({"source": "web", "text": "too short"}) + "\n")
     assert step() == want | {("web", "too short", "too_short")}
+
+
+def test_stream_keeps_broken_lines_apart(spark, tmp_path):
+    from corpusloom.streaming.clean_stream import run_clean_stream, run_rejected_stream
+
+    (tmp_path / "raw").mkdir()
+    lines = ["{broken", "[1]", "", json.dumps({"text": SENTENCE}), json.dumps({"text": SENTENCE, "source": None})]
+    (tmp_path / "raw" / "web.jsonl").write_text("\n".join(lines) + "\n")
+    run_clean_stream(spark, str(tmp_path / "raw"), str(tmp_path / "good"), str(tmp_path / "state1")).awaitTermination()
+    run_rejected_stream(spark, str(tmp_path / "raw"), str(tmp_path / "bad"), str(tmp_path / "state2")).awaitTermination()
+    assert sorted(r.source for r in spark.read.parquet(str(tmp_path / "good")).collect()) == ["unknown", "web"]
+    assert sorted((r.value, r.problem) for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == [("[1]", "JSONL line must be an object"), ("{broken", "Invalid JSON")]
+
+
+def test_duplicate_lists_are_written(spark, folder):
+    config = RunConfig.of({"dedup": {"approximate_threshold": 0.8}})
+    paths = runs.run(spark, str(folder / "raw"), str(folder / "out"), config)
+    ids, pairs = spark.read.json(paths["duplicate_ids"]).collect(), spark.read.json(paths["duplicate_pairs"]).collect()
+    assert [(r.id, r.kept_id) for r in ids] == [("doc_000003", "doc_000002")]
+    assert [(r.record_id, r.duplicate_of) for r in pairs] == [("doc_000004", "doc_000002")] and 0.8 <= pairs[0].similarity < 1

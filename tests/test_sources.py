@@ -126,3 +126,27 @@ def test_sinks(spark, tmp_path):
     sinks.export_train(sampled, str(tmp_path / "train"))
     back = read_train(spark, str(tmp_path / "train")).orderBy("train_rank").collect()
     assert [(r.train_rank, r.text, r.metadata) for r in back] == [(i, f"t{i}", {"k": "v"}) for i in range(1, 51)]
+
+
+def test_equal_file_names_in_two_folders(spark, tmp_path):
+    from corpusloom.sources.jsonl import load_corpus, read_lines
+
+    for k in (1, 2):
+        (tmp_path / f"k={k}").mkdir()
+        (tmp_path / f"k={k}" / "a.jsonl").write_text("".join(json.dumps({"text": f"{k}-{i}"}) + "\n" for i in range(3)))
+    rows = sorted((r.ord, r.id, r.text) for r in load_corpus(spark, str(tmp_path)).collect())
+    assert rows == [(n + 1, f"doc_{n + 1:06d}", f"{1 + n // 3}-{n % 3}") for n in range(6)]
+    assert sorted(r.line_no for r in read_lines(spark, str(tmp_path)).collect()) == [1, 1, 2, 2, 3, 3]
+
+
+def test_every_turn_is_in_a_record(spark, tmp_path):
+    from corpusloom.sources.tables import turn_records
+
+    turns = [(1, 0, "system", "be brief"), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"), (1, 3, "user", "and?"), (1, 4, "user", "so?"), (1, 5, "assistant", "yes"),
+             (1, 6, "assistant", "no"), (1, 7, "system", "end"), (2, 0, "assistant", "first"), (2, 1, "tool", "t"), (2, 2, None, "n"), (2, 3, "user", None)]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = sorted(tuple(r) for r in turn_records(spark, str(tmp_path)).collect())
+    assert got == [
+        (1, 1, "hi", "be brief", "hello", "be brief"), (1, 3, "and?", "", "", ""), (1, 4, "so?", "", "yes", ""), (1, 6, "", "", "no", "no"), (1, 7, "", "", "", "end"),
+        (2, 0, "", "", "first", "first"), (2, 1, "", "", "", "t"), (2, 2, "", "", "", "n"), (2, 3, "", "", "", ""),
+    ]
