@@ -21,6 +21,7 @@ from corpusloom.llm.rows import column, in_arrow
 # Fixed value: how byte-level BPE of this family splits text before merging.  White space is Unicode's White_Space.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 _CUT = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
+_ENDS = tuple(".,;:!?")
 _RUNS = ("  ", " \n", "\n ", "\n\n")
 _OTHER_SPACE = regex.compile(r"[^\S \n]")
 CACHED = 400_000  # chunks of text in each of a worker's two generations of known counts
@@ -34,30 +35,42 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + n): b for n, b in enumerate(other)}
 
 
-def merge_count(data: bytes, merges: dict[tuple[int, int], tuple[int, int]]) -> int:
-    """How many tokens ``data`` becomes; merges: (left, right) -> (rank, symbol), symbols below 256 are bytes."""
+_PLACE = (1 << 32) - 1
+
+
+def merge_count(data: bytes, merges: dict[int, int], made: list[int]) -> int:
+    """How many tokens ``data`` becomes.
+
+    merges: left << 20 | right -> rank, where symbols below 256 are bytes; made: rank -> symbol.
+    """
     size = len(data)
-    symbols = list(data)
-    heap = [(found[0], i) for i in range(size - 1) if (found := merges.get((symbols[i], symbols[i + 1])))]
+    symbols, rank_of, heap = [*data, -1], merges.get, []
+    left = -1
+    for i, right in enumerate(data):
+        if (rank := rank_of(left << 20 | right)) is not None:
+            heap.append(rank << 32 | i - 1)
+        left = right
     if not heap:
         return size
     heapq.heapify(heap)
-    after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+    pop, push = heapq.heappop, heapq.heappush
+    after, before = list(range(1, size + 1)), list(range(-1, size))
     merged = 0
     while heap:
-        rank, i = heapq.heappop(heap)
+        top = pop(heap)
+        rank, i = top >> 32, top & _PLACE
         j = after[i]
-        if symbols[i] < 0 or j >= size or not (found := merges.get((symbols[i], symbols[j]))) or found[0] != rank:
-            continue  # one of the two has been merged since
-        symbols[i], symbols[j] = found[1], -1
+        if rank_of(symbols[i] << 20 | symbols[j]) != rank:
+            continue  # one of the two has been merged since, or is gone (-1 makes no pair)
+        symbol = symbols[i] = made[rank]
+        symbols[j] = -1
         merged += 1
         after[i] = k = after[j]
-        if k < size:
-            before[k] = i
-            if right := merges.get((symbols[i], symbols[k])):
-                heapq.heappush(heap, (right[0], i))
-        if (h := before[i]) >= 0 and (left := merges.get((symbols[h], symbols[i]))):
-            heapq.heappush(heap, (left[0], h))
+        before[k] = i
+        if (right := rank_of(symbol << 20 | symbols[k])) is not None:
+            push(heap, right << 32 | i)
+        if (h := before[i]) >= 0 and (left := rank_of(symbols[h] << 20 | symbol)) is not None:
+            push(heap, left << 32 | h)
     return size - merged
 
 
@@ -69,10 +82,11 @@ class Counter:
             spec = json.load(f)
         symbols = byte_symbols()
         numbers = {name: 256 + n for n, name in enumerate(x for x in spec["model"]["vocab"] if x not in symbols)} | symbols
-        self.merges = {}
+        self.merges, self.made = {}, []
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges.setdefault((numbers[left], numbers[right]), (rank, numbers[left + right]))
+            self.merges.setdefault(numbers[left] << 20 | numbers[right], rank)
+            self.made.append(numbers[left + right])
         special = [regex.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = regex.compile("|".join(sorted(special, key=len, reverse=True))) if special else None
         self.marks = [t["content"] for t in spec["added_tokens"]]
@@ -81,7 +95,10 @@ class Counter:
 
     def chunk(self, text: str) -> int:
         """The count of a text without special strings."""
-        return sum(merge_count(piece.encode(), self.merges) for piece in self.pieces.findall(text))
+        if text[-1:] in _ENDS and text[-2:-1].isalpha():
+            return self.known[text[:-1]] + 1  # the mark is a piece and a byte of its own
+        pieces = [text] if text.isalpha() or text[:1] == " " and text[1:].isalpha() else self.pieces.findall(text)
+        return sum([merge_count(piece.encode(), self.merges, self.made) for piece in pieces])
 
     def plain(self, text: str) -> int:
         """As ``chunk``, from known counts: a text may be cut before a single space between other characters."""
