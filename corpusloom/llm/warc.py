@@ -182,11 +182,10 @@ def _hex(base32: Column) -> Column:
     return F.concat(*parts)
 
 
-_STORED = "path string, modificationTime timestamp, length long, content binary, file long"
-
-
 def _stored(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.format("binaryFile").schema(_STORED).option("pathGlobFilter", "part-*").load(folder)
+    """(file, length, content) of the archive files."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(folder)
+    return files.select(F.regexp_extract("path", r"/file=(\d+)/[^/]*$", 1).cast("long").alias("file"), "length", "content")
 
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
