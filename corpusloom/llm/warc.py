@@ -12,6 +12,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,11 @@ from corpusloom.llm.rows import column, in_arrow, materialize
 FILE_BYTES = 16_000_000  # compressed, of an archive file; a larger record is a file of its own
 DATE = "2020-01-01T00:00:00Z"  # given, not the clock: equal rows give equal files
 _NAMES = uuid.UUID("8b1d6c1e-7a58-4f6d-9c39-2f0f6f4f5a11")
+GROUPS = 20_000  # of neighbouring files, at most; their first records are known to every task
+_PIECE = 1 << 14
+_AT_ONCE = 4_000_000  # bytes of records that are handed on together
+_KEY = ["page_id", "url", "sha", "length", "nth"]
+_KEY_TYPES = "page_id long, url string, sha string, length long, nth long"
 REVISIT = b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -107,24 +113,83 @@ def _roles(sizes: DataFrame, least: int) -> DataFrame:
     return rows.select("page_id", "url", "sha", "length", "size", "nth", response.alias("response"), F.when(~response, F.struct("first.page_id", "first.url")).alias("target"))
 
 
-def _records(rows: DataFrame) -> DataFrame:
-    """``rows`` with the compressed record ``gz``; rows without payload are revisits."""
+def _revisits(rows: DataFrame) -> DataFrame:
+    """``rows`` (revisits) with their compressed records ``gz`` and sizes; they need no payload."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                target = (r["target"]["page_id"], r["target"]["url"]) if r["target"] else None
-                out.append(member(record(r["page_id"], r["url"], r["nth"], r["length"], r["sha"], r["payload"], target)))
-            kept = batch.drop_columns(["payload"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(out, pa.binary())], names=[*kept.schema.names, "gz"])
+                target = (r["target"]["page_id"], r["target"]["url"])
+                out.append(member(record(r["page_id"], r["url"], r["nth"], r["length"], r["sha"], None, target)))
+            kept = [batch.column(c) for c in _KEY]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(map(len, out), pa.int64()), pa.array(out, pa.binary())], names=[*_KEY, "size", "gz"])
 
-    fields = [f for f in rows.schema.fields if f.name != "payload"]
-    return in_arrow(rows, step, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", gz binary")
+    return in_arrow(rows.select(*_KEY, "target"), step, _KEY_TYPES + ", size long, gz binary")
+
+
+def _key(page_id: int | None, url: str, sha: str, nth: int) -> tuple:
+    """A record's place in the order, comparable like the sorted rows: null ids last, texts by their bytes."""
+    return (page_id is None, page_id or 0, url.encode(), sha, nth)
+
+
+def _with_groups(pages: DataFrame, starts: list[tuple]) -> DataFrame:
+    """(page_id, url, sha, length, payload, group): pages in the group of files that their record belongs to.
+
+    ``starts`` are the keys of the groups' first records.  A page goes to several groups only if repeats of it do.
+    """
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, groups, shas = [], [], []
+            for i, (page_id, url, payload) in enumerate(zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), batch.column("payload"), strict=True)):
+                sha = digest(payload.as_py())
+                first = bisect_right(starts, _key(page_id, url, sha, 0)) - 1
+                for group in range(first, bisect_right(starts, _key(page_id, url, sha, 1 << 62))):
+                    rows.append(i)
+                    groups.append(group)
+                    shas.append(sha)
+            taken = batch.take(pa.array(rows, pa.int64()))
+            arrays = [taken.column("page_id"), taken.column("url"), pa.array(shas, pa.string()), taken.column("length"), taken.column("payload"), pa.array(groups, pa.int32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "sha", "length", "payload", "group"])
+
+    return in_arrow(pages, step, "page_id long, url string, sha string, length long, payload binary, group int")
+
+
+def _merged(rows: DataFrame) -> DataFrame:
+    """(file, place, gz) from sorted rows, in which a page with its payload (file is null) precedes the records that need it."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, payload, done = None, None, 0
+        names = ["file", "place", "gz"]
+        for batch in batches:
+            files, out, size = [], [], 0
+            ids, urls, shas, nths, places = (batch.column(c).to_pylist() for c in ("page_id", "url", "sha", "nth", "file"))
+            for i, key in enumerate(zip(ids, urls, shas, strict=True)):
+                if places[i] is None:
+                    if key != held:
+                        held, payload = key, batch.column("payload")[i].as_py()
+                    continue
+                gz = batch.column("gz")[i].as_py()
+                if gz is None:
+                    if key != held:
+                        raise ValueError(f"no payload for the record of page {key[0]}")
+                    gz = member(record(key[0], key[1], nths[i], len(payload), key[2], payload, None))
+                files.append(places[i])
+                out.append(gz)
+                size += len(gz)
+                if size > _AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(files, pa.int64()), pa.array(range(done, done + len(out)), pa.int64()), pa.array(out, pa.binary())], names=names)
+                    done += len(out)
+                    files, out, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.int64()), pa.array(range(done, done + len(out)), pa.int64()), pa.array(out, pa.binary())], names=names)
+            done += len(out)
+
+    return in_arrow(rows, step, "file long, place long, gz binary")
 
 
 def _files(rows: DataFrame, file_bytes: int) -> DataFrame:
-    """``rows`` with file and place: a record's file is where its first byte falls on a line of all records, cut every ``file_bytes``."""
+    """``rows`` with file: a record's file is where its first byte falls on a line of all records, cut every ``file_bytes``."""
     order = ["unknown", "page_id", "url", "sha", "nth"]
     ranged = rows.withColumn("unknown", F.col("page_id").isNull()).repartitionByRange(*order).sortWithinPartitions(*order)
     ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "ranges")
@@ -133,7 +198,7 @@ def _files(rows: DataFrame, file_bytes: int) -> DataFrame:
     totals = ranged.groupBy("part").agg(F.sum("size").alias("bytes")).select("part", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("bytes_before"))
     placed = ranged.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(totals, "part")
     place = F.col("bytes_before") + F.col("inside")
-    return placed.withColumn("place", place).withColumn("file", F.floor(place / file_bytes).cast("long")).drop("part", "inside", "bytes_before", "unknown")
+    return placed.withColumn("file", F.floor(place / file_bytes).cast("long")).drop("part", "inside", "bytes_before", "unknown")
 
 
 def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES, least: int = 0) -> None:
@@ -152,36 +217,35 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
     html = F.coalesce(column("html"), F.lit(""))
     rows = pages.select(column("page_id").cast("long").alias("page_id"), F.coalesce(column("url"), F.lit("")).alias("url"), html.cast("binary").alias("payload"), F.octet_length(html).cast("long").alias("length"))
     roles = materialize(_roles(_sizes(rows), least), "roles")
-    nothing = F.lit(None).cast("binary").alias("payload")
-    revisits = _records(roles.filter("NOT response").select("*", nothing)).withColumn("size", F.octet_length("gz").cast("long"))
-    revisits = materialize(revisits, "revisits")
-    narrow = roles.filter("response").select("page_id", "url", "sha", "length", "size", "nth", F.lit(None).cast("binary").alias("gz"))
-    files = materialize(_files(narrow.union(revisits.select("page_id", "url", "sha", "length", "size", "nth", "gz")), file_bytes), "files")
-    # Only responses need their payloads: a wide row moves once by its key, and its compressed record once to its file.
-    wanted = files.filter("gz IS NULL").select(F.col("page_id").alias("its_id"), F.col("url").alias("its_url"), F.col("length").alias("its_length"), "sha", "nth", "file", "place")
-    key = F.col("page_id").eqNullSafe(F.col("its_id")) & (F.col("url") == F.col("its_url")) & (F.col("length") == F.col("its_length")) & (F.sha1("payload") == F.col("sha_hex"))
-    wanted = wanted.withColumn("sha_hex", _hex(F.col("sha")))
-    found = rows.join(wanted, key).select("page_id", "url", "sha", "length", "nth", "payload", "file", "place", F.lit(None).cast("struct<page_id:bigint,url:string>").alias("target"))
-    responses = _records(found.dropDuplicates(["page_id", "url", "sha", "length", "nth"])).select("file", "place", "gz")
-    every = responses.union(files.filter("gz IS NOT NULL").select("file", "place", "gz"))
-    ordered = every.repartition("file").sortWithinPartitions("file", "place")
+    revisits = _revisits(roles.filter("NOT response"))
+    responses = roles.filter("response").select(*_KEY, "size", F.lit(None).cast("binary").alias("gz"))
+    files = materialize(_files(responses.union(revisits), file_bytes), "files")
+
+    # Groups of neighbouring files: a page knows its group from the groups' first records, so it moves once, and
+    # the task of a group has whole files.
+    n_files = (files.agg(F.max("file")).first()[0] or 0) + 1
+    group = F.floor(F.col("file") / -(-n_files // GROUPS)).cast("int").alias("group")
+    unknown = F.col("page_id").isNull().alias("unknown")
+    firsts = files.groupBy(group).agg(F.min(F.struct(unknown, "page_id", "url", "sha", "nth")).alias("first")).select("first.*", "group")
+    known = {r["group"]: _key(r["page_id"], r["url"], r["sha"], r["nth"]) for r in firsts.collect()}  # at most GROUPS rows
+    # A group without a first record (inside of a record larger than a file) starts with the next one.
+    numbers = sorted(known)
+    starts = [known[n] for n in numbers]
+    bundles = spark.createDataFrame([(n, i) for i, n in enumerate(numbers)], "group int, bundle int")
+    infos = files.select(*_KEY, "gz", "file", group).join(F.broadcast(bundles), "group").select(*_KEY, "gz", "file", F.lit(None).cast("binary").alias("payload"), F.col("bundle").alias("group"))
+    wide = _with_groups(rows, starts).select("page_id", "url", "sha", "length", F.lit(-1).cast("long").alias("nth"), F.lit(None).cast("binary").alias("gz"), F.lit(None).cast("long").alias("file"), "payload", "group")
+    order = ["group", unknown, "page_id", "url", "sha", "nth"]
+    every = _merged(wide.union(infos).repartition("group").sortWithinPartitions(*order)).sortWithinPartitions("file", "place")
     # Spark's text writer puts bytes as they are and ends each row with a separator: the 0 that every member ends with.
     bare = F.substring("gz", F.lit(1), F.octet_length("gz") - 1).cast("string").alias("value")
     incoming = f"{folder.rstrip('/')}.incoming-{uuid.uuid4().hex}"
-    ordered.select(bare, "file").write.partitionBy("file").option("lineSep", "\0").text(f"{incoming}/archives")
+    every.select(bare, "file").write.partitionBy("file").option("lineSep", "\0").text(f"{incoming}/archives")
     written = _stored(spark, f"{incoming}/archives").groupBy("file").agg(F.sum("length").alias("bytes"))
     counted = files.groupBy("file").agg(F.count("*").alias("records"))
     counted.join(written, "file", "left").write.json(f"{incoming}/manifest")
     _rename(spark, incoming, folder)
 
 
-def _hex(base32: Column) -> Column:
-    """A base32 digest as lower-case hex: eight characters are forty bits."""
-    numbers = F.translate(base32, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789abcdefghijklmnopqrstuv")
-    parts = [F.lpad(F.lower(F.conv(F.substring(numbers, i, 8), 32, 16)), 10, "0") for i in range(1, 33, 8)]
-    return F.concat(*parts)
-
-
 def _stored(spark: SparkSession, folder: str) -> DataFrame:
     """(file, length, content) of the archive files."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(folder)
@@ -199,14 +263,17 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
 
 
 def _members(data: bytes) -> Iterator[bytes]:
-    at = 0
-    while at < len(data):
-        d = zlib.decompressobj(31)
-        out = d.decompress(memoryview(data)[at:])
-        if not d.eof:
-            raise ValueError("an archive file ends inside of a record")
-        at = len(data) - len(d.unused_data)
-        if out:
+    """The records of an archive file.  It is fed in pieces, as a decompressor copies what it leaves over."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        d, parts = zlib.decompressobj(31), []
+        while not d.eof:
+            piece = view[at : at + _PIECE]
+            if not piece:
+                raise ValueError("an archive file ends inside of a record")
+            parts.append(d.decompress(piece))
+            at += len(piece) - len(d.unused_data)
+        if out := b"".join(parts):
             yield out
 
 
@@ -250,7 +317,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                     number = lambda x: int(x) if x else None
                     rows.append((number(f["X-Page-ID"]), f["WARC-Target-URI"], f["WARC-Type"], int(f["X-Payload-Length"]), f["WARC-Payload-Digest"].removeprefix("sha1:"), number(f.get("X-Refers-To-Page")), None if revisit else f["payload"], file))
                     held += len(data)
-                    if held > 8_000_000:
+                    if held > _AT_ONCE:
                         yield _batch(rows, names)
                         rows, held = [], 0
                 yield _batch(rows, names)
