@@ -28,9 +28,11 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages that stand earlier in the corpus; n_chars follows the new text."""
+    """Texts without passages that stand earlier in the corpus; n_chars follows the new text (a null text keeps it)."""
     cleaned = drop_repeated_sentences(docs)
-    return cleaned.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in cleaned.columns else cleaned
+    if "n_chars" not in cleaned.columns:
+        return cleaned
+    return cleaned.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
