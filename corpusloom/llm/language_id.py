@@ -125,11 +125,13 @@ def identify(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame, learn_from: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is predicted with enough margin; all columns stay as they are."""
     dictionaries = fit(learn_from)
+    text = docs.columns.index("text")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classifier = _classifier(dictionaries)
         for batch in batches:
-            found = [classifier.predict(t.as_py()) for t in batch.column("text")]
+            found = [classifier.predict(t.as_py()) for t in batch.column(text)]
             yield batch.filter(pa.array([lang != "und" and score >= MARGIN for lang, score in found], pa.bool_()))
 
-    return in_arrow(docs, step, docs.schema.simpleString().removeprefix("struct<").removesuffix(">"))
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # whatever the names hold
+    return in_arrow(plain, step, plain.schema).toDF(*docs.columns)

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.frames import materialize, ship_package
 
@@ -41,6 +42,6 @@ def first_copies(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(["doc_id", "key"])
 
 
-def in_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def in_arrow(df: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with this package on the workers."""
     return ship_package(df).mapInArrow(step, schema)

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.llm.rows import as_row, column, in_arrow, materialize, text_key
 
@@ -209,8 +210,8 @@ def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tup
             arrays = [batch.column("row"), pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(removed, pa.int64())]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "text", "total", "removed"])
 
-    row = joined.schema["row"].dataType.simpleString()
-    done = in_arrow(joined, step, f"row {row}, text string, total long, removed long")
+    schema = T.StructType([joined.schema["row"], T.StructField("text", T.StringType()), T.StructField("total", T.LongType()), T.StructField("removed", T.LongType())])
+    done = in_arrow(joined, step, schema)
     columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
     if counts:
         columns += [F.col("total").alias(counts[0]), F.col("removed").alias(counts[1])]

@@ -2,15 +2,19 @@
 
 import inspect
 
+import cases
 import corpus_pipeline
 import pytest
 import test_decontamination
 import test_packing
 import test_simhash_dedup
 import test_substring_dedup
-from corpusloom.llm.language_id import Classifier, fit
+from corpusloom.llm.decontamination import drop_contaminated
+from corpusloom.llm.language_id import Classifier, fit, keep_identified
 from corpusloom.llm.queries import QUERIES
 from corpusloom.llm.rows import text_key
+from corpusloom.llm.simhash_dedup import drop_near_duplicates
+from corpusloom.llm.substring_dedup import drop_repeated_sentences
 from pyspark.sql import functions as F
 
 FOLDER = "/root/testdata/sf0.001"
@@ -83,3 +87,10 @@ def test_registered():
     assert names == list(QUERIES) and [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
     assert entry.queries()["pipeline"] is corpus_pipeline.run and list(inspect.signature(corpus_pipeline.run).parameters) == ["spark", "sf_dir"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_any_column_names_pass_through(spark):
+    docs = cases.table(spark).withColumnsRenamed({"row": "odd name", "hash": "a.b", "part": "select"}).withColumn("list", F.array(F.lit(1)))
+    bench = spark.createDataFrame([(1, "x y z")], "item_id long, text string")
+    for kept in (keep_identified(docs, docs), drop_repeated_sentences(docs), drop_near_duplicates(docs), drop_contaminated(docs, bench)):
+        assert kept.columns == docs.columns and kept.count() > 50
