@@ -144,7 +144,7 @@ def run(
     }
     counts = quality_counts(processed).collect()  # at most sources x buckets
     metrics["quality"] = {
-        "quality_summary": _values(quality_stats(processed)),
+        "quality_summary": _values(quality_stats(processed).drop("score_sum")),
         "quality_distribution": {r.quality_bucket: r.records for r in counts if r.source is None},
         "quality_by_source_bucket": {f"{r.source}:{r.quality_bucket}": r.records for r in counts if r.source is not None},
     }
