@@ -18,7 +18,7 @@ from corpusloom.llm.line_quality import clean_lines
 from corpusloom.llm.packing import pack
 from corpusloom.llm.sharding import shard_by_bytes
 from corpusloom.llm.simhash_dedup import near_duplicates
-from corpusloom.llm.substring_dedup import drop_repeated_sentences
+from corpusloom.llm.substring_dedup import drop_repeated_sentences, parts
 from corpusloom.llm.warc import read_archives, write_archives
 
 
@@ -36,7 +36,7 @@ def byte_tokenizer() -> str:
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    cleaned = drop_repeated_sentences(docs, counts=("n_sentences", "n_removed"))
+    cleaned = drop_repeated_sentences(docs, counts=("n_sentences", "n_removed"), split=parts)
     return cleaned.select("doc_id", "text", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"))
 
 

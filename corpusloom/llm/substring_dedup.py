@@ -8,7 +8,8 @@ corpus shares spreads over many tasks, and a task reads its part as a stream.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +25,8 @@ from corpusloom.llm.rows import as_row, column, in_arrow, materialize, text_key
 MIN_WORDS = 25  # of a run; so every repeated passage of 50 words that begins and ends with sentences is covered whole
 SHORT = 4  # a sentence of fewer words is a tail of the one before
 LONG = 16  # a sentence of more words is cut into parts of this many
+WHOLE = 12  # ``parts`` cuts sentences of more words, at words that the words around them choose
+NEAR = 7  # so many words in a row hold a cut; WHOLE and NEAR leave MIN_WORDS of any 50 words between cuts that depend on nothing outside
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
@@ -64,6 +67,45 @@ def sentences(text: str) -> list[Sentence]:
     return out
 
 
+def _cuts(hashes: list[int]) -> list[int]:
+    """Places in ascending order: the smallest (of equal ones the last) of every ``NEAR`` neighbours."""
+    out, at = [], -1
+    for first in range(len(hashes) - NEAR + 1):
+        last = first + NEAR - 1
+        if at < first:
+            at = last - min(range(NEAR), key=lambda back: hashes[last - back])
+        elif hashes[last] <= hashes[at]:
+            at = last
+        else:
+            continue
+        out.append(at)
+    return out
+
+
+def parts(text: str) -> list[Sentence]:
+    """The text's sentences, without a gap or tails; those of more than ``WHOLE`` words are cut at words chosen by their hashes.
+
+    Where a text is cut depends on less than ``NEAR`` words to each side, so any 50 words that two texts share, wherever they begin
+    and end, hold the same cuts but for 12 words at the front and 13 at the back: at least ``MIN_WORDS`` words of them are a run.
+    """
+    out: list[Sentence] = []
+    begin = 0
+    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
+        words = text[begin:end].split()
+        if len(words) > WHOLE:
+            stops = [w.end() for w in _WORD.finditer(text, begin, end)]
+            before = 0
+            for at in _cuts([zlib.crc32(w.lower().encode("utf-8", "replace")) for w in words]):
+                if at:
+                    out.append(Sentence(begin, stops[at - 1], stops[at - 1], at - before))
+                    begin, before = stops[at - 1], at
+            out.append(Sentence(begin, end, end, len(words) - before))
+        elif begin < end:
+            out.append(Sentence(begin, end, end, len(words)))
+        begin = end
+    return out
+
+
 def runs(found: list[Sentence], least: int) -> Iterator[tuple[int, int, bool]]:
     """(first, last, whole) of runs of two or more sentences with at least ``least`` words, each once.
 
@@ -94,7 +136,7 @@ def runs(found: list[Sentence], least: int) -> Iterator[tuple[int, int, bool]]:
         held += found[last].words + found[last].tail
 
 
-def _spans(docs: DataFrame, least: int) -> DataFrame:
+def _spans(docs: DataFrame, least: int, split: Callable[[str], list[Sentence]]) -> DataFrame:
     """(hash, doc_id, place, last) of every run; place holds half of the document's key and, below, the run's first sentence.
 
     last is twice the number of the last sentence, plus 1 if its tail belongs to the run.
@@ -105,7 +147,7 @@ def _spans(docs: DataFrame, least: int) -> DataFrame:
             ids, hashes, places, lasts = [], [], [], []
             for doc_id, half, text in zip(batch.column("doc_id").to_pylist(), batch.column("half").to_pylist(), batch.column("text"), strict=True):
                 text = text.as_py()
-                found = sentences(text)
+                found = split(text)
                 whole = [xxhash.xxh3_128_digest(" ".join(text[s.begin : s.end].split()).lower()) for s in found]
                 bare = [w if s.mid == s.end else xxhash.xxh3_128_digest(" ".join(text[s.begin : s.mid].split()).lower()) for s, w in zip(found, whole, strict=True)]
                 for first, last, tail in runs(found, least):
@@ -163,20 +205,20 @@ def _non_first(spans: DataFrame) -> DataFrame:
     return inner.union(edges.filter("opens AND hash = before").select("doc_id", "place", "last"))
 
 
-def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, least: int = MIN_WORDS, split: Callable[[str], list[Sentence]] = sentences) -> DataFrame:
     """(doc_id, half, ranges): for documents with repeated runs, the (first, last) of each run that isn't the first of its hash.
 
     half is the upper half of the document's text key; a document has at most two ranges for each of its sentences.
     """
     narrow = docs.select(column("doc_id").cast("long").alias("doc_id"), F.shiftright(text_key(column("text")), 32).alias("half"), column("text").alias("text"))
-    found = _non_first(materialize(_spans(narrow, least), "spans"))
+    found = _non_first(materialize(_spans(narrow, least, split), "spans"))
     first = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     return found.groupBy("doc_id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(F.struct(first.alias("first"), "last")).alias("ranges"))
 
 
-def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
+def without(text: str, ranges: list[tuple[int, int]], split: Callable[[str], list[Sentence]] = sentences) -> tuple[str, int, int]:
     """The text without the runs in ``ranges`` (first, last and whether whole), how many sentences there were and how many went."""
-    found = sentences(text)
+    found = split(text)
     gone = [0] * len(found)  # 1: without its tail, 2: whole
     for first, last in ranges:
         gone[first : last // 2] = [2] * (last // 2 - first)
@@ -184,17 +226,18 @@ def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
     return "".join(text[(s.begin, s.mid, s.end)[g] : s.end] for s, g in zip(found, gone, strict=True)), len(found), sum(map(bool, gone))
 
 
-def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
+def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tuple[str, str] | None = None, split: Callable[[str], list[Sentence]] = sentences) -> DataFrame:
     """``docs`` with new texts: sentences covered by a repeated run that isn't the run's first are removed.
 
     A run is two or more consecutive sentences with at least ``least`` words, compared without regard to case and white space; it
     is the shortest such from its first sentence on, or up to its last; a sentence of fewer than four words goes with the one before.  The first of equal runs is that with the smallest (doc_id, text key, place);
     null ids come first.  All other columns and all rows stay, also rows whose text becomes empty; a text without repeated
     runs, and a null text, stays as it is.  Repeated rows (equal doc_id and text) count as one document and all get its
-    text.  An empty table gives an empty result.  ``counts`` names two columns to add: sentences, and sentences removed (null if
+    text.  An empty table gives an empty result.  ``split`` cuts a text: ``sentences`` finds passages that begin and end with sentences,
+    ``parts`` any 50 words in a row.  ``counts`` names two columns to add: sentences, and sentences removed (null if
     nothing was found).
     """
-    found = repeated_runs(docs, least)
+    found = repeated_runs(docs, least, split)
     found = found.select(F.col("doc_id").alias("its_id"), F.col("half").alias("its_half"), "ranges")
     rows = docs.select(as_row(docs.drop("text")), column("text").alias("text"), column("doc_id").cast("long").alias("doc_id"), F.shiftright(text_key(column("text")), 32).alias("half"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("half") == F.col("its_half")), "left").select("row", "text", "ranges")
@@ -203,7 +246,7 @@ def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tup
         for batch in batches:
             texts, totals, removed = [], [], []
             for text, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
-                new, n, k = (text.as_py(), None, None) if not ranges.is_valid else without(text.as_py(), [(r["first"], r["last"]) for r in ranges.as_py()])
+                new, n, k = (text.as_py(), None, None) if not ranges.is_valid else without(text.as_py(), [(r["first"], r["last"]) for r in ranges.as_py()], split)
                 texts.append(new)
                 totals.append(n)
                 removed.append(k)

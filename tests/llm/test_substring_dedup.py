@@ -2,7 +2,7 @@ import random
 
 import cases
 from corpusloom.llm.rows import text_key
-from corpusloom.llm.substring_dedup import LONG, MIN_WORDS, SHORT, Sentence, drop_repeated_sentences, repeated_runs, runs, sentences
+from corpusloom.llm.substring_dedup import LONG, MIN_WORDS, SHORT, Sentence, drop_repeated_sentences, parts, repeated_runs, runs, sentences
 from pyspark.sql import functions as F
 
 
@@ -118,6 +118,28 @@ def test_passages_of_over_fifty_words_go(spark):
         assert all(len(left[i].split()) >= 70 for i in range(8))
 
 
+def test_fifty_words_at_any_offset_go(spark):
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 9999)}"
+    rows, planted = [], []
+    for k in range(40):  # without sentence ends, and with ends of sentences anywhere
+        passage = [word() + ("." if k % 2 and rng.random() < 0.1 else "") for _ in range(50)]
+        planted.append(passage)
+        for i in range(2):
+            rows.append((2 * k + i, " ".join([word() for _ in range(rng.randint(0, 60))] + passage + [word() for _ in range(rng.randint(0, 60))]), None))
+    left = {r.doc_id: r.text.split() for r in drop_repeated_sentences(cases.table(spark, rows), split=parts).collect()}
+    for k, passage in enumerate(planted):
+        assert left[2 * k] == rows[2 * k][1].split()
+        own = len(rows[2 * k + 1][1].split()) - 50
+        assert own <= len(left[2 * k + 1]) <= own + 50 - MIN_WORDS and len(set(passage) & set(left[2 * k + 1])) <= 50 - MIN_WORDS + 2, k
+
+
+def test_parts_cover_the_text():
+    rng = random.Random(13)
+    for text in [t for _, t, _ in cases.texts() if t is not None] + ["".join(rng.choice("abc   .!?\n\t。字") for _ in range(rng.randint(0, 300))) for _ in range(500)]:
+        assert "".join(text[s.begin : s.end] for s in parts(text)) == text and all(s.begin < s.end == s.mid for s in parts(text))
+
+
 def test_hot_run_over_many_partitions(spark):
     text = "This is the first sentence of a hot passage that everyone has. And this is the second of it, which is as long as that one is."
     rows = [(i, f"{text} Own words number {i} follow here.", None) for i in range(700)]
