@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,11 @@ NEAR = 7  # so many words in a row hold a cut; WHOLE and NEAR leave MIN_WORDS of
 
 _END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 _WORD = re.compile(r"\S+\s*")
+# Letters of scripts without spaces (Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han), each a word with the marks and signs behind it.
+_LETTERS = "\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_LETTERS}]")
+_UNIT = regex.compile(rf"(?:[{_LETTERS}][\p{{M}}\p{{P}}]*|(?:(?![{_LETTERS}])\S)+)\s*")
+_FULL_END = re.compile(r"(?<=[.!?])\s+|\n\s*|(?<=[\u3002\uff01\uff1f])(?![\u3002\uff01\uff1f])\s*")
 
 
 @dataclass
@@ -87,13 +93,17 @@ def parts(text: str) -> list[Sentence]:
 
     Where a text is cut depends on less than ``NEAR`` words to each side, so any 50 words that two texts share, wherever they begin
     and end, hold the same cuts but for 12 words at the front and 13 at the back: at least ``MIN_WORDS`` words of them are a run.
+    A letter of a script without spaces is a word, and the full-width marks end a sentence without white space.
     """
     out: list[Sentence] = []
     begin = 0
-    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        words = text[begin:end].split()
+    ascii_ = text.isascii()
+    for end in [m.end() for m in (_END if ascii_ else _FULL_END).finditer(text)] + [len(text)]:
+        part = text[begin:end]
+        unit = _WORD if ascii_ or not _UNSPACED.search(part) else _UNIT
+        words = part.split() if unit is _WORD else [w.strip() for w in _UNIT.findall(part)]
         if len(words) > WHOLE:
-            stops = [w.end() for w in _WORD.finditer(text, begin, end)]
+            stops = [w.end() for w in unit.finditer(text, begin, end)]
             before = 0
             for at in _cuts([zlib.crc32(w.lower().encode("utf-8", "replace")) for w in words]):
                 if at:

@@ -134,6 +134,24 @@ def test_fifty_words_at_any_offset_go(spark):
         assert own <= len(left[2 * k + 1]) <= own + 50 - MIN_WORDS and len(set(passage) & set(left[2 * k + 1])) <= 50 - MIN_WORDS + 2, k
 
 
+def test_passages_in_scripts_without_spaces_go(spark):
+    rng = random.Random(14)
+    scripts = [[chr(c) for c in range(0x4E00, 0x5E00)], [chr(c) for c in range(0x0E01, 0x0E2F)], [chr(c) for c in range(0x3042, 0x3094)]]
+    text = lambda letters, n: "".join(rng.choice(letters) + (rng.choice("。！？，") if rng.random() < 0.08 and letters is not scripts[1] else "") for _ in range(n))
+    rows, passages = [], []
+    for k, letters in enumerate(scripts):
+        passages.append(text(letters, 90))
+        rows += [(10 * k + i, text(letters, 40 + i) + passages[k] + text(letters, 40), None) for i in range(3)]
+        rows += [(10 * k + 5 + i, rows[-1][1], None) for i in range(2)]  # exact copies
+    left = {r.doc_id: r.text for r in drop_repeated_sentences(cases.table(spark, rows), split=parts).collect()}
+    for k, passage in enumerate(passages):
+        assert left[10 * k] == rows[5 * k][1]
+        for i in (1, 2):
+            own = len(rows[5 * k + i][1]) - len(passage)
+            assert own - 1 <= len(left[10 * k + i]) <= own + 30 and passage[15:70] not in left[10 * k + i]
+        assert all(len(left[10 * k + 5 + i]) <= 30 for i in range(2))
+
+
 def test_parts_cover_the_text():
     rng = random.Random(13)
     for text in [t for _, t, _ in cases.texts() if t is not None] + ["".join(rng.choice("abc   .!?\n\t。字") for _ in range(rng.randint(0, 300))) for _ in range(500)]:
