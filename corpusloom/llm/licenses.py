@@ -39,7 +39,7 @@ SENTENCES = {
     "gpl2-free": ["this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version"],
     "gpl-hope": ["this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"],
     "mpl2-form": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
-    "mpl2-copy": ["if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"],
+    "mpl2-copy": ["if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"],
     "cc-by-nc-4": ["licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
     "cc-by-sa-4": ["licensed under cc by sa 4 0", "this work is licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
     "cc-by-4": ["licensed under cc by 4 0", "this work is licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"],
@@ -100,23 +100,35 @@ class Scanner:
         sentences = SENTENCES if sentences is None else sentences
         self.known = {s: name for name, forms in sentences.items() for s in forms}
         self.longest = max(map(len, self.known), default=0)
+        words = [s.split() for s in self.known]
+        self.begun = {" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)}
         self.rules = RULES if rules is None else rules
 
     def identifiers(self, text: str) -> list[tuple[int, str]]:
-        """(number of the sentence, identifier) of the known sentences in order; a known sentence may also be whole lines."""
-        out, nth = [], 0
-        begin = 0
+        """(number of the sentence, identifier) of the known sentences in order; the longest that begins at a line or behind a mark.
+
+        Known sentences may hold marks that end others, and line feeds: the pieces between are joined as long as a known sentence begins with them.
+        """
+        pieces, begin = [], 0
         for end in [m.end() for m in _BREAK.finditer(text)] + [len(text)]:
             part = text[begin:end]
             begin = end
-            name = self.known.get(normal(part)) if len(part) <= 4 * self.longest else None
-            pieces = [part] if name or "\n" not in part else part.split("\n")
-            for piece in pieces:
-                if not piece.strip():
-                    continue
-                if found := name or (self.known.get(normal(piece)) if len(piece) <= 4 * self.longest else None):
-                    out.append((nth, found))
-                nth += 1
+            pieces += [normal(p) if len(p) <= 4 * self.longest else None for p in part.split("\n") if p.strip()]
+        out, nth, at = [], 0, 0
+        while at < len(pieces):
+            name, behind = None, at + 1
+            joined, k = pieces[at], at + 1
+            while joined in self.begun:
+                if joined in self.known:
+                    name, behind = self.known[joined], k
+                while k < len(pieces) and pieces[k] == "":
+                    k += 1
+                if k == len(pieces) or pieces[k] is None:
+                    break
+                joined, k = f"{joined} {pieces[k]}", k + 1
+            if name:
+                out.append((nth, name))
+            nth, at = nth + 1, behind
         return out
 
     def scan(self, text: str) -> tuple[list[str], list[str]]:

@@ -29,6 +29,86 @@ def test_known_texts():
     assert scan("We like the Apache License. A license is a text. " + "." * 50_000) == ([], [])
 
 
+GPL = """    Copyright (C) 2020  Someone
+
+    This program is free software{} you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation{} either version {} of the License, or
+    (at your option) any later version.
+"""
+HOPE = """
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at {}://mozilla.org/MPL/2.0/."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+
+NOTICES = {
+    ("mit-grant", "mit-notice", "as-is-mit"): MIT,
+    ("isc-grant",): ISC,
+    ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"): BSD + BSD_NAMES,
+    ("bsd-grant", "bsd-source", "bsd-binary"): BSD,
+    ("apache2-licensed", "apache2-compliance", "apache2-copy"): APACHE,
+    ("gpl-free", "gpl-hope"): GPL.format(":", ",", 3) + HOPE,
+    ("gpl2-free", "gpl-hope"): GPL.format(";", ";", 2) + HOPE,
+    ("mpl2-form", "mpl2-copy"): MPL.format("https"),
+    ("apache2-licensed",): "Licensed under the Apache License, Version 2.0.",
+    ("gpl-free",): GPL.format(":", ",", 3),
+    ("gpl2-free",): GPL.format(";", ";", 2),
+    ("gpl3-licensed",): "Licensed under the GNU General Public License, version 3.",
+    ("gpl2-licensed",): "Licensed under the GNU General Public License, version 2.",
+    ("mpl2-form",): MPL.partition(" If")[0],
+    ("cc-by-nc-4",): "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    ("cc-by-sa-4",): "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    ("cc-by-4",): "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    ("cc0",): "Licensed under CC0 1.0.",
+    ("unlicense",): "This is free and unencumbered software released into the public domain.",
+    ("mit-grant",): MIT.partition("The above")[0],
+    ("mit-released",): "Released under the MIT License.",
+    ("mit-name",): "The MIT License (MIT)",
+    ("bsd-released",): "Released under the BSD License.",
+}
+
+
+def test_every_rule_on_its_notice():
+    assert set(NOTICES) == {r.sequence for r in RULES}
+    scan = Scanner().scan
+    for rule in RULES:
+        text = NOTICES[rule.sequence]
+        comment = "/*\n" + "".join(f" * {line}\n" if line else " *\n" for line in text.split("\n")) + " */\nint x;"
+        for form in (text, "Prose before it.\n\n" + text + "\n\nProse behind.", text.replace("\n", "\r\n"), comment):
+            assert scan(form) == ([rule.license], list(rule.sequence)), (rule, form)
+    assert scan(MPL.format("http")) == (["MPL-2.0"], ["mpl2-form", "mpl2-copy"])
+    assert scan("Version 2.0. This program is free software: it costs nothing. 2.0.") == ([], [])
+
+
 def test_order_and_gaps():
     scanner = Scanner({"a": ["one"], "b": ["two"], "c": ["three"]}, (Rule("ABC", ("a", "b", "c"), 1), Rule("AB", ("a", "b"), 0), Rule("A", ("a",))))
     assert scanner.scan("One. Two. Three.")[0] == ["ABC"]
