@@ -10,6 +10,7 @@ from corpusloom.llm.ngrams import with_run_hashes, word_hashes
 from corpusloom.llm.rows import column
 
 _SPACE = r"[\x20\x09-\x0D]+"  # what separates words
+_BLANKS = " \t\n\x0b\f\r"  # the same, as characters
 _SYMBOLS = "#*$%&|<>"
 SPAN = 8  # words of a window whose repeats count
 
@@ -21,7 +22,6 @@ END_PUNCTUATION = r"[.!?:;,\"')\]”’»…。！？][\x20\x09-\x0D]*$"
 NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|next|previous|back to top|top|menu|log ?in|sign ?in|sign ?up|register|search|share|contact( us)?|about( us)?|read more|skip to content)[\x20\x09-\x0D]*$"
 CRUMBS = r"^([^|>»·•]{1,40}[|>»·•]){2,}[^|>»·•]{0,40}$"  # short pieces between separators
 SHORT_LINE = 400  # bytes; navigation and crumbs are no longer than this
-ENDING = 40  # end punctuation is looked for in so many last characters
 BOILERPLATE = (
     r"(?i)cookie policy|privacy policy|terms of use|terms of service|all rights reserved|enable javascript|uses cookies|lorem ipsum|subscribe to our newsletter"
 )
@@ -44,8 +44,9 @@ def _symbols(text: Column) -> Column:
 def _passes(line: Column) -> Column:
     """Whether a line with a word is text: it ends like a sentence and is no navigation, boilerplate or run of symbols."""
     short = F.octet_length(line) <= SHORT_LINE
-    noisy = (_symbols(line) > 0) & (_symbols(line) > MAX_SYMBOLS * F.size(F.split(F.trim(line), _SPACE)))
-    return F.right(line, F.lit(ENDING)).rlike(END_PUNCTUATION) & ~noisy & ~(short & (line.rlike(NAVIGATION) | line.rlike(CRUMBS))) & ~line.rlike(BOILERPLATE)
+    bare = F.trim(line, F.lit(_BLANKS))
+    noisy = (_symbols(line) > 0) & (_symbols(line) > MAX_SYMBOLS * F.size(F.split(bare, _SPACE)))
+    return F.right(bare, F.lit(1)).rlike(END_PUNCTUATION) & ~noisy & ~(short & (line.rlike(NAVIGATION) | line.rlike(CRUMBS))) & ~line.rlike(BOILERPLATE)
 
 
 def _characters(lines: Column) -> Column:

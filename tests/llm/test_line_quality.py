@@ -1,7 +1,9 @@
 import re
 
 import cases
+import duckdb
 from corpusloom.llm.line_quality import clean_lines
+from corpusloom.llm.sql import LINE_QUALITY
 
 
 def _expected(rows: list[tuple]) -> list[tuple]:
@@ -56,6 +58,31 @@ def test_documents_that_lose_too_much_go(spark):
     assert _line(spark, "\n".join([PROSE[0], "He said: “It is so.”  ", 'She asked: "Why?"\t', "その通り。"])).kept
 
 
+def test_padded_and_crlf_lines_equal_sql(spark):
+    noisy = ["a b # c d #.", "some words | and # more %."]  # 2 symbols in 6 words, 3 in 7: one word fewer fails
+    lines = [*PROSE, *noisy, "# a b.", "no end here", "Read more", "*** three #.", "。", "It is so.)"]
+    pads = ["", " " * 60, "\t" * 45, "\r", " \x0b\f\r", "\t \r"]
+    texts = [front.join(["", *[line + back + "\n" for line in lines for _ in range(1 + (line in PROSE))]]) for front in ["", "\t", " " * 50, "\x0b "] for back in pads]
+    texts += [line + back + "\n" + PROSE[i % 4] for i, line in enumerate(noisy + PROSE) for back in pads]
+    texts += ["\t" + line + "\r\n" + own for line in ("# a b.", "a # b c d # e.", "w # v # u t.") for own in ("", "Short one.", PROSE[0])]
+    docs = cases.table(spark, [(i, t, None) for i, t in enumerate(texts)])
+    want = duckdb.connect()
+    want.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    want.executemany("INSERT INTO documents VALUES (?, ?)", [[i, t] for i, t in enumerate(texts)])
+    rows = want.execute(LINE_QUALITY).fetchall()
+    got = clean_lines(docs)
+    assert sorted(tuple(r) for r in got.drop("clean_text", "lost").collect()) == sorted(rows)
+    padded = _line(spark, "\n".join(p + " " * 60 for p in PROSE))
+    assert padded.kept and padded.lost == 0
+
+
+def test_symbols_count_against_words_alone(spark):
+    line = "\t# four words now.\r"  # 1 symbol in 4 words passes
+    more = "\t# two w.\r"  # 1 symbol in 3 words doesn't, 1 in 4 would
+    row = _line(spark, "\n".join([*PROSE, line, more]))
+    assert row.clean_text == "\n".join([*PROSE, line])
+
+
 def test_few_words_or_repeats_fail(spark):
     assert _line(spark, "Only a few words.").base_failed
     row = _line(spark, "one two three four five six seven eight nine ten. " * 5)
