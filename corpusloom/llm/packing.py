@@ -1,8 +1,8 @@
-"""Hierarchical packing into context windows of several sizes.
+"""Packing into context windows of one size, the largest.
 
-A document longer than the longest window is cut into whole windows and a rest; pieces are routed to the tier of the
-smallest window that holds them.  Tiers are packed from the longest to the shortest: pieces first fill the gaps that longer tiers left
-(the tightest gap first), the others open windows.  All of this needs only how many pieces there are of each
+A document longer than the window is cut into whole windows and a rest.  Lengths are packed from the longest to the shortest: pieces first
+fill the gaps of open windows (the tightest gap first), the others open windows of the largest size; the smaller sizes open none and only name
+what a sequence holds.  All of this needs only how many pieces there are of each
 length, at most one number per token of the longest window, whatever the size of the corpus.  The plan is a list of
 patterns (lengths in order, how many sequences); pieces take their places by their rank among pieces of equal length.
 """
