@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.frames import scratch_dir
 from corpusloom.llm.bpe_count import count_tokens
+from corpusloom.llm.conversation_repair import damage, repair
 from corpusloom.llm.decontamination import contamination
 from corpusloom.llm.language_id import identify
 from corpusloom.llm.licenses import scan_licenses
@@ -19,6 +20,9 @@ from corpusloom.llm.packing import pack
 from corpusloom.llm.sharding import shard_by_bytes
 from corpusloom.llm.simhash_dedup import near_duplicates
 from corpusloom.llm.substring_dedup import drop_repeated_sentences, parts
+from corpusloom.llm.topk_search import top_k
+from corpusloom.llm.vector_codes import codebooks_digest, encode, label_errors
+from corpusloom.llm.vectors import integer_vectors
 from corpusloom.llm.warc import read_archives, write_archives
 
 
@@ -81,10 +85,25 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), byte_tokenizer)
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damage(_table(spark, sf_dir, "conversations")))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = encode(_table(spark, sf_dir, "embeddings"))
+    whole = coded.join(label_errors(coded), F.col("label").eqNullSafe(F.col("its_label")))
+    return whole.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(codebooks_digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_packing, op3_warc, op4_simhash_dedup, op5_sharding, op6_decontamination, op7_licenses, op8_language_id,
-        op9_line_quality, op10_token_count,
+        op9_line_quality, op10_token_count, op11_topk_search, op12_conversation_repair, op13_vector_codes,
     )
 }

@@ -74,4 +74,39 @@ LINE_QUALITY = f"""WITH d AS MATERIALIZED (SELECT doc_id, text, {_split('text')}
   FROM (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words AS base_failed FROM counted)"""
 LINE_QUALITY = LINE_QUALITY.replace("SELECT * EXCLUDE (lost), base_failed,", "SELECT * EXCLUDE (lost, base_failed), base_failed,")
 
-SQL: dict[str, str] = {"op3_warc": WARC, "op6_decontamination": DECONTAMINATION, "op9_line_quality": LINE_QUALITY}
+_FINITE = """(SELECT *, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+TOP_K = f"""WITH vectors AS MATERIALIZED (SELECT vec_id, v::DOUBLE[] AS v FROM {_FINITE}),
+  scores AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scores QUALIFY rank <= 5"""
+
+
+def _vector_codes(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    def nearest(book: str) -> str:
+        """The smallest (distance, entry) of each part as one number."""
+        apart = "list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+        return f"SELECT id, p, x, min({apart} * {entries} + e)::BIGINT AS best FROM parts JOIN {book} USING (p) GROUP BY id, p, x"
+
+    steps = [
+        f"vectors AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label, v, len(v) // {parts} AS w FROM {_FINITE})",
+        f"parts AS MATERIALIZED (SELECT id, p, v[p * w + 1 : p * w + w] AS x FROM (SELECT *, unnest(range({parts})) AS p FROM vectors))",
+        f"book0 AS MATERIALIZED (SELECT p, id AS e, x AS c FROM parts WHERE id < {entries})",
+    ]
+    for r in range(rounds):
+        steps += [
+            f"near{r} AS MATERIALIZED (SELECT p, best % {entries} AS e, x, unnest(range(1, len(x) + 1)) AS i FROM ({nearest(f'book{r}')}))",
+            f"mean{r} AS (SELECT p, e, list(m ORDER BY i) AS m FROM (SELECT p, e, i, floor(sum(x[i]) / count(*))::BIGINT AS m FROM near{r} GROUP BY p, e, i) GROUP BY p, e)",
+            f"book{r + 1} AS MATERIALIZED (SELECT p, e, coalesce(m, c) AS c FROM book{r} LEFT JOIN mean{r} USING (p, e))",
+        ]
+    last = f"book{rounds}"
+    return "WITH " + ",\n  ".join([
+        *steps,
+        f"codes AS MATERIALIZED (SELECT id, string_agg(lower(printf('%02x', best % {entries})), '' ORDER BY p) AS code, sum(best // {entries})::BIGINT AS error FROM ({nearest(last)}) GROUP BY id)",
+        f"digest AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM {last})",
+    ]) + "\n  SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM vectors JOIN codes USING (id), digest"
+
+
+SQL: dict[str, str] = {
+    "op3_warc": WARC, "op6_decontamination": DECONTAMINATION, "op9_line_quality": LINE_QUALITY, "op11_topk_search": TOP_K, "op13_vector_codes": _vector_codes(),
+}
