@@ -1,7 +1,7 @@
-"""Character n-gram sets as sorted 64-bit hashes, and the per-row sketches near-duplicate search needs.
+"""Character n-gram sets as sorted 64-bit hashes, the per-row sketches that near-duplicate search needs, and the rows that meet at a token.
 
-Each function here turns one text into one small array; Spark partitions the rows and calls them batch by
-batch through :func:`gram_sets` and :func:`sketches`.
+The classes here turn one text into one small array; Spark partitions the rows and calls them batch by
+batch through :func:`gram_sets`, :func:`gram_counts`, :func:`sketches` and :func:`meetings`.
 """
 
 from __future__ import annotations
@@ -12,7 +12,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.functions.frames import ship_package
 
@@ -50,6 +52,26 @@ def set_signature(grams: np.ndarray) -> str:
     return hashlib.md5(grams.tobytes()).hexdigest()
 
 
+MOST_PARITIES = 1 << 15
+
+
+def parities(grams: np.ndarray) -> bytes:
+    """Whether the set holds an odd number of members in each of 2^k hashed slots, about two for each member (Mitzenmacher et al., WWW 2014).
+
+    Two sets' parities differ in no more slots than there are members that only one of them has, which is an exact bound on their similarity.
+    """
+    slots = min(max(64, 1 << (2 * len(grams) - 1).bit_length()), MOST_PARITIES) if len(grams) else 64
+    counts = np.bincount((mix(grams) >> np.uint64(40)).astype(np.int64) % slots, minlength=slots)
+    return np.packbits(counts & 1).tobytes()
+
+
+def differing(a: bytes, b: bytes) -> int:
+    """Slots in which the parities differ; the longer ones are folded to the length of the others."""
+    n = min(len(a), len(b))
+    x, y = (np.bitwise_xor.reduce(np.frombuffer(p, np.uint8).reshape(-1, n), axis=0) for p in (a, b))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 class PigeonholeTokens:
     """Tokens with the guarantee that two sets of Jaccard similarity >= t have one in common.
 
@@ -59,21 +81,28 @@ class PigeonholeTokens:
     agree on one, and no statistics about the corpus are needed.  (The idea is the first level of PartEnum,
     Arasu et al., VLDB 2006.)
 
-    k depends on the sizes, so sizes are cut into classes by the factor 1/t; similar sets lie in the same
-    or in neighbouring classes.  Class c emits for the schemes c and c+1.  An empty group says little and is
-    left out, unless so many groups are empty that the guarantee would rest on them.
+    k depends on the sizes, so sizes are cut into classes by the factor 1/t^2; similar sets lie in the same
+    or in neighbouring classes.  A set of class c emits for the scheme c, and for c+1 if it is large enough to be similar to a set of that
+    class.  An empty group says little and is left out, unless so many groups are empty that the guarantee would rest on them.
 
     The number of shared tokens says more: every group that is filled in one set and not equal in the other
     holds a difference of its own.  So similar sets share at least (filled groups - differences) tokens of
     a scheme, see :meth:`fewest_shared`.
     """
 
+    counted = False  # whether it needs the corpus's gram counts
+
+    @staticmethod
+    def plausible(threshold: float) -> str:
+        """SQL for whether two rows ``a`` and ``b`` (size, shape) that share ``seen`` tokens, and ``hidden`` ones at most, may be similar."""
+        return f"seen + hidden >= {PigeonholeTokens.fewest_shared(threshold)}"
+
     @staticmethod
     def fewest_shared(threshold: float) -> str:
-        """SQL for how many tokens two rows ``a`` and ``b`` (size, shape) share at least if they are similar."""
+        """SQL for how many tokens they share at least if they are similar."""
         differences = f"floor((1 - {threshold!r}D) / (1 + {threshold!r}D) * (a.size + b.size) + 1e-6D)"
         lower = f"greatest(a.shape[1], b.shape[1]) - {differences}"
-        upper = f"greatest(a.shape[2], b.shape[2]) - {differences}"
+        upper = f"if(a.shape[2] > 0 AND b.shape[2] > 0, greatest(a.shape[2], b.shape[2]) - {differences}, 0)"
         return (
             f"CASE a.shape[0] - b.shape[0] WHEN 0 THEN greatest({lower}, 0) + greatest({upper}, 0)"
             f" WHEN 1 THEN greatest(a.shape[1], b.shape[2]) - {differences}"
@@ -86,23 +115,26 @@ class PigeonholeTokens:
 
     def _class_of(self, size: int) -> int:
         while self.starts[-1] <= size:
-            self.starts.append(math.floor(self.starts[-1] / self.t + 1e-9) + 1)
+            self.starts.append(math.floor(self.starts[-1] / self.t**2 + 1e-9) + 1)
         return int(np.searchsorted(self.starts, size, side="right")) - 1
 
     def _scheme(self, c: int) -> tuple[int, int]:
-        largest = math.floor(self.starts[c] / self.t + 1e-9)
+        largest = self.starts[c + 1] - 1
         differences = math.floor(2 * (1 - self.t) / (1 + self.t) * largest + 1e-9)
         return differences, differences + 2 + (differences + 1) // 20
 
-    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int]]:
-        """The tokens, and [class, filled groups in the scheme of the class, and in the next one]."""
+    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+        """The tokens, and [class, filled groups in the scheme of the class, and in the next one]; no bits."""
         if not len(grams):
-            return grams, [0, 0, 0]
+            return grams, [0, 0, 0], []
         c = self._class_of(len(grams))
         self._class_of(self.starts[c + 1])
         tokens, filled = [], []
         mixed = mix(grams)
         for scheme in (c, c + 1):
+            if scheme > c and len(grams) / self.t + 1e-6 < self.starts[c + 1]:
+                filled.append(0)
+                break
             differences, groups = self._scheme(scheme)
             group = grams % np.uint64(groups)
             order = np.argsort(group)
@@ -115,7 +147,37 @@ class PigeonholeTokens:
                 every[ids.astype(np.int64)] = sums
                 ids, sums = np.arange(groups, dtype=np.uint64), every
             tokens.append(mix(sums ^ mix(ids + np.uint64(scheme << 32))))
-        return np.concatenate(tokens), [c, *filled]
+        return np.concatenate(tokens), [c, *filled], []
+
+
+class RareTokens:
+    """The prefix of a set in the order of rarity in the corpus (Bayardo et al., WWW 2007; positions as in Xiao et al., WWW 2008).
+
+    Sets of Jaccard similarity >= t share ceil(t |A|) members of A at least, so the rarest |A| - ceil(t |A|) + 1 members of each hold
+    one that they share, whatever the order, as long as it is the same for all sets.  Rarity is counted in ``SLOTS`` hashed counters, a table of
+    fixed size; its ties are broken by the hash.
+
+    Places in that order bound the overlap: of two rows whose first common member stands at the places i and j (from 0), the overlap is at most
+    1 + min(|A| - 1 - i, |B| - 1 - j).  Against groups of members (``PigeonholeTokens``) it takes far fewer tokens at low thresholds, but a single
+    member says less than a group of several.
+    """
+
+    SLOTS = 1 << 20
+    counted = True
+
+    def __init__(self, threshold: float, counts: np.ndarray | None = None):
+        self.t, self.counts = threshold, counts
+
+    @staticmethod
+    def plausible(threshold: float) -> str:
+        """Members that both have behind the last one seen can't be told from those that only one has."""
+        need = f"ceil({threshold!r}D / (1 + {threshold!r}D) * (a.size + b.size) - 1e-6D)"
+        return f"seen + hidden + least(a.size - 1 - lo_place, b.size - 1 - hi_place) >= {need}"
+
+    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+        most = len(grams) - math.ceil(self.t * len(grams) - 1e-9) + 1 if len(grams) else 0
+        rarity = self.counts[(grams % np.uint64(self.SLOTS)).astype(np.int64)]
+        return grams[np.lexsort((grams, rarity))[:most]], [], []
 
 
 class MinHashTokens:
@@ -123,14 +185,22 @@ class MinHashTokens:
 
     For a threshold the fewest hashes are taken that find a pair at the threshold with ``RECALL``: of the widest bands first
     (up to 5 rows, which keeps unrelated sets apart), as many bands as that needs, at most ``MOST`` hashes.
+
+    Each row also keeps one bit of each of ``BITS`` further hashes (Li and Koenig, WWW 2010).  Two rows' bits agree with a probability of
+    (1 + s) / 2, so a pair with fewer equal bits than one at the threshold has but once in 1 / ``MISSED`` cases isn't similar, and its sets
+    need not be fetched.
     """
 
     RECALL = 0.9999
     MOST = 640
+    BITS = 256
+    MISSED = 1e-7
+    counted = False
 
     def __init__(self, threshold: float):
         self.bands, self.rows = self.tuned(threshold)
         self.factors = odd_multipliers(self.bands * self.rows, 2)
+        self.bit_factors = odd_multipliers(self.BITS, 3)
 
     @classmethod
     def tuned(cls, threshold: float) -> tuple[int, int]:
@@ -142,18 +212,31 @@ class MinHashTokens:
                 return max(bands, 1), rows
         raise AssertionError
 
-    @staticmethod
-    def fewest_shared(threshold: float) -> str:
-        return "1"
+    @classmethod
+    def fewest_equal(cls, threshold: float) -> int:
+        """The largest number that a pair at the threshold falls short of with a probability of ``MISSED`` at most."""
+        p, below = (1 + threshold) / 2, 0.0
+        for k in range(cls.BITS + 1):
+            below += math.comb(cls.BITS, k) * p**k * (1 - p) ** (cls.BITS - k)
+            if below > cls.MISSED:
+                return k
+        return cls.BITS
 
-    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    @classmethod
+    def plausible(cls, threshold: float) -> str:
+        unequal = " + ".join(f"bit_count(a.bits[{i}] ^ b.bits[{i}])" for i in range(cls.BITS // 64))
+        return f"size(a.bits) = 0 OR {unequal} <= {cls.BITS - cls.fewest_equal(threshold)}"
+
+    def __call__(self, grams: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
         if not len(grams):
-            return grams, []
+            return grams, [], []
         lows = np.array([(grams * f).min() for f in self.factors], dtype=np.uint64)
         tokens = np.arange(self.bands, dtype=np.uint64)
         for row in lows.reshape(self.bands, self.rows).T:
             tokens = mix(tokens ^ row)
-        return tokens, []
+        # The smallest product's own low bit isn't even: small products of odd factors say something about the gram.
+        bits = mix(np.array([(grams * f).min() for f in self.bit_factors], dtype=np.uint64)) & np.uint64(1)
+        return tokens, [], np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
 
 
 def gram_sets(rows: DataFrame, n: int) -> DataFrame:
@@ -166,8 +249,54 @@ def gram_sets(rows: DataFrame, n: int) -> DataFrame:
     return ship_package(rows).select("ord", "gram_text").mapInPandas(run, "ord bigint, grams array<bigint>")
 
 
+def gram_counts(rows: DataFrame, n: int, slots: int) -> np.ndarray:
+    """How many rows (ord, gram_text) hold each gram, in ``slots`` hashed counters; what meets on the driver has this fixed size."""
+    pieces = 64
+    width = slots // pieces
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, held, n_held = np.zeros(slots, np.int64), [], 0
+        for batch in batches:
+            for text in batch["gram_text"]:
+                held.append((gram_hashes(text, n) % np.uint64(slots)).astype(np.int64))
+                n_held += len(held[-1])
+                if n_held >= 4 * slots:
+                    counts += np.bincount(np.concatenate(held), minlength=slots)
+                    held, n_held = [], 0
+        if held:
+            counts += np.bincount(np.concatenate(held), minlength=slots)
+        yield pd.DataFrame({"piece": range(pieces), "counts": [counts[i * width : (i + 1) * width].tobytes() for i in range(pieces)]})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for piece, counts in zip(batch.column("piece").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                sums[piece] = sums.get(piece, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())], names=["piece", "counts"])
+
+    own = ship_package(rows).select("ord", "gram_text").mapInPandas(run, "piece int, counts binary")
+    whole = own.repartition("piece").mapInArrow(add, "piece int, counts binary")
+    out = np.zeros(slots, np.int64)
+    for row in whole.collect():  # 64 pieces
+        out[row.piece * width : (row.piece + 1) * width] = np.frombuffer(row.counts, np.int64)
+    return out
+
+
+def alike_enough(pairs: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (lo, hi) of rows (lo, hi, lo_size, hi_size, lo_parity, hi_parity) whose parities allow for the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("lo_size").to_numpy() + batch.column("hi_size").to_numpy()
+            most = (1 - threshold) / (1 + threshold) * sizes + 1e-6
+            found = zip(batch.column("lo_parity").to_pylist(), batch.column("hi_parity").to_pylist(), most, strict=True)
+            yield batch.select(["lo", "hi"]).filter(pa.array([differing(a, b) <= m for a, b, m in found], pa.bool_()))
+
+    return ship_package(pairs).select("lo", "hi", "lo_size", "hi_size", "lo_parity", "hi_parity").mapInArrow(run, "lo bigint, hi bigint")
+
+
 def sketches(rows: DataFrame, n: int, tokens_of) -> DataFrame:
-    """(ord, gram_text) -> (ord, size, signature, shape, tokens): all that candidate search has to shuffle."""
+    """(ord, gram_text) -> (ord, size, signature, shape, bits, parity, tokens): all that candidate search has to shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -178,10 +307,238 @@ def sketches(rows: DataFrame, n: int, tokens_of) -> DataFrame:
                     "ord": batch["ord"],
                     "size": [len(g) for g in sets],
                     "signature": [set_signature(g) for g in sets],
-                    "shape": [shape for _, shape in found],
-                    "tokens": [tokens.view(np.int64) for tokens, _ in found],
+                    "shape": [shape for _, shape, _ in found],
+                    "bits": [bits for _, _, bits in found],
+                    "parity": [parities(g) for g in sets],
+                    "tokens": [tokens.view(np.int64) for tokens, _, _ in found],
                 }
             )
 
-    schema = "ord bigint, size bigint, signature string, shape array<int>, tokens array<bigint>"
+    schema = "ord bigint, size int, signature string, shape array<int>, bits array<bigint>, parity binary, tokens array<bigint>"
     return ship_package(rows).select("ord", "gram_text").mapInPandas(run, schema)
+
+
+FLUSH = 1 << 20  # pairs that a task holds before it counts equal ones and passes them on
+_SMALL = 32  # buckets of up to so many rows are paired all at once
+
+
+class _Pairs:
+    """Pairs that have met, counted before they leave the task."""
+
+    def __init__(self, threshold: float, places: bool):
+        self.t, self.places, self.held, self.n = threshold, places, [], 0
+
+    def add(self, rows: dict[str, np.ndarray], lo: np.ndarray, hi: np.ndarray) -> None:
+        """Pairs of row numbers; those whose sizes, or places, rule similarity out are left out."""
+        small, large = rows["size"][lo], rows["size"][hi]
+        fits = np.minimum(small, large) >= self.t * np.maximum(small, large) - 1e-6
+        if self.places:
+            overlap = 1 + np.minimum(small - 1 - rows["place"][lo], large - 1 - rows["place"][hi])
+            fits &= overlap >= np.ceil(self.t / (1 + self.t) * (small + large) - 1e-6)
+        fits &= ~rows["gone"][lo] & (rows["ord"][lo] < rows["ord"][hi])
+        lo, hi = lo[fits], hi[fits]
+        if len(lo):
+            self.held.append((rows["ord"][lo], rows["ord"][hi], rows["place"][lo], rows["place"][hi]))
+            self.n += len(lo)
+
+    def counted(self) -> dict[str, np.ndarray]:
+        lo, hi, lo_place, hi_place = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        self.held, self.n = [], 0
+        order = np.lexsort((hi, lo))
+        lo, hi, lo_place, hi_place = lo[order], hi[order], lo_place[order], hi_place[order]
+        first = np.flatnonzero(np.r_[True, (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+        seen = np.diff(np.r_[first, len(lo)])
+        return {"lo": lo[first], "hi": hi[first], "seen": seen, "lo_place": np.maximum.reduceat(lo_place, first), "hi_place": np.maximum.reduceat(hi_place, first)}
+
+
+_MET = {"lo": pa.int64(), "hi": pa.int64(), "seen": pa.int32(), "lo_place": pa.int32(), "hi_place": pa.int32(),
+        "token": pa.int64(), "ord": pa.int64(), "facts": pa.int64(), "behind": pa.bool_()}
+
+
+def _met(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[c]).cast(t) if c in columns else pa.nulls(n, t) for c, t in _MET.items()], names=list(_MET))
+
+
+def _part(rows: dict[str, np.ndarray], chosen) -> dict[str, np.ndarray]:
+    return {c: v[chosen] for c, v in rows.items()}
+
+
+def _joined(a: dict[str, np.ndarray], b: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([a[c], b[c]]) for c in a}
+
+
+class _Buckets:
+    """Pairs the rows of each token as they come, sorted by (token, gone, ord).
+
+    The token that may go on in the next batch is *open*: its rows that aren't gone are held while they are at most ``bucket`` (FILLING); once gone rows
+    follow they have been paired with each other (PAIRED); if there are more, only the heads are held (CROWDED).
+    """
+
+    FILLING, PAIRED, CROWDED = range(3)
+
+    def __init__(self, threshold: float, places: bool, bucket: int, heads: int):
+        self.pairs, self.bucket, self.heads = _Pairs(threshold, places), bucket, heads
+        self.open: dict[str, np.ndarray] | None = None
+        self.state = self.FILLING
+
+    def flushed(self, least: int = FLUSH) -> Iterator[pa.RecordBatch]:
+        if self.pairs.n >= least:
+            yield _met(self.pairs.counted())
+
+    def read(self, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if self.open is not None:
+            same = int(np.searchsorted(rows["token"] != self.open["token"][0], True))
+            if same:
+                yield from self._goes_on(_part(rows, slice(0, same)))
+                rows = _part(rows, slice(same, None))
+            if not len(rows["ord"]):
+                return
+            yield from self.close()
+        starts = np.flatnonzero(np.r_[True, rows["token"][1:] != rows["token"][:-1]])
+        yield from self._whole(_part(rows, slice(0, starts[-1])), starts)
+        self.open, self.state = _part(rows, slice(0, 0)), self.FILLING
+        yield from self._goes_on(_part(rows, slice(starts[-1], None)))
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        """The open token is complete."""
+        if self.open is not None and self.state == self.FILLING:
+            yield from self._among(self.open)
+        self.open = None
+
+    def _goes_on(self, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if self.state == self.FILLING:
+            rows = _joined(self.open, rows)
+            here = int((~rows["gone"]).sum())
+            self.open = _part(rows, slice(0, here))
+            if here > self.bucket:
+                self.state, self.open = self.CROWDED, _part(rows, slice(0, self.heads))
+            elif here < len(rows["ord"]):
+                yield from self._among(self.open)
+                self.state, rows = self.PAIRED, _part(rows, slice(here, None))
+        if self.state == self.CROWDED:
+            yield from self._crowded(rows, self.open)
+        elif self.state == self.PAIRED:
+            yield from self._against(self.open, rows)
+
+    def _against(self, first: dict[str, np.ndarray], rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        both, n = _joined(first, rows), len(first["ord"])
+        for i in range(n):
+            self.pairs.add(both, np.full(len(both["ord"]) - n, i), np.arange(n, len(both["ord"])))
+            yield from self.flushed()
+
+    def _crowded(self, rows: dict[str, np.ndarray], first: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        yield from self._against(first, rows)
+        behind = ~rows["gone"] & (rows["ord"] > first["ord"][-1])
+        yield _met({"token": rows["token"], "ord": rows["ord"], "facts": rows["facts"], "behind": behind})
+
+    def _among(self, rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        n = len(rows["ord"])
+        for i in range(n - 1):
+            self.pairs.add(rows, np.full(n - 1 - i, i), np.arange(i + 1, n))
+            yield from self.flushed()
+
+    def _whole(self, rows: dict[str, np.ndarray], bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Tokens whose rows are all here, between the bounds."""
+        if len(bounds) < 2:
+            return
+        starts, lengths = bounds[:-1], np.diff(bounds)
+        here = np.add.reduceat((~rows["gone"]).astype(np.int64), starts)
+        small = (lengths > 1) & (lengths <= _SMALL) & (here <= self.bucket)
+        behind = np.repeat(np.where(small, lengths, 0), lengths) - (np.arange(len(rows["ord"])) - np.repeat(starts, lengths))
+        for apart in range(1, int(lengths[small].max(initial=1))):
+            lo = np.flatnonzero(behind > apart)
+            self.pairs.add(rows, lo, lo + apart)
+            yield from self.flushed()
+        for token in np.flatnonzero((lengths > 1) & ~small):
+            own = _part(rows, slice(bounds[token], bounds[token + 1]))
+            if here[token] > self.bucket:
+                yield from self._crowded(own, _part(own, slice(0, self.heads)))
+            else:
+                yield from self._among(own)
+
+
+def meetings(entries: DataFrame, threshold: float, places: bool, bucket: int, heads: int) -> DataFrame:
+    """What happens at each token of the entries (token, ord, facts, gone), which have to be sorted by (token, gone, ord) in partitions by token.
+
+    ``facts`` is size * 2^32 + place.  A token's rows that aren't gone are paired with each other and, as the earlier one, with those that are.  If they
+    are more than ``bucket``, only the first ``heads`` of them are paired with all others, and all entries of the token are passed on.
+    Result rows are pairs (lo, hi, seen, lo_place, hi_place), each with the number of tokens seen and the largest places in this task's share, and passed-on
+    entries (token, ord, facts, behind), where ``behind`` marks rows that aren't gone and stand behind the heads.  A task holds one bucket at most.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = _Buckets(threshold, places, bucket, heads)
+        for batch in batches:
+            if batch.num_rows:
+                rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "ord", "facts", "gone")}
+                yield from buckets.read(rows | {"size": rows["facts"] >> 32, "place": rows["facts"] & 0xFFFFFFFF})
+        yield from buckets.close()
+        yield from buckets.flushed(1)
+
+    schema = "lo bigint, hi bigint, seen int, lo_place int, hi_place int, token bigint, ord bigint, facts bigint, behind boolean"
+    return ship_package(entries).select("token", "ord", "facts", "gone").mapInArrow(run, schema)
+
+
+class _Marks:
+    """A set of integers, a bit each in pieces of 65,536."""
+
+    def __init__(self):
+        self.pieces: dict[int, bytearray] = {}
+
+    def add(self, x: int) -> None:
+        piece = self.pieces.setdefault(x >> 16, bytearray(8192))
+        piece[(x & 0xFFFF) >> 3] |= 1 << (x & 7)
+
+    def __contains__(self, x: int) -> bool:
+        piece = self.pieces.get(x >> 16)
+        return piece is not None and bool(piece[(x & 0xFFFF) >> 3] >> (x & 7) & 1)
+
+
+def greedy_walk(pairs: DataFrame) -> DataFrame:
+    """(ord, leader_ord, similarity) of the rows of similar pairs (root, lo, hi, similarity, lo_open, hi_open) that go.
+
+    The pairs have to be sorted by (root, hi, lo), whole components in a partition.  Rows are visited in order: one goes if an earlier similar row is kept, and the first such is its
+    leader; it waits if it is open, or if an earlier similar row waits and none is kept (its leader is null); else it is kept.
+    A component is a stream: what is remembered of it are a bit for each row that went and each that waits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root, gone, waiting = None, _Marks(), _Marks()
+        hi, leader, similarity, waits = None, None, None, False
+        out: list[tuple] = []
+
+        def close() -> None:
+            if hi is not None and leader is not None:
+                gone.add(hi)
+                out.append((hi, leader, similarity))
+            elif hi is not None and waits:
+                waiting.add(hi)
+                out.append((hi, None, None))
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["ord", "leader_ord", "similarity"])
+
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("root", "lo", "hi", "similarity", "lo_open", "hi_open"))
+            for its_root, lo, its_hi, its_similarity, lo_open, hi_open in zip(*columns, strict=True):
+                if its_root != root or its_hi != hi:
+                    close()
+                    if its_root != root:
+                        root, gone, waiting = its_root, _Marks(), _Marks()
+                    hi, leader, similarity, waits = its_hi, None, None, hi_open
+                if leader is not None or lo in gone:
+                    continue
+                if lo_open or lo in waiting:
+                    waits = True
+                else:
+                    leader, similarity = lo, its_similarity
+            if out:
+                yield batch_of(out)
+                out = []
+        close()
+        if out:
+            yield batch_of(out)
+
+    return ship_package(pairs).select("root", "lo", "hi", "similarity", "lo_open", "hi_open").mapInArrow(run, "ord bigint, leader_ord bigint, similarity double")

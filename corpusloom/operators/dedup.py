@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import patterns as P
 from corpusloom.functions import text as X
-from corpusloom.functions.frames import once
+from corpusloom.functions.frames import materialize, once
 
 
 def with_signature(df: DataFrame, text: str = "text") -> DataFrame:
@@ -22,6 +22,7 @@ class ExactDedup:
     """Frames that describe an exact deduplication by ``dedup_signature``, keeping the smallest ``ord``."""
 
     rows: DataFrame  # all input rows, with their signature
+    signatures: DataFrame  # ord, id, dedup_signature of all input rows
     first: DataFrame  # dedup_signature, first_ord, copies
 
     @property
@@ -36,7 +37,7 @@ class ExactDedup:
     def removed(self) -> DataFrame:
         """(ord) of each row that is a copy of an earlier one."""
         repeated = self.first.filter("copies > 1").select("dedup_signature", "first_ord")
-        return self.rows.select("ord", "dedup_signature").join(repeated, "dedup_signature").filter("ord > first_ord").select("ord")
+        return self.signatures.select("ord", "dedup_signature").join(repeated, "dedup_signature").filter("ord > first_ord").select("ord")
 
     @property
     def duplicates(self) -> DataFrame:
@@ -45,7 +46,7 @@ class ExactDedup:
         Many rows may meet one signature here; the other side has one row per signature, which is the
         shape that adaptive skew handling splits.
         """
-        narrow = self.rows.select("ord", "id", "dedup_signature")
+        narrow = self.signatures
         repeated = self.first.filter("copies > 1").select("dedup_signature", "first_ord")
         kept = (
             narrow.join(repeated.select(F.col("first_ord").alias("ord")), "ord", "left_semi")
@@ -66,12 +67,14 @@ def exact_dedup(df: DataFrame, prepared: bool = False) -> ExactDedup:
     """Keep the first row (by ``ord``) of each group of equal texts.
 
     The grouping moves one (signature, min, count) row per group and map task, so a group that holds a
-    third of the corpus costs no more than any other.  With ``prepared`` the rows carry their signature
-    already.
+    third of the corpus costs no more than any other.  With ``prepared`` the rows are a table that holds their signature
+    already; otherwise the signatures are written once, because they are read several times.
     """
     rows = df if prepared else with_signature(df)
-    first = rows.groupBy("dedup_signature").agg(F.min("ord").alias("first_ord"), F.count("*").alias("copies"))
-    return ExactDedup(rows, first)
+    signatures = rows.select("ord", "id", "dedup_signature")
+    signatures = signatures if prepared else materialize(signatures, "signatures")
+    first = signatures.groupBy("dedup_signature").agg(F.min("ord").alias("first_ord"), F.count("*").alias("copies"))
+    return ExactDedup(rows, signatures, first)
 
 
 def dedup_rollup(input_records: int, output_records: int) -> dict[str, float]:

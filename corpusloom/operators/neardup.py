@@ -6,14 +6,15 @@ both A and C stay.)  The result is exactly that of the sequential rule, computed
 
 1. Rows with equal gram sets behave alike, so only the first of them takes part (``groupBy`` with map-side
    combine: a group of copies of any size becomes one row).
-2. Each row becomes a few tokens such that similar rows share one (see ``PigeonholeTokens``; or MinHash).
-3. Rounds.  In a token's bucket of moderate size all rows are paired.  In a larger bucket only its first
-   few rows, the *heads*, meet the others, so the work is linear in the bucket.  A row that lies behind the
+2. Each row becomes a few tokens such that similar rows share one: the rarest members of its set, or above a threshold of
+   ``GROUPED`` groups of members (see ``RareTokens`` and ``PigeonholeTokens``; or MinHash).
+3. Rounds.  The rows are sorted by token, and a task pairs the rows of each token as they come.  In a token's bucket of moderate size all rows are paired.  In
+   a larger one only its first few rows, the *heads*, meet the others, so the work is linear in the bucket.  A row that lies behind the
    heads of some bucket is *open*: it cannot be kept yet, but it can be dropped.  A bucket of near copies
-   is done after one round, because a kept head drops them; what stays open goes into the next round with
-   more heads.  The first undecided row is never open, so every round makes progress and none caps results.
-4. Inside of a round, decisions follow from the similar pairs alone: a row without undecided earlier
-   neighbours is kept and drops its later neighbours, until nothing changes.
+   is done after one round, because a kept head drops them; of what stays open the crowded tokens alone go into the next round, with buckets and
+   heads ``GROWTH`` times as large.  So the rounds are logarithmic in the largest bucket, and none caps results.
+4. The similar pairs found so far are split into connected components, and a component is walked in order as a stream: one step
+   decides all rows, however long a chain of drifting texts is (``greedy_walk``).
 """
 
 from __future__ import annotations
@@ -29,16 +30,19 @@ from corpusloom.functions import grams as G
 from corpusloom.functions import text as X
 from corpusloom.functions.frames import materialize, once
 from corpusloom.functions.rounding import python_round
+from corpusloom.operators.graph import components
 from corpusloom.operators.ordering import add_position
 
-FIRST_BUCKET = 32  # rows of a bucket that are all paired in the first round; grows fourfold per round
-LARGEST_BUCKET = 512
-HEAD_SHARE = 8  # a larger bucket has this fraction of the above as heads
+FIRST_BUCKET = 128  # rows of a bucket that are all paired in the first round
+GROWTH = 16  # of buckets and heads from round to round
+HEAD_SHARE = 32  # a larger bucket has this fraction of the above as heads
+GROUPED = 0.8  # thresholds above take tokens of grouped members
 
 
 @dataclass(frozen=True)
 class NearDedup:
     rows: DataFrame  # all input rows
+    ids: DataFrame  # ord, id of all input rows
     dropped: DataFrame  # ord, leader_ord, similarity
     threshold: float
     ngram_size: int
@@ -51,7 +55,7 @@ class NearDedup:
     @property
     def pairs(self) -> DataFrame:
         """(ord, record_id, duplicate_of, similarity rounded to 4 digits) of each dropped row."""
-        ids = self.rows.select("ord", "id")
+        ids = self.ids
         leaders = self.dropped.select(F.col("leader_ord").alias("ord")).distinct().join(ids, "ord")
         leaders = leaders.select(F.col("ord").alias("leader_ord"), F.col("id").alias("duplicate_of"))
         return (
@@ -67,7 +71,7 @@ class NearDedup:
         ``comparisons`` is what the sequential rule would need: a kept row meets all rows kept before it, a
         dropped one all kept rows up to its leader.
         """
-        ranks = add_position(self.rows.select("ord").join(self.dropped.select("ord"), "ord", "left_anti"), [F.col("ord")], "rank")
+        ranks = add_position(self.ids.select("ord").join(self.dropped.select("ord"), "ord", "left_anti"), [F.col("ord")], "rank")
         by_leader = self.dropped.groupBy("leader_ord").agg(F.count("*").alias("n"))
         met = ranks.join(by_leader, ranks["ord"] == by_leader["leader_ord"], "left").agg(
             F.count("*").alias("output_records"),
@@ -85,135 +89,86 @@ class NearDedup:
         )
 
 
-def near_dedup(df: DataFrame, threshold: float = 0.85, ngram_size: int = 5, method: str = "exact") -> NearDedup:
+def near_dedup(df: DataFrame, threshold: float = 0.85, ngram_size: int = 5, method: str = "exact", index: str | None = None) -> NearDedup:
     """Near deduplication of rows (ord, id, text, ...).
 
     ``method`` chooses the candidates: "exact" finds every pair; "minhash" takes far fewer tokens per row
     in bands that follow from the threshold, and finds a pair at the threshold with a probability of .9999 or more.  Every candidate is
-    checked by its true similarity in both.
+    checked by its true similarity in both.  ``index`` names the tokens of the exact method, "rare" or "groups"; by default the threshold decides.
     """
-    rows = once(df.select("ord", "text"), gram_text=X.gram_form("text")).select("ord", "gram_text")
+    if index not in (None, "rare", "groups"):
+        raise ValueError(f"no such index: {index}")
+    rows = once(df.select("ord", "id", "text"), gram_text=X.gram_form("text")).select("ord", "id", "gram_text")
     if threshold > 1:
         dropped = rows.select("ord", F.col("ord").alias("leader_ord"), F.lit(1.0).alias("similarity")).limit(0)
     elif threshold <= 0:
         dropped = _all_like_the_first(rows, ngram_size)
     else:
-        tokens = G.PigeonholeTokens(threshold) if method == "exact" else G.MinHashTokens(threshold)
+        rows = materialize(rows, "gram-texts")  # whatever the rows come from is evaluated once
+        if method == "minhash":
+            tokens = G.MinHashTokens(threshold)
+        elif index == "groups" or (index is None and threshold > GROUPED):
+            tokens = G.PigeonholeTokens(threshold)
+        else:
+            tokens = G.RareTokens(threshold, G.gram_counts(rows, ngram_size, G.RareTokens.SLOTS))
         dropped = _drop(rows, threshold, ngram_size, tokens)
-    return NearDedup(df, dropped, threshold, ngram_size, method)
+    return NearDedup(df, rows.select("ord", "id"), dropped, threshold, ngram_size, method)
 
 
 def _drop(rows: DataFrame, threshold: float, n: int, tokens) -> DataFrame:
     sketched = materialize(G.sketches(rows, n, tokens), "sketches")
-    groups = sketched.groupBy("signature").agg(F.min("ord").alias("ord"), F.count("*").alias("copies"))
-    distinct = sketched.join(groups.select("ord"), "ord", "left_semi")
-    facts = distinct.select("ord", "size", "shape")
-    entries = materialize(distinct.select("ord", "size", F.explode("tokens").alias("token")), "tokens")
-
+    groups = sketched.groupBy("signature").agg(F.min("ord").alias("first_ord"), F.count("*").alias("copies"))
+    copies = sketched.select("ord", "signature").join(groups.filter("copies > 1"), "signature").filter("ord > first_ord").select("ord", "first_ord")
+    copies = materialize(copies, "copies")
+    distinct = sketched.join(copies.select("ord"), "ord", "left_anti")
+    facts = F.shiftleft(F.col("size").cast("bigint"), 32) + F.col("pos")
+    entries = distinct.select("ord", "size", F.posexplode("tokens").alias("pos", "token")).select("token", "ord", facts.alias("facts"), F.lit(False).alias("gone"))
+
+    met: list[DataFrame] = []
     edges: list[DataFrame] = []
-    dropped = kept = None  # decided so far: (ord)
     bucket = FIRST_BUCKET
     while True:
-        pairs, hidden, open_rows = _candidates(entries, dropped, kept, threshold, bucket)
-        pairs = _plausible(pairs, facts, hidden, tokens.fewest_shared(threshold))
-        found = materialize(_similar(rows, pairs, n, threshold), "similar")
-        edges.append(found)
-        undecided = _minus(_minus(found.select("lo", "hi"), dropped, "lo"), dropped, "hi")
-        newly_dropped, stuck = _decide(undecided, open_rows)
-        dropped = _plus(dropped, newly_dropped)
-        if open_rows is None:
-            break
-        stuck = materialize(_plus(_minus(open_rows, dropped), stuck).distinct(), "undecided")
-        if stuck.isEmpty():
+        dealt = entries.repartition("token").sortWithinPartitions("token", "gone", "ord")
+        met.append(materialize(G.meetings(dealt, threshold, tokens.counted, bucket, max(2, bucket // HEAD_SHARE)), "met"))
+        crowded = met[-1].filter("token IS NOT NULL")
+        open_rows = crowded.filter("behind").select("ord").distinct()
+        pairs = _plausible(met, sketched, crowded, tokens.plausible(threshold), threshold)
+        edges.append(materialize(_similar(rows, pairs, n, threshold), "similar"))
+        decided = materialize(_walked(reduce(DataFrame.union, edges), open_rows), "decided")
+        dropped = decided.filter("leader_ord IS NOT NULL")
+        undecided = open_rows.join(dropped.select("ord"), "ord", "left_anti").union(decided.filter("leader_ord IS NULL").select("ord")).distinct()
+        states = undecided.select("ord", F.lit(False).alias("gone")).union(dropped.select("ord", F.lit(True)))
+        # Dropped rows stay: they may find an earlier leader among the rows that are undecided.
+        entries = materialize(crowded.select("token", "ord", "facts").join(states, "ord").select("token", "ord", "facts", "gone"), "crowded")
+        if entries.filter("NOT gone").isEmpty():
             break
-        kept = materialize(_minus(_minus(entries.select("ord").distinct(), dropped), stuck), "kept")
-        bucket = min(bucket * 4, LARGEST_BUCKET)
+        bucket *= GROWTH
 
-    # The leader is the first kept neighbour over all rounds.
-    leaders = (
-        _minus(reduce(DataFrame.union, edges), dropped, "lo")
-        .groupBy(F.col("hi").alias("ord"))
-        .agg(F.min("lo").alias("leader_ord"), F.min_by("similarity", "lo").alias("similarity"))
-    )
-    leaders = materialize(leaders, "leaders")
     # A further copy of a set follows its first row: to that row's leader, or to the row itself.
-    repeated = groups.filter("copies > 1").withColumnRenamed("ord", "first_ord")
-    target = repeated.join(leaders, repeated["first_ord"] == leaders["ord"], "left").select(
-        "signature",
-        "first_ord",
-        F.coalesce("leader_ord", "first_ord").alias("leader_ord"),
-        F.coalesce("similarity", F.lit(1.0)).alias("similarity"),
+    leaders = dropped.withColumnRenamed("ord", "first_ord")
+    copies = copies.join(leaders, "first_ord", "left").select(
+        "ord", F.coalesce("leader_ord", "first_ord").alias("leader_ord"), F.coalesce("similarity", F.lit(1.0)).alias("similarity")
     )
-    copies = sketched.select("ord", "signature").join(target, "signature").filter("ord > first_ord")
-    return materialize(leaders.unionByName(copies.select(*leaders.columns)), "dropped")
-
+    return materialize(dropped.unionByName(copies), "dropped")
 
-def _minus(df: DataFrame, others: DataFrame | None, on: str = "ord") -> DataFrame:
-    return df if others is None else df.join(others.select(F.col("ord").alias(on)), on, "left_anti")
 
+def _plausible(met: list[DataFrame], sketched: DataFrame, crowded: DataFrame, condition: str, threshold: float) -> DataFrame:
+    """Pairs (lo, hi) of the last round that may be similar by the tokens that they share and by their sketches.
 
-def _plus(a: DataFrame | None, b: DataFrame | None) -> DataFrame | None:
-    return b if a is None else a if b is None else a.union(b)
-
-
-def _candidates(
-    entries: DataFrame, dropped: DataFrame | None, kept: DataFrame | None, threshold: float, bucket: int
-) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
-    """Pairs (lo, hi), one row per token they share; (ord, hidden) tokens of a row that may be shared with
-    others unseen; and the open rows.  The latter two are None if no bucket is crowded.
+    What they share is what has been seen in all rounds, and at most as many more as either row has crowded tokens.
     """
-    undecided = _minus(_minus(entries, dropped), kept)
-    place = F.row_number().over(Window.partitionBy("token").orderBy("ord"))
-    # Spark trims to the first rows of each token before the shuffle, and the list stays within bucket + 1.
-    # A lone undecided row matters only for the rows that were dropped before.
-    lists = materialize(
-        undecided.withColumn("_place", place)
-        .filter(F.col("_place") <= bucket + 1)
-        .groupBy("token")
-        .agg(F.sort_array(F.collect_list(F.struct("ord", "size"))).alias("rows"))
-        .filter(F.size("rows") > (1 if dropped is None else 0)),
-        "buckets",
+    last = len(met) - 1
+    shares = [m.filter("lo IS NOT NULL").select("lo", "hi", "seen", "lo_place", "hi_place", F.lit(i == last).alias("now")) for i, m in enumerate(met)]
+    counted = reduce(DataFrame.union, shares).groupBy("lo", "hi").agg(
+        F.sum("seen").alias("seen"), F.max("lo_place").alias("lo_place"), F.max("hi_place").alias("hi_place"), F.max("now").alias("now")
     )
-    sizes = F.least("lo.size", "hi.size") >= F.greatest("lo.size", "hi.size") * F.lit(threshold) - 1e-6
-    compatible = sizes & (F.col("lo.ord") < F.col("hi.ord"))
-
-    def ords(pairs: DataFrame) -> DataFrame:
-        return pairs.filter(compatible).select("lo.ord", "hi.ord").toDF("lo", "hi")
-
-    whole = lists.filter(F.size("rows") <= bucket)
-    pairs = ords(whole.select("rows", F.explode("rows").alias("hi")).select("hi", F.explode("rows").alias("lo")))
-    if dropped is not None:
-        # Dropped rows may still find an earlier leader among the rows that are undecided.
-        later = entries.join(dropped, "ord", "left_semi").select("token", F.struct("ord", "size").alias("hi"))
-        pairs = pairs.union(ords(whole.join(later, "token").select("hi", F.explode("rows").alias("lo"))))
-    crowded = lists.filter(F.size("rows") > bucket)
-    if crowded.isEmpty():
-        return pairs, None, None
-
-    heads = max(2, bucket // HEAD_SHARE)
-    crowded = crowded.select("token", F.slice("rows", 1, heads).alias("heads"))
-    # Few heads per token against all rows of the token: one side is short, the other may be skewed.
-    hits = materialize(
-        _minus(entries, kept).join(crowded, "token").select(F.struct("ord", "size").alias("hi"), "heads"),
-        "crowded",
-    )
-    pairs = pairs.union(ords(hits.select("hi", F.explode("heads").alias("lo"))))
-    hidden = hits.groupBy(F.col("hi.ord").alias("ord")).agg(F.count("*").alias("hidden"))
-    behind = hits.filter(F.col("hi.ord") > F.element_at("heads", -1)["ord"]).select("hi.ord").distinct()
-    return pairs, hidden, materialize(_minus(behind, dropped), "open")
-
-
-def _plausible(pairs: DataFrame, facts: DataFrame, hidden: DataFrame | None, fewest_shared: str) -> DataFrame:
-    """Distinct pairs (lo, hi) that share as many tokens as similar rows have to."""
-    counted = pairs.groupBy("lo", "hi").agg(F.count("*").alias("seen"))
-    if fewest_shared == "1":
-        return counted.select("lo", "hi")
-    known = facts.withColumn("hidden", F.lit(0))
-    if hidden is not None:
-        known = facts.join(hidden, "ord", "left").withColumn("hidden", F.coalesce("hidden", F.lit(0)))
-    side = known.select("ord", F.struct("size", "shape", "hidden").alias("side"))
-    enough = f"seen + least(a.hidden, b.hidden) >= {fewest_shared}"
-    return counted.join(side.toDF("lo", "a"), "lo").join(side.toDF("hi", "b"), "hi").filter(enough).select("lo", "hi")
+    counted = counted.filter("now")
+    hidden = crowded.groupBy("ord").agg(F.count("*").alias("hidden"))
+    known = sketched.select("ord", "size", "shape", "bits", "parity").join(hidden, "ord", "left")
+    side = known.select("ord", F.struct("size", "shape", "bits", "parity", F.coalesce("hidden", F.lit(0)).alias("hidden")).alias("side"))
+    both = counted.join(side.toDF("lo", "a"), "lo").join(side.toDF("hi", "b"), "hi").withColumn("hidden", F.least("a.hidden", "b.hidden"))
+    sketches = [F.col(f"{row}.{what}").alias(f"{side}_{what}") for side, row in (("lo", "a"), ("hi", "b")) for what in ("size", "parity")]
+    return G.alike_enough(both.filter(condition).select("lo", "hi", *sketches), threshold)
 
 
 def _similar(rows: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
@@ -227,20 +182,14 @@ def _similar(rows: DataFrame, pairs: DataFrame, n: int, threshold: float) -> Dat
     return checked.filter(F.col("similarity") >= threshold)
 
 
-def _decide(pairs: DataFrame, open_rows: DataFrame | None) -> tuple[DataFrame | None, DataFrame | None]:
-    """Follow the similar pairs: returns the dropped rows and those that wait for an open row."""
-    dropped: list[DataFrame] = []
-    pairs = materialize(pairs, "undecided-pairs")
-    while not pairs.isEmpty():
-        leaders = _minus(pairs.select(F.col("lo").alias("ord")).distinct(), pairs.select(F.col("hi").alias("ord")).distinct())
-        leaders = _minus(leaders, open_rows)
-        gone = materialize(pairs.join(leaders.toDF("lo"), "lo", "left_semi").select(F.col("hi").alias("ord")).distinct(), "gone")
-        if gone.isEmpty():
-            break
-        dropped.append(gone)
-        pairs = materialize(_minus(_minus(pairs, gone, "lo"), gone, "hi"), "undecided-pairs")
-    waiting = None if open_rows is None else pairs.select(F.col("hi").alias("ord")).distinct()
-    return (reduce(DataFrame.union, dropped) if dropped else None), waiting
+def _walked(edges: DataFrame, open_rows: DataFrame) -> DataFrame:
+    """(ord, leader_ord, similarity) of the rows that are dropped, and with nulls of those that wait for an open row."""
+    roots = components(edges.select(F.col("lo").alias("a"), F.col("hi").alias("b")))
+    pairs = edges.join(roots.withColumnRenamed("node", "lo"), "lo")
+    for side in ("lo", "hi"):
+        pairs = pairs.join(open_rows.select(F.col("ord").alias(side), F.lit(True).alias(f"{side}_open")), side, "left")
+    pairs = pairs.withColumns({f"{side}_open": F.coalesce(f"{side}_open", F.lit(False)) for side in ("lo", "hi")})
+    return G.greedy_walk(pairs.repartition("root").sortWithinPartitions("root", "hi", "lo"))
 
 
 def _all_like_the_first(rows: DataFrame, n: int) -> DataFrame:

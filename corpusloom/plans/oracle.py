@@ -326,6 +326,8 @@ SQL: dict[str, str] = {
         (SELECT count(*) FROM a JOIN b USING (k, g) WHERE a.k = p.k) AS shared FROM pairs p)
       SELECT k.c AS conv_id, k.t AS turn, round(CASE WHEN m + n = 0 THEN 1.0::DOUBLE ELSE shared::DOUBLE / (m + n - shared)::DOUBLE END, 6) AS similarity FROM sizes""",
     "near_dedup": f"{NEAR} SELECT ord, ord::VARCHAR AS record_id, leader::VARCHAR AS duplicate_of, printf('%.4f', similarity)::DOUBLE AS similarity FROM dropped",
+    **{f"{name}": f"WITH RECURSIVE {RAW_DOCS}, {exact()}, {near(threshold=t)} SELECT ord, ord::VARCHAR AS record_id, leader::VARCHAR AS duplicate_of, printf('%.4f', similarity)::DOUBLE AS similarity FROM dropped"
+       for name, t in (("near_dedup_50", "0.5"), ("near_dedup_70", "0.7"), ("near_dedup_rare", "0.85"), ("minhash_near_dedup_70", "0.7"))},
     "near_dedup_kept": f"{NEAR} SELECT ord, md5(text) AS text_md5 FROM survivors",
     "near_dedup_stats": f"""{NEAR}, ranked AS (SELECT ord, row_number() OVER (ORDER BY ord) AS place FROM survivors)
       SELECT 'char_ngram_jaccard' AS method, (SELECT count(*) FROM firsts) AS input_records, (SELECT count(*) FROM survivors) AS output_records,

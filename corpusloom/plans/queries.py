@@ -140,6 +140,24 @@ def near_dedup(spark, folder):
     return neardup.near_dedup(kept).pairs
 
 
+def near_dedup_50(spark, folder):
+    """A low threshold, over the index of rare members."""
+    return neardup.near_dedup(dedup.exact_dedup(raw_docs(spark, folder)).kept, threshold=0.5).pairs
+
+
+def near_dedup_70(spark, folder):
+    return neardup.near_dedup(dedup.exact_dedup(raw_docs(spark, folder)).kept, threshold=0.7).pairs
+
+
+def near_dedup_rare(spark, folder):
+    """The default threshold over the index of rare members."""
+    return neardup.near_dedup(dedup.exact_dedup(raw_docs(spark, folder)).kept, index="rare").pairs
+
+
+def minhash_near_dedup_70(spark, folder):
+    return neardup.near_dedup(dedup.exact_dedup(raw_docs(spark, folder)).kept, threshold=0.7, method="minhash").pairs
+
+
 def near_dedup_kept(spark, folder):
     return neardup.near_dedup(raw_docs(spark, folder)).kept.select("ord", F.md5("text").alias("text_md5"))
 
@@ -155,8 +173,7 @@ def minhash_near_dedup(spark, folder):
 
 def dedup_rollup(spark, folder):
     exact = dedup.exact_dedup(raw_docs(spark, folder))
-    rows = exact.rows.select("ord", "id", "text", "dedup_signature")
-    near = neardup.near_dedup(dedup.ExactDedup(rows, exact.first).kept)
+    near = neardup.near_dedup(exact.kept)
     counts = exact.first.agg(F.sum("copies").alias("input_records"), F.count("*").alias("_distinct"))
     counts = counts.join(near.dropped.agg(F.count("*").alias("_near")))  # two one-row frames
     counts = counts.withColumn("output_records", F.col("_distinct") - F.col("_near"))
@@ -468,7 +485,7 @@ QUERIES: dict[str, Query] = {
         normalize_text, text_counters, detect_language, pii_flags, filter_reason, clean_records, clean_stats,
         clean_filter_reasons, repeated_run, info_unique_ratio, ingest_counts, exact_dedup, exact_dedup_stats,
         exact_duplicates, sha1_sig, char_ngrams, turn_jaccard, near_dedup, near_dedup_kept, near_dedup_stats,
-        minhash_near_dedup, dedup_rollup, simhash_sig, turn_hamming, tokenize, tokenize_count, token_stats,
+        near_dedup_50, near_dedup_70, near_dedup_rare, minhash_near_dedup, minhash_near_dedup_70, dedup_rollup, simhash_sig, turn_hamming, tokenize, tokenize_count, token_stats,
         length_distribution, tokens_by_source, pluggable_tokenizer, quality_features, quality_score, quality_stats,
         quality_counts, sample_by_quality, sample_by_source_ratio, sample_backfill, sample_topk, source_quotas,
         sampling_metrics, instruction_text, html_to_text, parse_corpus, normalize_records, validate_records,

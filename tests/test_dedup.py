@@ -96,10 +96,10 @@ def test_near_dedup_in_one_round(spark, threshold):
     check(spark, mixed_corpus(1), threshold)
 
 
-@pytest.mark.parametrize("threshold, first, largest", [(0.85, 3, 6), (0.93, 2, 4)])
-def test_crowded_buckets_take_rounds(spark, monkeypatch, threshold, first, largest):
+@pytest.mark.parametrize("threshold, first, growth", [(0.85, 3, 2), (0.93, 2, 2), (0.6, 4, 3)])
+def test_crowded_buckets_take_rounds(spark, monkeypatch, threshold, first, growth):
     monkeypatch.setattr(neardup, "FIRST_BUCKET", first)
-    monkeypatch.setattr(neardup, "LARGEST_BUCKET", largest)
+    monkeypatch.setattr(neardup, "GROWTH", growth)
     check(spark, mixed_corpus(2, rows=70, hot=30), threshold)
 
 
@@ -133,11 +133,12 @@ def test_similar_sets_share_a_token():
             a, b = np.unique(a), np.unique(b)
             if not len(b) or len(np.intersect1d(a, b)) / len(np.union1d(a, b)) < threshold:
                 continue
-            (ta, shape_a), (tb, shape_b) = tokens(a), tokens(b)
+            (ta, shape_a, _), (tb, shape_b, _) = tokens(a), tokens(b)
             shared = len(np.intersect1d(ta, tb))
             assert shared, (threshold, size, most)
             differences = int((1 - threshold) / (1 + threshold) * (len(a) + len(b)) + 1e-6)
-            schemes = [max(shape_a[1 + c - shape_a[0]], shape_b[1 + c - shape_b[0]]) for c in {shape_a[0], shape_a[0] + 1} & {shape_b[0], shape_b[0] + 1}]
+            common = {c for c, filled in zip((shape_a[0], shape_a[0] + 1), shape_a[1:], strict=True) if filled} & {c for c, filled in zip((shape_b[0], shape_b[0] + 1), shape_b[1:], strict=True) if filled}
+            schemes = [max(shape_a[1 + c - shape_a[0]], shape_b[1 + c - shape_b[0]]) for c in common]
             assert shared >= sum(max(filled - differences, 0) for filled in schemes)
 
 
@@ -146,3 +147,53 @@ def test_gram_hashes_follow_the_grams():
         assert len(G.gram_hashes(text, 5)) == len(grams(text, 5))
     assert G.gram_hashes("abcde", 5)[0] in G.gram_hashes("abcdef", 5)
 
+
+
+def test_parities_bound_the_difference():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        every = rng.integers(0, 2**63, int(rng.integers(1, 3000)), dtype=np.uint64)
+        a, b = (np.unique(every[rng.random(len(every)) < rng.random()]) for _ in range(2))
+        apart = len(np.setxor1d(a, b))
+        differ = G.differing(G.parities(a), G.parities(b))
+        assert differ <= apart and (apart - differ) % 2 == 0 and (apart < 40 or differ > apart / 6)
+
+
+def test_a_drifting_chain_is_decided_in_one_walk(spark, monkeypatch):
+    """2,000 texts, each like the ones next to it only: the number of written tables doesn't follow the chain's length."""
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2000 * 12 + 200))
+    rows = [(i, text[12 * i : 12 * i + 200]) for i in range(2000)]
+    tables = []
+    from corpusloom.operators import graph
+
+    for module in (neardup, graph):
+        monkeypatch.setattr(module, "materialize", lambda df, name, write=module.materialize: tables.append(name) or write(df, name))
+    df = spark.createDataFrame([(o, f"r{o}", t) for o, t in rows], "ord bigint, id string, text string").repartition(3)
+    dropped = {r.ord: r.leader_ord for r in neardup.near_dedup(df, 0.85).dropped.collect()}
+    g = [grams(t, 5) for _, t in rows]
+    want: dict[int, int] = {}
+    for i in range(2000):
+        leader = next((j for j in range(max(0, i - 3), i) if j not in want and similarity(g[j], g[i]) >= 0.85), None)
+        if leader is not None:
+            want[i] = leader
+    assert dropped == want and len(want) > 900 and len(tables) <= 30
+    assert similarity(g[0], g[1]) >= 0.85 > similarity(g[0], g[2])
+
+
+def test_components(spark, monkeypatch):
+    from corpusloom.operators import graph
+
+    rng = random.Random(11)
+    edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 50)] + [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(150)]
+    forest = graph.Forest()
+    for a, b in edges:
+        forest.join(a, b)
+    want = {x: forest.root(x) for a, b in edges for x in (a, b) if a != b}
+    for most in (1 << 22, 100):  # one task, and rounds of several
+        monkeypatch.setattr(graph, "TASK_EDGES", most)
+        df = spark.createDataFrame(edges + [(b, a) for a, b in edges[:20]], "a long, b long").repartition(4)
+        assert {r.node: r.root for r in graph.components(df).collect()} == want
+    assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
