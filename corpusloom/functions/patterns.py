@@ -75,6 +75,7 @@ LONG_TOKEN = rf"[A-Za-z_{DIGIT}](?:(?<=[A-Za-z_])[A-Za-z_]*(?:'[A-Za-z]+)?|(?<={
 SIMHASH_TOKEN = rf"{WORD}+|[^\p{{L}}\p{{N}}_{WS_RANGES}]"
 
 LENGTH_BUCKETS = [(32, "0-32"), (128, "33-128"), (512, "129-512"), (2048, "513-2048"), (None, "2049+")]
+FILTER_REASONS = ["empty_text", "too_short", "too_long", "too_many_urls", "repeated_chars", "pii_detected", "low_information"]
 QUALITY_BUCKETS = [(0.75, "high"), (0.45, "medium"), (None, "low")]
 # --- end of fixed values ------------------------------------------------------------------------
 

@@ -69,6 +69,7 @@ def report_core(
     raw_records: int | None = None,
     dedup: dict | None = None,
     total_tokens: int | None = None,
+    filtered_records: int | None = None,
 ) -> DataFrame:
     """One row with the headline figures; what the caller does not know is derived from the frames."""
     train = sampled.agg(F.count("*").alias("train_records"), F.coalesce(F.sum("token_count"), F.lit(0)).alias("train_tokens"))
@@ -83,6 +84,7 @@ def report_core(
 
     dedup = dedup or {}
     row = row.withColumn("raw_records", known(raw_records, F.col("all_records")))
+    row = row.withColumn("filtered_records", known(filtered_records, F.col("filtered_records")))
     row = row.withColumn("kept_records", F.col("raw_records") - F.col("filtered_records"))
     row = row.withColumn("dedup_before", known(dedup.get("input_records"), F.col("kept_records")))
     row = row.withColumn("dedup_after", known(dedup.get("output_records"), F.col("train_records")))

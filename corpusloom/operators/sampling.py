@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.ordering import add_position, top_rows
-
+from corpusloom.functions.frames import materialize
+from corpusloom.operators.ordering import top_rows
 
 
 def best_first() -> list:
@@ -62,21 +62,13 @@ def sample_by_source_ratio(df: DataFrame, ratios: dict[str, float] | None, max_r
 def _by_quota(narrow: DataFrame, ratios: dict[str, float], max_records: int) -> DataFrame:
     spark = narrow.sparkSession
     quotas = source_quotas(narrow, ratios, max_records).collect()  # as many rows as the configuration has sources
-    frame = spark.createDataFrame(
-        [(q.source, q.take, q.taken_before) for q in quotas if q.take > 0], "source string, take bigint, taken_before bigint"
-    )
-    most = max((q.take for q in quotas), default=0)
-    candidates = narrow.join(F.broadcast(frame), "source")
-    if most <= int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
-        # Spark keeps the first rows of each source before the shuffle, so a hot source stays cheap.
-        rank = F.row_number().over(Window.partitionBy("source").orderBy(*best_first()))
-        ranked = candidates.withColumn("rank", rank).filter(F.col("rank") <= most)
-    else:
-        ranked = add_position(candidates, best_first(), "rank", within="source")
-    picked = ranked.filter(F.col("rank") <= F.col("take")).select("ord", "id", (F.col("taken_before") + F.col("rank")).alias("train_rank"))
+    frame = spark.createDataFrame([(q.source, q.taken_before) for q in quotas], "source string, taken_before bigint")
+    ranked = top_rows(narrow, best_first(), {q.source: q.take for q in quotas}, "rank", within="source").join(F.broadcast(frame), "source")
+    picked = ranked.select("ord", "id", (F.col("taken_before") + F.col("rank")).alias("train_rank"))
 
     taken = sum(q.take for q in quotas)
     if taken < max_records:
+        picked = materialize(picked, "picked")
         rest = narrow.join(picked.select("id"), "id", "left_anti")
         filled = top_rows(rest, best_first(), max_records - taken, "train_rank")
         picked = picked.select("ord", "train_rank").union(filled.select("ord", F.col("train_rank") + taken))

@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
@@ -27,15 +28,28 @@ class Tokenizer:
     load: Callable[[], object] | None = None
     error: str = ""
 
-    def checked(self) -> Tokenizer:
-        """This tokenizer if it loads, else the built-in rule with the error noted."""
+    def checked(self, spark: SparkSession) -> Tokenizer:
+        """This tokenizer if it loads on the workers, else the built-in rule with the error noted.
+
+        A file or a package may be there on the driver alone, so the workers are asked, by a task for each core.
+        """
         if self.load is None:
             return self
-        try:
-            _counter(self.load())("probe")
-        except Exception as failure:  # whatever goes wrong in user code leads to the fallback
-            return Tokenizer(error=str(failure))
-        return self
+        load = self.load
+
+        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _ in batches:
+                pass
+            try:
+                _counter(load())("probe")
+                failures = []
+            except Exception as failure:  # whatever goes wrong in user code leads to the fallback
+                failures = [str(failure) or type(failure).__name__]
+            yield pa.RecordBatch.from_arrays([pa.array(failures, pa.string())], names=["error"])
+
+        cores = spark.sparkContext.defaultParallelism
+        failed = ship_package(spark.range(cores, numPartitions=cores)).mapInArrow(probe, "error string").agg(F.min("error")).first()[0]
+        return self if failed is None else Tokenizer(error=failed)
 
     def count(self, text: str) -> Column:
         if self.load is None:

@@ -297,6 +297,11 @@ REPORT_CORE = f"""SELECT a AS raw_records, a - f AS kept_records, f AS filtered_
       round({ratio('(a - f - t)', '(a - f)')}, 6) AS duplicate_rate, t AS train_records, k::BIGINT AS total_tokens FROM
       (SELECT count(*) AS a, count(*) FILTER (filter_reason <> '') AS f FROM scored), (SELECT count(*) AS t, coalesce(sum(token_count), 0) AS k FROM sampled)"""
 
+OTHER_REASON = (
+    reason().replace("length < 50 ", "length < 400 ").replace("urls > 10 ", "urls > 1 ").replace("max_run >= 20 ", "max_run >= 8 ").replace(" WHEN flags <> '' THEN 'pii_detected'", "")
+)
+LARGE = "(VALUES ('web', 0, 21000), ('document', 1, 15000), ('code', 2, 12000), ('instruction', 3, 12000)) q(source, place, target)"
+
 SQL: dict[str, str] = {
     "normalize_text": f"WITH {DOCS} SELECT ord AS doc_id, text FROM docs",
     "text_counters": f"{WITH_DOCS} SELECT ord AS doc_id, * EXCLUDE (ord) FROM counted",
@@ -337,6 +342,9 @@ SQL: dict[str, str] = {
     "dedup_rollup": f"""{NEAR} SELECT a AS input_records, b AS output_records, a - b AS duplicates_removed, round({ratio('(a - b)', 'a')}, 6) AS duplicate_rate
       FROM (SELECT count(*) AS a FROM docs), (SELECT count(*) AS b FROM survivors)""",
     "simhash_sig": f"WITH src AS (SELECT doc_id AS key, text FROM documents) SELECT key AS ord, simhash FROM ({votes('src')})",
+    "hamming_pairs": f"""WITH src AS (SELECT doc_id AS key, text FROM documents), signed AS MATERIALIZED (SELECT simhash, min(key) AS ord, count(*) AS copies FROM ({votes('src')}) GROUP BY simhash)
+      SELECT a.ord AS lo, b.ord AS hi, bit_count(xor(a.simhash, b.simhash))::BIGINT AS distance, a.copies AS lo_copies, b.copies AS hi_copies
+      FROM signed a JOIN signed b ON a.ord < b.ord AND bit_count(xor(a.simhash, b.simhash)) <= 8""",
     "turn_hamming": f"""WITH pairs AS MATERIALIZED ({PAIRS}),
       src AS (SELECT {{'c': conv_id, 't': turn, 's': 'q'}} AS key, question AS text FROM pairs UNION ALL SELECT {{'c': conv_id, 't': turn, 's': 'a'}}, answer FROM pairs),
       hashed AS MATERIALIZED ({votes('src')})
@@ -348,6 +356,7 @@ SQL: dict[str, str] = {
       min(token_count) AS min_tokens, max(token_count) AS max_tokens FROM counted""",
     "length_distribution": f"{RAW_TOKENS} SELECT {LENGTH_BUCKET} AS length_bucket, count(*) AS records FROM counted GROUP BY 1",
     "tokens_by_source": f"WITH {CORPUS} SELECT source, sum(len(regexp_extract_all(raw_text, '{TOKEN}')))::BIGINT AS tokens FROM corpus GROUP BY source",
+    "tokenizer_fallback": f"""{TOKENS_OF_DOCS} SELECT doc_id, token_count, 'simple_fallback_tokenizer' AS tokenizer, 'no vocabulary on this machine' AS error FROM counted""",
     "pluggable_tokenizer": f"WITH {DOCS} SELECT ord AS doc_id, length(regexp_replace(text, '{SPACE}+', '', 'g'))::BIGINT AS token_count FROM docs",
     "quality_features": f"""{CLEAN_DOCS} SELECT id, token_count, length AS text_length, urls AS url_count, round(repeat_char_ratio, 6) AS repeat_char_ratio,
       flags <> '' AS pii_flag, language, source, round(code_symbol_ratio, 6) AS code_symbol_ratio, round(alpha_digit_ratio, 6) AS alpha_digit_ratio,
@@ -360,6 +369,7 @@ SQL: dict[str, str] = {
     "sample_by_quality": f"{SCORED}, {CANDIDATES} SELECT ord, quality_score, token_count FROM candidates",
     "sample_by_source_ratio": f"{SAMPLED} SELECT train_rank, ord, source, quality_score, token_count FROM sampled",
     "sample_backfill": f"{SCORED}, {CANDIDATES}, {sampled('candidates', BACKFILL, 250)} SELECT train_rank, ord FROM sampled",
+    "sample_large_quotas": f"""WITH {scored()}, {CANDIDATES}, {sampled('candidates', LARGE, 60000)} SELECT train_rank, ord FROM sampled""",
     "sample_topk": f"""{SCORED}, {CANDIDATES} SELECT train_rank::BIGINT AS train_rank, ord FROM (
       SELECT row_number() OVER (ORDER BY {BEST}) AS train_rank, ord FROM candidates) WHERE train_rank <= 100""",
     "source_quotas": f"{SAMPLED} SELECT source, target, available, take, taken_before FROM quota",
@@ -380,6 +390,10 @@ SQL: dict[str, str] = {
       FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS n FROM documents)""",
     "source_distribution": f"""{SAMPLED} SELECT source, count(*) AS record_count, sum(token_count)::BIGINT AS token_count,
       printf('%.4f', sum(token_count)::DOUBLE / (SELECT sum(token_count) FROM sampled)::DOUBLE)::DOUBLE AS token_share FROM sampled GROUP BY source""",
+    "config_scoping": f"""{CLEAN_DOCS}, other AS MATERIALIZED (SELECT {OTHER_REASON} AS filter_reason FROM clean)
+      SELECT 'flat' AS form, filter_reason, count(*) AS records FROM other WHERE filter_reason <> '' GROUP BY 2
+      UNION ALL SELECT 'section', filter_reason, count(*) FROM other WHERE filter_reason <> '' GROUP BY 2
+      UNION ALL SELECT 'none', filter_reason, count(*) FROM clean WHERE filter_reason <> '' GROUP BY 2""",
     "reason_distribution": f'WITH {cleaned()} SELECT filter_reason, count(*) AS "count" FROM clean WHERE filter_reason <> \'\' GROUP BY 1',
     "quality_distribution": f"""{SCORED} SELECT b AS quality_bucket, count(s.ord) AS "count" FROM (VALUES ('high'), ('medium'), ('low')) v(b)
       LEFT JOIN scored s ON s.quality_bucket = b GROUP BY b""",
@@ -394,6 +408,24 @@ SQL: dict[str, str] = {
     "run_pipeline": f"{FILES} SELECT train_rank, source, token_count, quality_score, md5(text) AS text_md5 FROM sampled",
     "run_duplicates": f"""{FILES} SELECT 'exact' AS stage, s.id, f.id AS duplicate_of, 1.0::DOUBLE AS similarity FROM signed s JOIN firsts f USING (dedup_signature) WHERE s.ord > f.ord
       UNION ALL SELECT 'near', a.id, b.id, printf('%.4f', similarity)::DOUBLE FROM dropped d JOIN firsts a ON a.ord = d.ord JOIN firsts b ON b.ord = d.leader""",
+    "run_metrics": f"""{FILES}, processed AS MATERIALIZED (SELECT * FROM survivors)
+      SELECT 'ingest.records_by_source' AS part, source AS name, count(*) AS value FROM scored GROUP BY 2
+      UNION ALL SELECT 'cleaning.filter_reasons', filter_reason, count(*) FROM scored WHERE filter_reason <> '' GROUP BY 2
+      UNION ALL SELECT 'tables.filtered_reasons', filter_reason, count(*) FROM scored WHERE filter_reason <> '' GROUP BY 2
+      UNION ALL SELECT 'tables.safety_flags', flag, count(*) FROM (SELECT unnest(string_split(flags, ',')) AS flag FROM scored WHERE flags <> '') GROUP BY 2
+      UNION ALL SELECT 'tokenizer.token_count_by_source', source, sum(token_count)::BIGINT FROM processed GROUP BY 2
+      UNION ALL SELECT 'tokenizer.length_distribution', {LENGTH_BUCKET}, count(*) FROM processed GROUP BY 2
+      UNION ALL SELECT 'quality.quality_distribution', quality_bucket, count(*) FROM processed GROUP BY 2
+      UNION ALL SELECT 'quality.quality_by_source_bucket', source || ':' || quality_bucket, count(*) FROM processed GROUP BY 2
+      UNION ALL SELECT 'tables.source_counts', source, count(*) FROM sampled GROUP BY 2
+      UNION ALL SELECT 'tables.source_tokens', source, sum(token_count)::BIGINT FROM sampled GROUP BY 2
+      UNION ALL SELECT 'tables.quality_distribution', quality_bucket, count(*) FROM sampled GROUP BY 2
+      UNION ALL SELECT 'sampling', 'quality_candidates', count(*) FROM candidates
+      UNION ALL SELECT 'sampling', 'train_records', count(*) FROM sampled""",
+    "run_core": f"""{FILES} SELECT a AS raw_records, a - f AS kept_records, f AS filtered_records, a - f AS dedup_before, d AS dedup_after,
+      round({ratio('(a - f - d)', '(a - f)')}, 6) AS duplicate_rate, t AS train_records, k::BIGINT AS total_tokens FROM
+      (SELECT count(*) AS a, count(*) FILTER (filter_reason <> '') AS f FROM scored), (SELECT count(*) AS d, coalesce(sum(token_count), 0) AS k FROM survivors),
+      (SELECT count(*) AS t FROM sampled)""",
     "run_report": f"""{FILES} SELECT source, count(*) AS record_count, sum(token_count)::BIGINT AS token_count, 1.0::DOUBLE AS token_share FROM sampled GROUP BY source""",
     "rejected_lines": """SELECT problem, count(*) AS lines FROM (SELECT CASE doc_id % 3 WHEN 0 THEN 'Invalid JSON' WHEN 1 THEN 'JSONL line must be an object' ELSE 'none' END AS problem
       FROM documents) GROUP BY problem""",

@@ -5,13 +5,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
 from corpusloom.functions.frames import materialize, once, scratch_dir
-from corpusloom.operators import cleaning, dedup, neardup, quality, report, sampling, schema, tokens
+from corpusloom.operators import cleaning, dedup, hamming, neardup, quality, report, sampling, schema, tokens
 from corpusloom.plans import runs
 from corpusloom.plans.config import CleanConfig, RunConfig, SamplingConfig
 from corpusloom.sources import jsonl, raw, tables
@@ -186,6 +188,11 @@ def simhash_sig(spark, folder):
     return dedup.simhash_signatures(raw_docs(spark, folder), "ord")
 
 
+def hamming_pairs(spark, folder):
+    """Pairs of different SimHash signatures of the documents in up to 8 bits."""
+    return hamming.hamming_pairs(dedup.simhash_signatures(raw_docs(spark, folder), "ord"), max_distance=8)
+
+
 def turn_hamming(spark, folder):
     pairs = tables.turn_pairs(spark, folder)
     sides = pairs.select(F.struct("conv_id", "turn", F.lit("q").alias("side")).alias("key"), F.col("question").alias("text")).union(
@@ -235,10 +242,24 @@ class CharacterTokenizer:
 
 
 def pluggable_tokenizer(spark, folder):
-    tokenizer = tokens.Tokenizer("characters", CharacterTokenizer).checked()
+    tokenizer = tokens.Tokenizer("characters", CharacterTokenizer).checked(spark)
     return tokens.add_token_counts(docs(spark, folder), tokenizer).select("doc_id", "token_count")
 
 
+def absent_on_workers():
+    """A loader whose vocabulary lies on the driver alone."""
+    if TaskContext.get() is not None:
+        raise FileNotFoundError("no vocabulary on this machine")
+    return CharacterTokenizer()
+
+
+def tokenizer_fallback(spark, folder):
+    """A tokenizer that fails on the workers: the built-in rule counts, and the error is told."""
+    tokenizer = tokens.Tokenizer("absent", absent_on_workers).checked(spark)
+    counted = tokens.add_token_counts(docs(spark, folder), tokenizer)
+    return counted.select("doc_id", "token_count", F.lit(tokenizer.name).alias("tokenizer"), F.lit(tokenizer.error).alias("error"))
+
+
 # --- quality ----------------------------------------------------------------------------------------
 
 
@@ -284,6 +305,12 @@ def sample_backfill(spark, folder):
     return sampling.sample_by_source_ratio(rows, {"code": 3, "instruction": 1, "web": 0}, 250).select("train_rank", "ord")
 
 
+def sample_large_quotas(spark, folder):
+    """Quotas far above what most sources have."""
+    rows = sampling.sample_by_quality(narrow_corpus(spark, folder))
+    return sampling.sample_by_source_ratio(rows, RATIOS, 60_000).select("train_rank", "ord")
+
+
 def sample_topk(spark, folder):
     rows = sampling.sample_by_quality(narrow_corpus(spark, folder))
     return sampling.sample_by_source_ratio(rows, {}, 100).select("train_rank", "ord")
@@ -360,6 +387,17 @@ def source_distribution(spark, folder):
     return report.source_distribution(sampling.sample_by_source_ratio(rows, RATIOS, 300))
 
 
+CLEANING = {"min_chars": 400, "max_urls": 1, "repeated_char_threshold": 8, "enable_pii_filter": False}
+
+
+def config_scoping(spark, folder):
+    """Verdicts under a flat configuration, one with a section (what stands beside it doesn't count), and none."""
+    rows = tables.load_tables(spark, folder, ("document",))
+    forms = {"flat": CLEANING, "section": {"cleaning": CLEANING, "min_chars": 1}, "none": None}
+    found = [cleaning.filter_reason_counts(cleaning.verdicts(rows, CleanConfig.of(c))).select(F.lit(f).alias("form"), "filter_reason", "records") for f, c in forms.items()]
+    return reduce(DataFrame.union, found)
+
+
 def reason_distribution(spark, folder):
     return report.filtered_reasons(cleaning.clean(tables.load_tables(spark, folder), canonical=True))
 
@@ -440,6 +478,35 @@ def run_duplicates(spark, folder):
     return ids.union(pairs.select(F.lit("near").alias("stage"), "record_id", "duplicate_of", "similarity"))
 
 
+def _metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The metrics document of a full run, read back."""
+    maps = "MAP<STRING,BIGINT>"
+    core = "STRUCT<raw_records BIGINT, kept_records BIGINT, filtered_records BIGINT, dedup_before BIGINT, dedup_after BIGINT, duplicate_rate DOUBLE, train_records BIGINT, total_tokens BIGINT>"
+    schema = (
+        f"ingest STRUCT<raw_records BIGINT, records_by_source {maps}>, cleaning STRUCT<filter_reasons {maps}>, tokenizer STRUCT<token_count_by_source {maps}, length_distribution {maps}>,"
+        f" quality STRUCT<quality_distribution {maps}, quality_by_source_bucket {maps}>, sampling STRUCT<quality_candidates BIGINT, train_records BIGINT>,"
+        f" tables STRUCT<source_counts {maps}, source_tokens {maps}, quality_distribution {maps}, filtered_reasons {maps}, safety_flags {maps}>, core {core}"
+    )
+    return spark.read.schema(schema).option("multiLine", True).json(full_run(spark, folder)["metrics"])
+
+
+def run_metrics(spark, folder):
+    """Every table of the metrics document as rows (part, name, value)."""
+    document = _metrics(spark, folder)
+    parts = [
+        "ingest.records_by_source", "cleaning.filter_reasons", "tokenizer.token_count_by_source", "tokenizer.length_distribution", "quality.quality_distribution",
+        "quality.quality_by_source_bucket", "tables.source_counts", "tables.source_tokens", "tables.quality_distribution", "tables.filtered_reasons", "tables.safety_flags",
+    ]
+    named = [document.select(F.lit(p).alias("part"), F.explode(p).alias("name", "value")) for p in parts]
+    totals = document.select(F.lit("sampling").alias("part"), F.expr("stack(2, 'quality_candidates', sampling.quality_candidates, 'train_records', sampling.train_records) AS (name, value)"))
+    return reduce(DataFrame.union, [*named, totals])
+
+
+def run_core(spark, folder):
+    """The headline figures of a full run, whose totals come from the stages."""
+    return _metrics(spark, folder).select("core.*").withColumn("duplicate_rate", F.round("duplicate_rate", 6))
+
+
 def run_report(spark, folder):
     """The report of an exported training set, its source table read back."""
     paths = runs.run_report(spark, full_run(spark, folder)["train"], f"{scratch_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}")
@@ -486,7 +553,7 @@ QUERIES: dict[str, Query] = {
         clean_filter_reasons, repeated_run, info_unique_ratio, ingest_counts, exact_dedup, exact_dedup_stats,
         exact_duplicates, sha1_sig, char_ngrams, turn_jaccard, near_dedup, near_dedup_kept, near_dedup_stats,
         near_dedup_50, near_dedup_70, near_dedup_rare, minhash_near_dedup, minhash_near_dedup_70, dedup_rollup, simhash_sig, turn_hamming, tokenize, tokenize_count, token_stats,
-        length_distribution, tokens_by_source, pluggable_tokenizer, quality_features, quality_score, quality_stats,
+        length_distribution, tokens_by_source, pluggable_tokenizer, tokenizer_fallback, hamming_pairs, sample_large_quotas, config_scoping, run_metrics, run_core, quality_features, quality_score, quality_stats,
         quality_counts, sample_by_quality, sample_by_source_ratio, sample_backfill, sample_topk, source_quotas,
         sampling_metrics, instruction_text, html_to_text, parse_corpus, normalize_records, validate_records,
         jsonl_ingest, source_distribution, reason_distribution, quality_distribution, safety_flag_hist, value_counts,

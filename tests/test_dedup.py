@@ -158,7 +158,9 @@ def test_parities_bound_the_difference():
         a, b = (np.unique(every[rng.random(len(every)) < rng.random()]) for _ in range(2))
         apart = len(np.setxor1d(a, b))
         differ = G.differing(G.parities(a), G.parities(b))
-        assert differ <= apart and (apart - differ) % 2 == 0 and (apart < 40 or differ > apart / 6)
+        assert differ <= apart and (apart - differ) % 2 == 0
+        if apart > 60 and 0.5 < len(a) / len(b) < 2:
+            assert differ > apart / 5
 
 
 def test_a_drifting_chain_is_decided_in_one_walk(spark, monkeypatch):

@@ -84,18 +84,22 @@ def test_flags_of_contact_text(spark):
 
 
 def test_filter_reasons(spark):
-    config = CleanConfig.of({"min_chars": 10, "max_urls": 2, "repeated_char_threshold": 5})
+    """Each rule just above and below its limit, and which of two rules comes first."""
+    config = CleanConfig.of({"min_chars": 24, "max_chars": 90, "max_urls": 1, "repeated_char_threshold": 6})
+    plain = "the harbour opens at dawn"  # 25 characters
     cases = {
-        "": "empty_text", "     ": "empty_text", "short": "too_short", "see http://a.com http://b.com http://c.com": "too_many_urls",
-        "so loooooong a word and more": "repeated_chars", "ask jo.doe@mail.example.net today": "pii_detected",
-        "This sentence is fine and says something.": "", "!?!?!?,.,.,.;;--": "low_information", "ab" * 200: "low_information",
+        plain: "", plain[:24]: "", plain[:23]: "too_short", (plain + " ") * 3 + "calm seas now": "", (plain + " ") * 4: "too_long",
+        f"{plain} www.a.org": "", f"{plain} www.a.org https://b.org": "too_many_urls", f"{plain} mmmmm": "", f"{plain} mmmmmm": "repeated_chars",
+        f"{plain} mmmmmm https://b.org www.a.org": "too_many_urls", f"{plain} write to crew@ship.example": "pii_detected",
+        f"{plain} mmmmmm crew@ship.example": "repeated_chars", "\n\t \n": "empty_text", "(-) [-] {-} <-> |-| /-/ ok": "low_information",
     }
-    df = spark.createDataFrame([(t,) for t in cases], "text string")
-    by_text = {r.text: r.filter_reason for r in cleaning.clean(df, config).collect()}
-    for text, reason in cases.items():
-        assert by_text[text.strip()] == reason
-    too_long = spark.createDataFrame([("word " * 30,)], "text string")
-    assert cleaning.clean(too_long, CleanConfig(max_chars=100)).first().filter_reason == "too_long"
+    df = spark.createDataFrame(list(cases.items()), "text string, id string")
+    # The expected reason travels along as the record's id; an empty one stays empty.
+    for row in cleaning.clean(df, config).collect():
+        assert row.filter_reason == row.id, row.text
+    few_letters = spark.createDataFrame([("ab" * 40,)], "text string")
+    assert cleaning.clean(few_letters, CleanConfig(min_unique_ratio=0.05)).first().filter_reason == "low_information"
+    assert cleaning.clean(few_letters, CleanConfig(min_unique_ratio=0.02)).first().filter_reason == ""
 
 
 def test_languages(spark):
@@ -175,9 +179,9 @@ def test_tokenizer_fallback_and_plug_in(spark):
         def tokenize(self, text):
             return text.split()
 
-    assert tokens.Tokenizer("broken", broken).checked() == tokens.Tokenizer(error="no such model")
+    assert tokens.Tokenizer("broken", broken).checked(spark) == tokens.Tokenizer(error="no such model")
     df = spark.createDataFrame([("two words",), (None,)], "text string")
-    plugged = tokens.add_token_counts(df, tokens.Tokenizer("words", Words).checked())
+    plugged = tokens.add_token_counts(df, tokens.Tokenizer("words", Words).checked(spark))
     assert [r.token_count for r in plugged.collect()] == [2, 0]
     empty = tokens.token_stats(spark.createDataFrame([], "token_count bigint")).first()
     assert tuple(empty) == (0, 0.0, 0, 0)

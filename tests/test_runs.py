@@ -60,6 +60,36 @@ def test_full_run_and_report(spark, folder):
     assert table(folder / "again" / "filtered_reasons") == [["filter_reason", "count"]] and again["core"]
 
 
+def test_a_run_goes_on_where_it_stopped(spark, folder, monkeypatch):
+    """After the interim table is written the input isn't scanned again, and the result is that of an unbroken run."""
+    config = RunConfig.of({"sampling": {"max_records": 3}})
+    raw, out = str(folder / "raw"), str(folder / "out")
+
+    def lost(*args, **named):
+        raise RuntimeError("executors lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "deduplicate", lost)
+        with pytest.raises(RuntimeError, match="executors lost"):
+            runs.run(spark, raw, out, config)
+    with monkeypatch.context() as unread:
+        for scan in ("load_corpus", "count_records"):
+            unread.setattr(runs, scan, lost)
+        with pytest.raises(RuntimeError):  # other settings: from the start
+            runs.run(spark, raw, out, RunConfig.of({"cleaning": {"min_chars": 1}}), resume=True)
+        paths = runs.run(spark, raw, out, config, resume=True)
+        unread.setattr(runs, "deduplicate", lost)
+        paths = runs.run(spark, raw, out, config, resume=True)  # all is done
+    whole = runs.run(spark, raw, str(folder / "whole"), config)
+    read = lambda p: json.loads("".join(r.value for r in spark.read.text(p).collect()))
+    again, want = read(paths["metrics"]), read(whole["metrics"])
+    for metrics in (again, want):
+        del metrics["sampling"]["train_path"]
+    assert again == want and spark.read.text(paths["train"]).collect() == spark.read.text(whole["train"]).collect()
+    with pytest.raises(Exception, match="exist"):
+        runs.run(spark, raw, out, config)
+
+
 def test_clean_run(spark, folder):
     path = runs.run_clean(spark, str(folder / "raw"), str(folder / "cleaned"))
     rows = [json.loads(x) for p in sorted((folder / "cleaned").glob("part-*")) for x in p.read_text().splitlines()]

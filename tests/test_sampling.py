@@ -40,22 +40,13 @@ def sequential(rows, ratios, limit):
         ({"web": 1}, 0),
     ],
 )
-def test_sample_by_source_ratio(spark, monkeypatch, ratios, limit):
+def test_sample_by_source_ratio(spark, ratios, limit):
     rng = random.Random(7)
     rows = [(i, rng.choice(["web", "web", "document", "code", "unknown"]), rng.choice([0.5, 0.75, 1.0]), rng.choice([10, 20])) for i in range(200)]
     df = spark.createDataFrame([(o, f"id{o}", s, q, t) for o, s, q, t in rows], "ord bigint, id string, source string, quality_score double, token_count bigint").repartition(5)
     want = sequential(rows, ratios, limit)
     got = sampling.sample_by_source_ratio(df, ratios, limit).orderBy("train_rank").collect()
     assert [r.ord for r in got] == want and [r.train_rank for r in got] == list(range(1, len(want) + 1))
-    if limit == 40:
-        # The way for quotas too large for a top-k gives the same.
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "0")
-        try:
-            monkeypatch.setattr(sampling, "top_rows", lambda d, order, k, name: add_position(d, order, name).filter(F.col(name) <= k))
-            again = sampling.sample_by_source_ratio(df, ratios, limit).orderBy("train_rank").collect()
-        finally:
-            spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
-        assert [r.ord for r in again] == want
 
 
 def test_negative_ratios_are_rejected():
@@ -85,7 +76,24 @@ def test_positions_do_not_depend_on_partitions(spark, partitions):
     for r in sorted(add_position(df, [F.col("v").desc()], "p", within="g").collect(), key=lambda r: -r.v):
         groups[r.g] = groups.get(r.g, 0) + 1
         assert r.p == groups[r.g]
-    assert [(r.v, r.k) for r in top_rows(df, [F.col("v")], 3, "k").orderBy("k").collect()] == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_top_rows(spark):
+    """Any number of rows by any score, overall and by group; the histogram's bins have no say in the result."""
+    rng = random.Random(2)
+    scores = [None, float("nan"), float("inf"), -float("inf"), -3.5, 0.0, 0.00001, 0.00002, 0.5, 1.0, 7.25]
+    rows = [(i, rng.choice(["a", "a", "a", "b", "c"]), rng.choice([*scores, 1.0, 1.0, round(rng.random(), 5)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "v bigint, g string, quality_score double").repartition(7)
+    order = [F.desc("quality_score"), F.asc("v")]
+    # Descending: not a number first, null last.
+    rank = lambda r: (r[2] is None, r[2] == r[2], -r[2] if r[2] is not None and r[2] == r[2] else 0, r[0])
+    best = sorted(rows, key=rank)
+    for k in (0, 1, 37, 250, 400, 20_000):
+        got = top_rows(df, order, k, "k").orderBy("k").collect()
+        assert [(r.v, r.k) for r in got] == [(r[0], i) for i, r in enumerate(best[:k], 1)]
+    takes = {"a": 90, "b": 100_000, "c": 0, "d": 5}
+    got = {(r.g, r.k): r.v for r in top_rows(df, order, takes, "k", within="g").collect()}
+    assert got == {(g, i): r[0] for g, n in takes.items() for i, r in enumerate([r for r in best if r[1] == g][:n], 1)}
 
 
 def test_report_tables(spark):
