@@ -344,7 +344,7 @@ SQL: dict[str, str] = {
     "simhash_sig": f"WITH src AS (SELECT doc_id AS key, text FROM documents) SELECT key AS ord, simhash FROM ({votes('src')})",
     "hamming_pairs": f"""WITH src AS (SELECT doc_id AS key, text FROM documents), signed AS MATERIALIZED (SELECT simhash, min(key) AS ord, count(*) AS copies FROM ({votes('src')}) GROUP BY simhash)
       SELECT a.ord AS lo, b.ord AS hi, bit_count(xor(a.simhash, b.simhash))::BIGINT AS distance, a.copies AS lo_copies, b.copies AS hi_copies
-      FROM signed a JOIN signed b ON a.ord < b.ord AND bit_count(xor(a.simhash, b.simhash)) <= 8""",
+      FROM signed a JOIN signed b ON a.ord < b.ord AND bit_count(xor(a.simhash, b.simhash)) <= 3""",
     "turn_hamming": f"""WITH pairs AS MATERIALIZED ({PAIRS}),
       src AS (SELECT {{'c': conv_id, 't': turn, 's': 'q'}} AS key, question AS text FROM pairs UNION ALL SELECT {{'c': conv_id, 't': turn, 's': 'a'}}, answer FROM pairs),
       hashed AS MATERIALIZED ({votes('src')})

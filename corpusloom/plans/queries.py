@@ -189,8 +189,8 @@ def simhash_sig(spark, folder):
 
 
 def hamming_pairs(spark, folder):
-    """Pairs of different SimHash signatures of the documents in up to 8 bits."""
-    return hamming.hamming_pairs(dedup.simhash_signatures(raw_docs(spark, folder), "ord"), max_distance=8)
+    """Pairs of different SimHash signatures of the documents in up to 3 bits."""
+    return hamming.hamming_pairs(dedup.simhash_signatures(raw_docs(spark, folder), "ord"), max_distance=3)
 
 
 def turn_hamming(spark, folder):
