@@ -1,15 +1,15 @@
 """Substring deduplication by runs of consecutive sentences that occur more than once in the corpus.
 
-Every run of several consecutive sentences with enough words is hashed, all runs are sorted by hash and place, and every
-run that isn't the first of its hash marks its sentences for removal.  The sort is by (hash, doc_id, place), so a run that a third of the
-corpus shares spreads over many tasks, and a task reads its part as a stream.
+Every run of several consecutive sentences with enough words is hashed, and every run that isn't the first of its hash, in the order of
+(doc_id, place), marks its sentences for removal.  A task sorts its own runs block by block first: a run that isn't the first of its block is settled, so
+a hash sends one row per block to the task that compares the blocks, also if a third of the corpus shares it.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,237 +17,243 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.rows import as_row, column, in_arrow, materialize, text_key
+from corpusloom.llm.rows import as_row, column, in_arrow, text_key
 
-MIN_WORDS = 25  # of a run; so every repeated passage of 50 words that begins and ends with sentences is covered whole
-SHORT = 4  # a sentence of fewer words is a tail of the one before
-LONG = 16  # a sentence of more words is cut into parts of this many
-WHOLE = 12  # ``parts`` cuts sentences of more words, at words that the words around them choose
+MIN_WORDS = 25  # of a run
+WHOLE = 12  # sentences of more words are cut, at words that the words around them choose
 NEAR = 7  # so many words in a row hold a cut; WHOLE and NEAR leave MIN_WORDS of any 50 words between cuts that depend on nothing outside
+BLOCK = 1 << 20  # runs that a task compares with each other
 
-_END = re.compile(r"(?<=[.!?])\s+|\n\s*")
-_WORD = re.compile(r"\S+\s*")
 # Letters of scripts without spaces (Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han), each a word with the marks and signs behind it.
-_LETTERS = "\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
-_UNSPACED = re.compile(f"[{_LETTERS}]")
-_UNIT = regex.compile(rf"(?:[{_LETTERS}][\p{{M}}\p{{P}}]*|(?:(?![{_LETTERS}])\S)+)\s*")
-_FULL_END = re.compile(r"(?<=[.!?])\s+|\n\s*|(?<=[\u3002\uff01\uff1f])(?![\u3002\uff01\uff1f])\s*")
+_LETTERS = "ก-໿ཀ-ྼက-႟ក-៿々-〇ぁ-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
+_UNSPACED = re.compile(f"[{_LETTERS}。！？]")
+_UNIT = regex.compile(rf"[{_LETTERS}][\p{{M}}\p{{P}}]*|(?:(?![{_LETTERS}\x1c-\x1f])\S)+")
+_FULL_END = re.compile(r"(?<=[.!?])\s+|\n\s*|(?<=[。！？])(?![。！？])\s*")
 
 
 @dataclass
-class Sentence:
-    """Text from ``begin`` to ``mid``, then a tail of short sentences up to ``end``; words of both."""
+class Parts:
+    """A text cut without a gap: where each part begins, the words of the text up to there, and all words in lower case."""
 
-    begin: int
-    mid: int
-    end: int
-    words: int
-    tail: int = 0
+    begins: np.ndarray
+    words_before: np.ndarray  # one more than parts
+    words: list[str]
 
+    def hashes(self) -> list[int]:
+        stops = self.words_before.tolist()
+        return [xxhash.xxh3_64_intdigest(" ".join(self.words[a:b])) for a, b in zip(stops, stops[1:], strict=False)]
 
-def sentences(text: str) -> list[Sentence]:
-    """The text's sentences, without a gap; white space goes with the sentence before it.
 
-    A sentence ends behind . ! or ? before white space, or at a line feed.  Those under ``SHORT`` words are tails of the one
-    before, longer ones than ``LONG`` words are cut from their start on.  A sentence depends on nothing around it, so a
-    passage is cut alike wherever it stands.
-    """
-    out: list[Sentence] = []
-    begin = 0
-    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        n = len(text[begin:end].split())
-        if n < SHORT and out:
-            out[-1].end, out[-1].tail = end, out[-1].tail + n
-        elif n <= LONG:
-            out.append(Sentence(begin, end, end, n))
-        else:
-            stops = [w.end() for w in _WORD.finditer(text, begin, end)][LONG - 1 : n - 1 : LONG] + [end]
-            for i, stop in enumerate(stops):
-                out.append(Sentence(begin, stop, stop, min(LONG, n - i * LONG)))
-                begin = stop
-        begin = end
-    return out
-
-
-def _cuts(hashes: list[int]) -> list[int]:
-    """Places in ascending order: the smallest (of equal ones the last) of every ``NEAR`` neighbours."""
-    out, at = [], -1
-    for first in range(len(hashes) - NEAR + 1):
-        last = first + NEAR - 1
-        if at < first:
-            at = last - min(range(NEAR), key=lambda back: hashes[last - back])
-        elif hashes[last] <= hashes[at]:
-            at = last
-        else:
-            continue
-        out.append(at)
-    return out
-
-
-def parts(text: str) -> list[Sentence]:
-    """The text's sentences, without a gap or tails; those of more than ``WHOLE`` words are cut at words chosen by their hashes.
-
-    Where a text is cut depends on less than ``NEAR`` words to each side, so any 50 words that two texts share, wherever they begin
-    and end, hold the same cuts but for 12 words at the front and 13 at the back: at least ``MIN_WORDS`` words of them are a run.
-    A letter of a script without spaces is a word, and the full-width marks end a sentence without white space.
+def parts(text: str) -> Parts:
+    """The text's sentences; those of more than ``WHOLE`` words are cut at words chosen by their hashes.
+
+    A sentence ends behind . ! or ? before white space, or at a line feed; white space goes with what is before it.  In a longer one a word begins a part if
+    its hash is the smallest (of equal ones the last) of any ``NEAR`` words in a row.  Where a text is cut depends on less than ``NEAR`` words to each
+    side, so any 50 words that two texts share, wherever they begin and end, hold the same cuts but for 12 words at the front and 13 at the
+    back: at least ``MIN_WORDS`` words of them are a run.  A letter of a script without spaces is a word, and the full-width marks end a
+    sentence without white space.
     """
-    out: list[Sentence] = []
-    begin = 0
-    ascii_ = text.isascii()
-    for end in [m.end() for m in (_END if ascii_ else _FULL_END).finditer(text)] + [len(text)]:
-        part = text[begin:end]
-        unit = _WORD if ascii_ or not _UNSPACED.search(part) else _UNIT
-        words = part.split() if unit is _WORD else [w.strip() for w in _UNIT.findall(part)]
-        if len(words) > WHOLE:
-            stops = [w.end() for w in unit.finditer(text, begin, end)]
-            before = 0
-            for at in _cuts([zlib.crc32(w.lower().encode("utf-8", "replace")) for w in words]):
-                if at:
-                    out.append(Sentence(begin, stops[at - 1], stops[at - 1], at - before))
-                    begin, before = stops[at - 1], at
-            out.append(Sentence(begin, end, end, len(words) - before))
-        elif begin < end:
-            out.append(Sentence(begin, end, end, len(words)))
-        begin = end
-    return out
-
-
-def runs(found: list[Sentence], least: int) -> Iterator[tuple[int, int, bool]]:
-    """(first, last, whole) of runs of two or more sentences with at least ``least`` words, each once.
-
-    They are the shortest ones from each sentence on and up to each sentence.  The last sentence counts without its tail, which
-    may belong to what follows a passage; only the run up to the text's end comes with the tail (whole) as well.
+    if not text.isascii() and _UNSPACED.search(text):
+        ends = np.array([m.end() for m in _FULL_END.finditer(text)], np.int64)
+        edges = [0, *ends.tolist(), len(text)]
+        spans = [m.span() for a, b in zip(edges, edges[1:], strict=False) for m in _UNIT.finditer(text, a, b)]
+        words = [text[a:b].lower() for a, b in spans]
+        starts = np.array([a for a, _ in spans], np.int64)
+    else:
+        starts, ends = _spaced(text)
+        words = text.lower().split()
+    sentence = np.searchsorted(ends, starts, side="right")
+    long = np.bincount(sentence, minlength=1) > WHOLE
+    begins = [np.zeros(1, np.int64), ends]
+    if long.any():
+        marks = np.array([zlib.crc32(w.encode("utf-8", "replace")) for w in words], np.uint64)
+        # The smallest of these is the smallest hash, and of equal ones the last.
+        keys = (marks << np.uint64(32)) | np.arange(len(words), 0, -1, dtype=np.uint64)
+        n = len(words) - NEAR + 1
+        least = keys[:n]
+        for k in range(1, NEAR):
+            least = np.minimum(least, keys[k : k + n])
+        within = (sentence[NEAR - 1 :] == sentence[:n]) & long[sentence[:n]]
+        cuts = len(words) - (np.unique(least[within]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        # A sentence's first word begins a part anyhow.
+        begins.append(starts[cuts[np.append(True, sentence[1:] != sentence[:-1])[cuts] == 0]])
+    begins = np.unique(np.concatenate(begins))
+    begins = begins[begins < len(text)]
+    return Parts(begins, np.append(np.searchsorted(starts, begins), len(words)), words)
+
+
+_IS_SPACE = np.array([chr(c).isspace() for c in range(0x3001)])  # no character above is white space
+
+
+def _spaced(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Where words and sentences begin, in a text whose words have white space between them."""
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = _IS_SPACE[np.minimum(chars, 0x3000)] & (chars <= 0x3000)
+    starts = np.flatnonzero(~space & np.append(True, space[:-1]))[: len(chars)] if len(chars) else np.empty(0, np.int64)
+    lines = np.append(0, np.cumsum(chars == ord("\n")))
+    stops = np.flatnonzero(~space & np.append(space[1:], True)) + 1 if len(chars) else starts
+    before = np.append(0, stops[:-1])[: len(starts)]  # where the white space before a word begins
+    marked = np.isin(chars[before - 1], [ord(c) for c in ".!?"]) & (before > 0) if len(starts) else np.empty(0, bool)
+    return starts, starts[marked | (lines[starts] > lines[before])]
+
+
+def runs(words: np.ndarray, docs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) of runs of two or more parts of one document with at least ``least`` words: the shortest from each part on and up to each part.
+
+    ``words`` are those of all parts up to each one, over all documents; ``docs`` is where each document's parts begin; both go on to the end.
     """
-    n = len(found)
-    last, held, forward = 0, 0, {}  # held: words from first up to last, without last
-    for first in range(n):  # from each sentence on
-        while last < n and (held + found[last].words < least or last <= first):
-            held += found[last].words + found[last].tail
-            last += 1
-        if last == n:
-            break
-        forward[first] = last
-        held -= found[first].words + found[first].tail
-    yield from ((first, last, False) for first, last in forward.items())
-    first, held = 0, 0  # held: as before
-    for last in range(n):  # up to each sentence
-        while first < last - 1 and held - found[first].words - found[first].tail + found[last].words >= least:
-            held -= found[first].words + found[first].tail
-            first += 1
-        if first < last and held + found[last].words >= least:
-            if forward.get(first) != last:
-                yield first, last, False
-            if last == n - 1 and found[last].end > found[last].mid:
-                yield first, last, True
-        held += found[last].words + found[last].tail
-
-
-def _spans(docs: DataFrame, least: int, split: Callable[[str], list[Sentence]]) -> DataFrame:
-    """(hash, doc_id, place, last) of every run; place holds half of the document's key and, below, the run's first sentence.
-
-    last is twice the number of the last sentence, plus 1 if its tail belongs to the run.
+    n = docs[-1]
+    at = np.arange(n)
+    doc = np.searchsorted(docs, at, side="right") - 1
+    last = np.maximum(np.searchsorted(words, words[:-1] + least, side="left") - 1, at + 1)
+    fits = last < docs[doc + 1]
+    forward = at[fits], last[fits]
+    first = np.minimum(np.searchsorted(words, words[1:] - least, side="right") - 1, at - 1)
+    fits = first >= docs[doc]
+    fits[fits] = last[first[fits]] != at[fits]  # not again
+    return np.concatenate([forward[0], first[fits]]), np.concatenate([forward[1], at[fits]])
+
+
+_BASE = 0x9E3779B97F4A7C17
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def run_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of parts: a polynomial over the parts' hashes, from sums up to each part, then mixed."""
+    sums = np.append(np.uint64(0), np.cumsum(hashes * _powers(_BASE, len(hashes)), dtype=np.uint64))
+    value = (sums[last + 1] - sums[first]) * _powers(_INVERSE, len(hashes))[first] + (last - first).astype(np.uint64)
+    value = (value ^ (value >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return value ^ (value >> np.uint64(29))
+
+
+_RUN = pa.schema([("key", pa.int64()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int64()), ("last", pa.int32())])
+_NO_ID = -(1 << 63)  # sorts a null id first
+
+
+def _later(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by (key, doc_id, place): which aren't the same as the row before, and which of them aren't the first of their key."""
+    key, ids, place = (pc.fill_null(rows.column(c), _NO_ID).to_numpy() for c in ("key", "doc_id", "place"))
+    same_key = np.append(False, key[1:] == key[:-1])
+    new = ~(same_key & np.append(False, (ids[1:] == ids[:-1]) & (place[1:] == place[:-1])))
+    return new, new & same_key
+
+
+def _spans(docs: DataFrame, least: int) -> DataFrame:
+    """(key, settled, doc_id, place, last) of runs; place holds half of the document's key and, below, the run's first part.
+
+    The first run of each hash in a block of documents has the hash as its key.  The others are settled: they aren't the first of their hash, and
+    their key spreads them.
     """
 
+    def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        ids = pc.fill_null(rows.column("doc_id"), _NO_ID).to_numpy()
+        order = np.lexsort((rows.column("place").to_numpy(), ids, rows.column("key").to_numpy()))
+        rows = rows.take(pa.array(order)).combine_chunks().to_batches()[0]
+        new, later = _later(rows)
+        keys = rows.column("key").to_numpy()
+        spread = (keys.view(np.uint64) + rows.column("place").to_numpy().view(np.uint64)) * np.uint64(_BASE)
+        keys = np.where(later, spread.view(np.int64), keys)
+        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(later), *rows.columns[2:]], schema=_RUN).filter(pa.array(new))
+
+    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        hashes, words, sizes, n_words = [], [np.zeros(1, np.int64)], [0], 0
+        for text in batch.column("text"):
+            cut = parts(text.as_py())
+            hashes += cut.hashes()
+            words.append(cut.words_before[1:] + n_words)
+            n_words += len(cut.words)
+            sizes.append(len(cut.begins))
+        starts = np.cumsum(sizes)
+        first, last = runs(np.concatenate(words), starts, least)
+        doc = np.searchsorted(starts, first, side="right") - 1
+        place = (batch.column("half").to_numpy()[doc] << 32) + (first - starts[doc])
+        arrays = [pa.array(run_hashes(np.array(hashes, np.uint64), first, last).view(np.int64)), pa.nulls(len(doc), pa.bool_()), batch.column("doc_id").take(pa.array(doc))]
+        yield pa.RecordBatch.from_arrays([*arrays, pa.array(place), pa.array((last - starts[doc]).astype(np.int32))], schema=_RUN)
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            ids, hashes, places, lasts = [], [], [], []
-            for doc_id, half, text in zip(batch.column("doc_id").to_pylist(), batch.column("half").to_pylist(), batch.column("text"), strict=True):
-                text = text.as_py()
-                found = split(text)
-                whole = [xxhash.xxh3_128_digest(" ".join(text[s.begin : s.end].split()).lower()) for s in found]
-                bare = [w if s.mid == s.end else xxhash.xxh3_128_digest(" ".join(text[s.begin : s.mid].split()).lower()) for s, w in zip(found, whole, strict=True)]
-                for first, last, tail in runs(found, least):
-                    ids.append(doc_id)
-                    hashes.append(xxhash.xxh3_64_intdigest(b"".join(whole[first:last]) + (whole if tail else bare)[last]))
-                    places.append((half << 32) + first)
-                    lasts.append(2 * last + tail)
-            arrays = [pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(ids, pa.int64()), pa.array(places, pa.int64()), pa.array(lasts, pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["hash", "doc_id", "place", "last"])
-
-    return in_arrow(docs.filter("text IS NOT NULL"), step, "hash long, doc_id long, place long, last int")
-
-
-def _changes(*columns: pa.Array) -> np.ndarray:
-    """Whether each row but the first differs from the one before in any of the columns."""
-    values = [pc.fill_null(c, -(1 << 63)).to_numpy() for c in columns]
-    return np.any([v[1:] != v[:-1] for v in values], axis=0)
-
-
-def _non_first(spans: DataFrame) -> DataFrame:
-    """(doc_id, place, last) of the runs whose hash stands earlier in the order of (hash, doc_id, place).
-
-    Equal rows (of repeated documents) lie in one range partition and count once.  A hash goes on from one partition to the
-    next only at the partition's first row; those few rows are compared with the last hash of the partition before.
-    """
-    order = ["hash", "doc_id", "place"]
-    ranged = spans.repartitionByRange(*order).sortWithinPartitions(*order)
+            for start in range(0, batch.num_rows, 256):  # few texts at once
+                for rows in found(batch.slice(start, 256)):
+                    held.append(rows)
+                    n += rows.num_rows
+                if n >= BLOCK:
+                    yield block(held)
+                    held, n = [], 0
+        if n:
+            yield block(held)
+
+    return in_arrow(docs.filter("text IS NOT NULL"), step, "key long, settled boolean, doc_id long, place long, last int")
+
+
+def _not_first(spans: DataFrame) -> DataFrame:
+    """(doc_id, place, last) of the runs whose hash stands earlier in the order of (doc_id, place); repeats of a document count once."""
+    order = ["settled", "key", "doc_id", "place"]
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tail = None  # the row before
+        before = None  # the last row so far that isn't settled
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            opening = tail is None
-            rows = pa.concat_arrays([pa.RecordBatch.to_struct_array(b) for b in ([batch] if opening else [tail, batch])])
-            rows = pa.RecordBatch.from_struct_array(rows)
-            new = np.ones(rows.num_rows, bool)
-            new[1:] = _changes(*[rows.column(c) for c in order])
-            repeated = np.zeros(rows.num_rows, bool)
-            repeated[1:] = ~_changes(rows.column("hash")) & new[1:]
-            opens = np.zeros(rows.num_rows, bool)
-            opens[0] = opening
-            tail = batch.slice(batch.num_rows - 1)
-            chosen = repeated | opens
-            kept = rows.filter(pa.array(chosen))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(opens[chosen])], names=[*kept.schema.names, "opens"])
-        if tail is not None:  # what the next partition is compared with
-            yield pa.RecordBatch.from_arrays([*tail.columns, pa.array([None], pa.bool_())], names=[*tail.schema.names, "opens"])
-
-    found = in_arrow(ranged, step, "hash long, doc_id long, place long, last int, opens boolean").withColumn("part", F.spark_partition_id())
-    found = materialize(found, "repeats")
-    inner = found.filter("NOT opens").select("doc_id", "place", "last")
-    # One opening and one closing row per partition.
-    edges = found.filter("opens OR opens IS NULL").withColumn("before", F.lag("hash").over(Window.orderBy("part", F.col("opens").desc_nulls_last())))
-    return inner.union(edges.filter("opens AND hash = before").select("doc_id", "place", "last"))
-
-
-def repeated_runs(docs: DataFrame, least: int = MIN_WORDS, split: Callable[[str], list[Sentence]] = sentences) -> DataFrame:
-    """(doc_id, half, ranges): for documents with repeated runs, the (first, last) of each run that isn't the first of its hash.
-
-    half is the upper half of the document's text key; a document has at most two ranges for each of its sentences.
+            cut = int(np.searchsorted(batch.column("settled").to_numpy(zero_copy_only=False), True))
+            open_rows, settled = batch.slice(0, cut), batch.slice(cut)
+            if cut:
+                rows = open_rows if before is None else pa.Table.from_batches([before, open_rows]).combine_chunks().to_batches()[0]
+                _, later = _later(rows)
+                if before is not None:
+                    later = later[1:]
+                before = open_rows.slice(cut - 1)
+                yield open_rows.filter(pa.array(later)).select(["doc_id", "place", "last"])
+            if settled.num_rows:
+                yield settled.select(["doc_id", "place", "last"])
+
+    dealt = spans.repartition("key").sortWithinPartitions(*order)
+    return in_arrow(dealt, step, "doc_id long, place long, last int")
+
+
+def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, half, ranges): for documents with repeated runs, the (first, last) part of each run that isn't the first of its hash.
+
+    half is the upper half of the document's text key; a document has at most two ranges for each of its parts.
     """
     narrow = docs.select(column("doc_id").cast("long").alias("doc_id"), F.shiftright(text_key(column("text")), 32).alias("half"), column("text").alias("text"))
-    found = _non_first(materialize(_spans(narrow, least, split), "spans"))
+    found = _not_first(_spans(narrow, least))
     first = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
     return found.groupBy("doc_id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(F.struct(first.alias("first"), "last")).alias("ranges"))
 
 
-def without(text: str, ranges: list[tuple[int, int]], split: Callable[[str], list[Sentence]] = sentences) -> tuple[str, int, int]:
-    """The text without the runs in ``ranges`` (first, last and whether whole), how many sentences there were and how many went."""
-    found = split(text)
-    gone = [0] * len(found)  # 1: without its tail, 2: whole
-    for first, last in ranges:
-        gone[first : last // 2] = [2] * (last // 2 - first)
-        gone[last // 2] = max(gone[last // 2], 1 + last % 2)
-    return "".join(text[(s.begin, s.mid, s.end)[g] : s.end] for s, g in zip(found, gone, strict=True)), len(found), sum(map(bool, gone))
+def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
+    """The text without the parts in ``ranges`` (first, last), how many parts there were and how many went."""
+    begins = parts(text).begins
+    n = len(begins)
+    edges = np.zeros(n + 1, np.int64)
+    np.add.at(edges, [a for a, _ in ranges], 1)
+    np.add.at(edges, [b + 1 for _, b in ranges], -1)
+    gone = np.cumsum(edges)[:n] > 0
+    stops = [*begins.tolist(), len(text)]
+    return "".join(text[a:b] for a, b, g in zip(stops, stops[1:], gone.tolist(), strict=False) if not g), n, int(gone.sum())
 
 
-def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tuple[str, str] | None = None, split: Callable[[str], list[Sentence]] = sentences) -> DataFrame:
+def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tuple[str, str] | None = None) -> DataFrame:
     """``docs`` with new texts: sentences covered by a repeated run that isn't the run's first are removed.
 
-    A run is two or more consecutive sentences with at least ``least`` words, compared without regard to case and white space; it
-    is the shortest such from its first sentence on, or up to its last; a sentence of fewer than four words goes with the one before.  The first of equal runs is that with the smallest (doc_id, text key, place);
+    A run is two or more consecutive sentences, or parts of long ones (``parts``), with at least ``least`` words, compared without regard to case and white space; it
+    is the shortest such from its first part on, or up to its last.  The first of equal runs is that with the smallest (doc_id, half of the text key, place);
     null ids come first.  All other columns and all rows stay, also rows whose text becomes empty; a text without repeated
     runs, and a null text, stays as it is.  Repeated rows (equal doc_id and text) count as one document and all get its
-    text.  An empty table gives an empty result.  ``split`` cuts a text: ``sentences`` finds passages that begin and end with sentences,
-    ``parts`` any 50 words in a row.  ``counts`` names two columns to add: sentences, and sentences removed (null if
+    text.  An empty table gives an empty result.  ``counts`` names two columns to add: parts, and parts removed (null if
     nothing was found).
     """
-    found = repeated_runs(docs, least, split)
+    found = repeated_runs(docs, least)
     found = found.select(F.col("doc_id").alias("its_id"), F.col("half").alias("its_half"), "ranges")
     rows = docs.select(as_row(docs.drop("text")), column("text").alias("text"), column("doc_id").cast("long").alias("doc_id"), F.shiftright(text_key(column("text")), 32).alias("half"))
     joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("half") == F.col("its_half")), "left").select("row", "text", "ranges")
@@ -256,7 +262,7 @@ def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tup
         for batch in batches:
             texts, totals, removed = [], [], []
             for text, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
-                new, n, k = (text.as_py(), None, None) if not ranges.is_valid else without(text.as_py(), [(r["first"], r["last"]) for r in ranges.as_py()], split)
+                new, n, k = (text.as_py(), None, None) if not ranges.is_valid else without(text.as_py(), [(r["first"], r["last"]) for r in ranges.as_py()])
                 texts.append(new)
                 totals.append(n)
                 removed.append(k)

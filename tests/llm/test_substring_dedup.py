@@ -1,71 +1,106 @@
 import random
+import re
+import unicodedata
+import zlib
 
 import cases
+import numpy as np
+from corpusloom.llm import substring_dedup
 from corpusloom.llm.rows import text_key
-from corpusloom.llm.substring_dedup import LONG, MIN_WORDS, SHORT, Sentence, drop_repeated_sentences, parts, repeated_runs, runs, sentences
+from corpusloom.llm.substring_dedup import MIN_WORDS, drop_repeated_sentences, parts, repeated_runs, run_hashes, runs
 from pyspark.sql import functions as F
 
+UNSPACED = [(0x0E01, 0x0EFF), (0x0F40, 0x0FBC), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
 
-def _sentences(text: str) -> list[tuple[str, str, int, int]]:
-    """(text, tail, words, words of the tail) by a walk over characters."""
-    parts, begin, i = [], 0, 0
+
+def _unspaced(c: str) -> bool:
+    return any(a <= ord(c) <= b for a, b in UNSPACED)
+
+
+def _units(part: str) -> list[str]:
+    """The words of a sentence, each with what follows it up to the next one."""
+    out, i = [], 0
+    while i < len(part):
+        begin = i
+        if part[i].isspace():
+            i += 1
+            out[-1:] = [out[-1] + part[begin:i]] if out else [part[begin:i]]
+            continue
+        if _unspaced(part[i]):
+            i += 1
+            while i < len(part) and unicodedata.category(part[i])[0] in "MP" and not part[i].isspace():
+                i += 1
+        else:
+            while i < len(part) and not part[i].isspace() and not _unspaced(part[i]):
+                i += 1
+        out.append(part[begin:i])
+    if len(out) > 1 and not out[0].strip():
+        out[:2] = [out[0] + out[1]]
+    return out
+
+
+def _sentences(text: str) -> list[str]:
+    out, begin, i = [], 0, 0
+    full = "\u3002\uff01\uff1f"
     while i < len(text):
-        if text[i] == "\n" or (text[i].isspace() and i and text[i - 1] in ".!?"):
+        if text[i] == "\n" or (text[i].isspace() and i and text[i - 1] in ".!?" + full) or (i and text[i - 1] in full and text[i] not in full):
             while i < len(text) and text[i].isspace():
                 i += 1
-            parts.append(text[begin:i])
+            out.append(text[begin:i])
             begin = i
+            if i < len(text):
+                i += 1
         else:
             i += 1
-    parts.append(text[begin:])
-    out: list[tuple[str, str, int, int]] = []
-    for part in parts:
-        n = len(part.split())
-        if n < SHORT and out:
-            main, tail, words, more = out[-1]
-            out[-1] = (main, tail + part, words, more + n)
-            continue
-        while n > LONG:
-            k = 0
-            for _ in range(LONG):  # to the end of the sixteenth word and the white space behind it
-                while k < len(part) and part[k].isspace():
-                    k += 1
-                while k < len(part) and not part[k].isspace():
-                    k += 1
-            while k < len(part) and part[k].isspace():
-                k += 1
-            out.append((part[:k], "", LONG, 0))
-            part, n = part[k:], n - LONG
-        out.append((part, "", n, 0))
+    return out + [text[begin:]]
+
+
+def _parts(text: str) -> list[tuple[str, int]]:
+    """(part, words): sentences, and long ones cut where a word's hash is the least of seven words in a row."""
+    out = []
+    for sentence in _sentences(text):
+        words = _units(sentence)
+        marks = [zlib.crc32(w.strip().lower().encode()) for w in words]
+        cuts = {max(range(i, i + 7), key=lambda k: (-marks[k], k)) for i in range(len(words) - 6)} if len(words) > 12 else set()
+        held: list[str] = []
+        for k, w in enumerate(words):
+            if k in cuts and held:
+                out.append(("".join(held), len(held)))
+                held = []
+            held.append(w)
+        if held:
+            out.append(("".join(held), 0 if not sentence.strip() else len(held)))
     return out
 
 
-def _runs(parts: list[tuple[int, int]], least: int) -> set[tuple[int, int]]:
-    """From (words, words of the tail): runs that can't begin later, or can't end earlier, and keep enough words."""
-    n = len(parts)
-    enough = {(i, j) for i in range(n) for j in range(i + 1, n) if sum(a + b for a, b in parts[i:j]) + parts[j][0] >= least}
-    forward = {(i, min(j for a, j in enough if a == i)) for i in {a for a, _ in enough}}
-    backward = {(max(i for i, b in enough if b == j), j) for j in {b for _, b in enough}}
-    return forward | backward
+def _runs(words: list[int], least: int) -> set[tuple[int, int]]:
+    """Runs that can't begin later, or can't end earlier, and keep enough words."""
+    n = len(words)
+    sums = [0]
+    for w in words:
+        sums.append(sums[-1] + w)
+    enough = lambda i, j: sums[j + 1] - sums[i] >= least
+    out = set()
+    for i in range(n):
+        if (j := next((j for j in range(i + 1, n) if enough(i, j)), None)) is not None:
+            out.add((i, j))
+    for j in range(n):
+        if (i := next((i for i in range(j - 1, -1, -1) if enough(i, j)), None)) is not None:
+            out.add((i, j))
+    return out
 
 
 def _expected(rows: list[tuple], keys: dict, least: int) -> dict:
     docs = sorted({(d, t) for d, t, _ in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0, keys[r] >> 32))
     seen, gone = {}, {}
     for d in docs:
-        parts = _sentences(d[1])
-        sizes = [(n, m) for _, _, n, m in parts]
-        found = {(first, last, False) for first, last in _runs(sizes, least)}
-        ends = [r for r in found if r[1] == len(parts) - 1]
-        if ends and parts[-1][1]:
-            found.add((max(r[0] for r in ends), len(parts) - 1, True))
-        for first, last, whole in sorted(found):
-            norm = lambda x: " ".join(x.split()).lower()
-            run = (*[norm(p + t) for p, t, _, _ in parts[first:last]], norm(parts[last][0] + (parts[last][1] if whole else "")))
+        cut = _parts(d[1])
+        for first, last in sorted(_runs([n for _, n in cut], least)):
+            run = tuple(" ".join(u.strip() for u in _units(p) if u.strip()).lower() for p, _ in cut[first : last + 1])
             if run in seen and seen[run] != (d, first):
-                gone.setdefault(d, set()).update((i, k) for i in range(first, last + 1) for k in range(2) if i < last or k == 0 or whole)
+                gone.setdefault(d, set()).update(range(first, last + 1))
             seen.setdefault(run, (d, first))
-    return {d: "".join(p[k] for i, p in enumerate(_sentences(d[1])) for k in range(2) if (i, k) not in gone.get(d, ())) for d in docs}
+    return {d: "".join(p for i, (p, _) in enumerate(_parts(d[1])) if i not in gone.get(d, ())) for d in docs}
 
 
 def _compare(spark, rows: list[tuple], least: int = MIN_WORDS) -> list:
@@ -79,28 +114,62 @@ def _compare(spark, rows: list[tuple], least: int = MIN_WORDS) -> list:
     return result
 
 
+def _awkward(rng: random.Random, n: int) -> list[str]:
+    letters = ["ab .!?\n\t", "ab cd e. ", "abc   .!?\n\t\u3002\u5b57", "a\u00e9 \u00a0\u3000b.\x1c\x85 ", "\u0e01\u0e02 \uff01x."]
+    return ["".join(rng.choice(rng.choice(letters)) for _ in range(rng.randint(0, 300))) for _ in range(n)]
+
+
 def test_equals_plain_search(spark):
     rows = cases.texts()
     _compare(spark, rows)
     _compare(spark, rows, least=8)
 
 
-def test_sentences_cover_the_text():
+def test_equals_plain_search_on_scraps(spark):
+    """Texts put together from few scraps, with null and repeated ids."""
+    rng = random.Random(15)
+    scraps = _awkward(rng, 12) + [cases.prose(rng, "en", 60) for _ in range(3)]
+    rows = [(rng.choice([None, i, i, 3, 4]), "".join(rng.choice(scraps) for _ in range(rng.randint(0, 6))), None) for i in range(120)]
+    _compare(spark, rows + rows[:20], least=12)
+
+
+def test_parts_equal_a_walk_over_characters():
     rng = random.Random(9)
-    for text in [t for _, t, _ in cases.texts() if t is not None] + ["".join(rng.choice("ab .!?\n\t") for _ in range(rng.randint(0, 80))) for _ in range(2000)]:
-        found = sentences(text)
-        assert "".join(text[s.begin : s.end] for s in found) == text
-        assert [(text[s.begin : s.mid], text[s.mid : s.end], s.words, s.tail) for s in found] == _sentences(text), repr(text)
+    for text in [t for _, t, _ in cases.texts() if t is not None] + _awkward(rng, 1500):
+        found = parts(text)
+        stops = [*found.begins.tolist(), len(text)]
+        assert [(text[a:b], n) for a, b, n in zip(stops, stops[1:], np.diff(found.words_before), strict=False)] == _parts(text), repr(text)
 
 
 def test_runs_equal_definition():
     rng = random.Random(10)
-    for _ in range(1000):
-        parts = [(rng.randint(0, 16), rng.choice([0, 0, 1, 7])) for _ in range(rng.randint(0, 14))]
-        found = list(runs([Sentence(0, 1, 1 + bool(t), n, t) for n, t in parts], 25))
-        want = _runs(parts, 25)
-        assert len(found) == len(set(found)) and {r[:2] for r in found if not r[2]} == want, parts
-        assert [r for r in found if r[2]] == ([(max(i for i, j in want if j == len(parts) - 1), len(parts) - 1, True)] if parts and parts[-1][1] and any(j == len(parts) - 1 for _, j in want) else [])
+    for _ in range(300):
+        docs = [[rng.choice([0, 0, 1, 3, 8, 16, 30]) for _ in range(rng.randint(0, 14))] for _ in range(4)]
+        starts = np.cumsum([0, *map(len, docs)])
+        first, last = runs(np.cumsum([0, *[w for d in docs for w in d]]), starts, 25)
+        found = list(zip(first.tolist(), last.tolist(), strict=True))
+        want = {(s + i, s + j) for s, d in zip(starts.tolist(), docs, strict=False) for i, j in _runs(d, 25)}
+        assert len(found) == len(set(found)) and set(found) == want, docs
+
+
+def test_hashes_tell_runs_apart():
+    rng = np.random.default_rng(3)
+    names = rng.integers(0, 2**64, 6, dtype=np.uint64)
+    text = rng.integers(0, 6, 3000)
+    first = np.arange(2990)
+    last = first + rng.integers(1, 6, 2990)
+    found: dict = {}
+    for value, a, b in zip(run_hashes(names[text], first, last).tolist(), first, last, strict=True):
+        found.setdefault(value, set()).add(tuple(text[a : b + 1]))
+    assert all(len(same) == 1 for same in found.values()) and len(found) == len({tuple(text[a : b + 1]) for a, b in zip(first, last, strict=True)})
+
+
+def test_blocks_do_not_matter(spark, monkeypatch):
+    docs = cases.table(spark).repartition(2)
+    want = sorted(map(repr, drop_repeated_sentences(docs).collect()))
+    for block in (1, 50):
+        monkeypatch.setattr(substring_dedup, "BLOCK", block)  # travels to the workers with the step
+        assert sorted(map(repr, drop_repeated_sentences(docs.repartition(3)).collect())) == want
 
 
 def test_passages_of_over_fifty_words_go(spark):
@@ -114,7 +183,7 @@ def test_passages_of_over_fifty_words_go(spark):
         text = " ".join(passage)
         rows = [(i, f"{cases.prose(rng, 'en', 40)}\n{text}\n{cases.prose(rng, 'en', 40)}", None) for i in range(8)]
         left = {r.doc_id: r.text for r in _compare(spark, rows)}
-        assert text in left[0] and not any(p in left[i] for i in range(1, 8) for p in passage if len(p.split()) >= SHORT)
+        assert text in left[0] and not any(p in left[i] for i in range(1, 8) for p in passage if len(p.split()) >= 4)
         assert all(len(left[i].split()) >= 70 for i in range(8))
 
 
@@ -127,7 +196,7 @@ def test_fifty_words_at_any_offset_go(spark):
         planted.append(passage)
         for i in range(2):
             rows.append((2 * k + i, " ".join([word() for _ in range(rng.randint(0, 60))] + passage + [word() for _ in range(rng.randint(0, 60))]), None))
-    left = {r.doc_id: r.text.split() for r in drop_repeated_sentences(cases.table(spark, rows), split=parts).collect()}
+    left = {r.doc_id: r.text.split() for r in drop_repeated_sentences(cases.table(spark, rows)).collect()}
     for k, passage in enumerate(planted):
         assert left[2 * k] == rows[2 * k][1].split()
         own = len(rows[2 * k + 1][1].split()) - 50
@@ -143,7 +212,7 @@ def test_passages_in_scripts_without_spaces_go(spark):
         passages.append(text(letters, 90))
         rows += [(10 * k + i, text(letters, 40 + i) + passages[k] + text(letters, 40), None) for i in range(3)]
         rows += [(10 * k + 5 + i, rows[-1][1], None) for i in range(2)]  # exact copies
-    left = {r.doc_id: r.text for r in drop_repeated_sentences(cases.table(spark, rows), split=parts).collect()}
+    left = {r.doc_id: r.text for r in drop_repeated_sentences(cases.table(spark, rows)).collect()}
     for k, passage in enumerate(passages):
         assert left[10 * k] == rows[5 * k][1]
         for i in (1, 2):
@@ -152,12 +221,6 @@ def test_passages_in_scripts_without_spaces_go(spark):
         assert all(len(left[10 * k + 5 + i]) <= 30 for i in range(2))
 
 
-def test_parts_cover_the_text():
-    rng = random.Random(13)
-    for text in [t for _, t, _ in cases.texts() if t is not None] + ["".join(rng.choice("abc   .!?\n\t。字") for _ in range(rng.randint(0, 300))) for _ in range(500)]:
-        assert "".join(text[s.begin : s.end] for s in parts(text)) == text and all(s.begin < s.end == s.mid for s in parts(text))
-
-
 def test_hot_run_over_many_partitions(spark):
     text = "This is the first sentence of a hot passage that everyone has. And this is the second of it, which is as long as that one is."
     rows = [(i, f"{text} Own words number {i} follow here.", None) for i in range(700)]
