@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +25,18 @@ BLOCK = 2_048  # bytes compressed at once
 LEVEL = 8
 MARGIN = 0.002  # of the second-best size; below it a prediction is rejected
 
+MOST_LANGUAGES = 1_000  # that are learned; more of them are an error
+
 _NO_LETTERS = re.compile(r"[\W\d_]+")
+_NUMBERS = regex.compile(r"[\p{Nl}\p{No}]")  # count as word characters too: fractions, superscripts, circled and Roman numbers
 
 
 def letters(text: str) -> str:
     """The text's letters in lower case; anything between them is one space."""
-    return _NO_LETTERS.sub(" ", text.lower()).strip()
+    text = text.lower()
+    if not text.isascii():
+        text = _NUMBERS.sub(" ", text)
+    return _NO_LETTERS.sub(" ", text).strip()
 
 
 def held_out(doc_id: Column) -> Column:
@@ -41,14 +48,16 @@ def fit(docs: DataFrame, samples: int = SAMPLES, chars: int = SAMPLE_CHARS) -> d
     """A dictionary per language from the documents that aren't held out.
 
     The bounded sample: documents of a language are dealt by a hash of their id into ``samples`` cells, of each cell the document with the smallest
-    hash gives its first ``chars`` characters.  One row per language and cell reaches the driver.  Documents without id,
+    hash gives its first ``chars`` characters.  One row per language and cell reaches the driver, of ``MOST_LANGUAGES`` languages at most.  Documents without id,
     language or letters aren't learned from.
     """
     doc_id, text = column("doc_id"), column("text")
     learned = docs.filter(doc_id.isNotNull() & column("lang").isNotNull() & ~held_out(doc_id) & text.rlike(r"\p{L}"))
     order = F.xxhash64(doc_id, text)
     cells = learned.select(column("lang").alias("lang"), F.pmod(F.xxhash64(doc_id, F.lit(1)), F.lit(samples)).alias("cell"), F.struct(order.alias("order"), F.substring(text, 1, chars).alias("text")).alias("one"))
-    rows = cells.groupBy("lang", "cell").agg(F.min("one").alias("one")).select("lang", "one.order", "one.text").collect()
+    rows = cells.groupBy("lang", "cell").agg(F.min("one").alias("one")).select("lang", "one.order", "one.text").limit(MOST_LANGUAGES * samples + 1).collect()
+    if len(rows) > MOST_LANGUAGES * samples or len({r["lang"] for r in rows}) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages to learn")
     joined: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["order"])):
         joined.setdefault(r["lang"], []).append(r["text"])

@@ -99,7 +99,6 @@ class Scanner:
     def __init__(self, sentences: dict[str, list[str]] | None = None, rules: tuple[Rule, ...] | None = None):
         sentences = SENTENCES if sentences is None else sentences
         self.known = {s: name for name, forms in sentences.items() for s in forms}
-        self.longest = max(map(len, self.known), default=0)
         words = [s.split() for s in self.known]
         self.begun = {" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)}
         self.rules = RULES if rules is None else rules
@@ -113,7 +112,7 @@ class Scanner:
         for end in [m.end() for m in _BREAK.finditer(text)] + [len(text)]:
             part = text[begin:end]
             begin = end
-            pieces += [normal(p) if len(p) <= 4 * self.longest else None for p in part.split("\n") if p.strip()]
+            pieces += [normal(p) for p in part.split("\n") if p.strip()]
         out, nth, at = [], 0, 0
         while at < len(pieces):
             name, behind = None, at + 1
@@ -123,7 +122,7 @@ class Scanner:
                     name, behind = self.known[joined], k
                 while k < len(pieces) and pieces[k] == "":
                     k += 1
-                if k == len(pieces) or pieces[k] is None:
+                if k == len(pieces):
                     break
                 joined, k = f"{joined} {pieces[k]}", k + 1
             if name:

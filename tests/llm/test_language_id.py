@@ -1,6 +1,9 @@
 import zlib
 
 import cases
+import pytest
+import zstandard
+from corpusloom.llm import language_id
 from corpusloom.llm.language_id import SAMPLE_CHARS, SAMPLES, Classifier, fit, identify, keep_identified
 
 
@@ -34,6 +37,39 @@ def test_und_and_ties(spark):
     assert Classifier({"b": b"the of", "a": b"the of"}).predict("the of")[0] == "a"
 
 
+def test_numbers_and_marks_are_no_letters(spark):
+    texts = ["½ ② ² ①", "①②③", "Ⅷ ⅻ", "一", "² a", "́", "١٢٣", "ʼ", "ª"]
+    docs = cases.table(spark, cases.texts() + [(1000 + i, t, "en") for i, t in enumerate(texts)])
+    got = {r.doc_id: (r.lang_pred == "und", r.accepted) for r in identify(docs, docs).collect()}
+    assert [got[1000 + i][0] for i in range(len(texts))] == [not any(c.isalpha() for c in t) for t in texts]
+    assert all(not accepted for und, accepted in got.values() if und)
+
+
+def test_equals_plain_zstandard(spark):
+    """Sizes and margins worked out anew from the dictionaries, text by text."""
+    docs = cases.table(spark)
+    dictionaries = fit(docs)
+    for r in identify(docs, docs).join(docs.select("doc_id", "text").distinct(), "doc_id").filter("text IS NOT NULL").collect():
+        kept = "".join(c if c.isalpha() else " " for c in r.text.lower())
+        data = " ".join(kept.split()).encode()
+        if not data:
+            continue
+        sizes = {}
+        for lang, words in dictionaries.items():
+            data_dict = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            compressor = zstandard.ZstdCompressor(level=8, dict_data=data_dict, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes[lang] = sum(len(compressor.compress(data[i : i + 2048])) for i in range(0, len(data), 2048))
+        (best, lang), (second, _) = sorted((n, lang) for lang, n in sizes.items())[:2]
+        if r.doc_id != 8:  # two texts have this id
+            assert (r.lang_pred, r.score, r.accepted) == (lang, (second - best) / second, (second - best) / second >= 0.002), r.text[:80]
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="languages"):
+        fit(cases.table(spark))
+
+
 def test_kept_rows_are_whole(spark):
     docs = cases.table(spark)
     kept = keep_identified(docs, docs)

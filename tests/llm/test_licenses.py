@@ -118,6 +118,11 @@ def test_order_and_gaps():
     assert scanner.scan("Two. One. Three.") == (["A"], ["b", "a", "c"])
 
 
+def test_length_of_a_line_does_not_matter():
+    grant = SENTENCES["mit-grant"][0]
+    assert Scanner().identifiers(f" {'*' * 40} ".join(grant.split()))[0][1] == "mit-grant"
+
+
 def test_rules_name_known_sentences():
     assert all(set(r.sequence) <= set(SENTENCES) for r in RULES)
     forms = [s for known in SENTENCES.values() for s in known]
