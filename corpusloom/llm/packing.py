@@ -1,33 +1,32 @@
-"""Packing into context windows of one size, the largest.
+"""Hierarchical packing into context windows of several sizes.
 
-A document longer than the window is cut into whole windows and a rest.  Lengths are packed from the longest to the shortest: pieces first
-fill the gaps of open windows (the tightest gap first), the others open windows of the largest size; the smaller sizes open none and only name
-what a sequence holds.  All of this needs only how many pieces there are of each
-length, at most one number per token of the longest window, whatever the size of the corpus.  The plan is a list of
-patterns (lengths in order, how many sequences); pieces take their places by their rank among pieces of equal length.
+Each document is routed to a tier, the smallest window size that holds it (or the largest size), and the documents of a tier are laid on a line one behind the
+other.  The line is cut at the ends of the tier's windows, so every window is full; what the last window of a tier lacks is filled with the first documents of the
+next shorter tier, whose own windows begin behind it.  So all tiers together are one line, and all sequences but the very last are full windows.
+
+A document's place on the line follows from sums: of the tiers before, of the scan tasks before, and of the task's own documents before, which the tasks
+count while they tokenize.  No text or id is shuffled.  The order on the line is that of the table as it was read.
 """
 
 from __future__ import annotations
 
-import bisect
 import os
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe_count import byte_symbols
 from corpusloom.llm.cache import TwoGenerations
 from corpusloom.llm.rows import column, in_arrow, materialize
-from corpusloom.operators.ordering import add_position
 
 WINDOWS = (512, 1024, 2048, 4096)
-STEP = 64  # sequences of a step group
+STEP = 64  # sequences of the largest size in a step group, or as many smaller ones as hold the same number of tokens
 CACHED = 250_000  # words in each of a worker's two generations of known ids
 _CACHED_LENGTH = 64
 
@@ -78,138 +77,97 @@ class Ids:
 _IDS: dict[str, Ids] = {}  # of this worker
 
 
-def pieces(docs: DataFrame, tokenizer: Callable[[], str], window: int, end_id: int) -> DataFrame:
-    """(doc_id, start, length, ids_crc32, doc_tokens): documents cut into windows and a rest, in the order of their ids."""
+def tokenized(docs: DataFrame, tokenizer: Callable[[], str], windows: tuple[int, ...], end_id: int) -> DataFrame:
+    """(doc_id, ids, tier, tokens, before, part): each document's ids, its tier, and the tokens of that tier that its scan task has counted before it."""
+    sizes = sorted(windows)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer()
         if path not in _IDS:
             _IDS[path] = Ids(path)
         ids, end = _IDS[path], end_id.to_bytes(4, "little")
+        counted = dict.fromkeys(sizes, 0)
         for batch in batches:
-            out: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                data = ids.of(text.as_py()) + end
-                for at in range(0, len(data), 4 * window):
-                    part = data[at : at + 4 * window]
-                    out.append((doc_id, at // 4, len(part) // 4, zlib.crc32(part), len(data) // 4))
-            columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)] if out else [pa.array([], pa.int64())] * 5
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            data, tiers, tokens, before = [], [], [], []
+            for text in batch.column("text"):
+                data.append(ids.of(text.as_py()) + end)
+                tokens.append(len(data[-1]) // 4)
+                tiers.append(next((w for w in sizes if w >= tokens[-1]), sizes[-1]))
+                before.append(counted[tiers[-1]])
+                counted[tiers[-1]] += tokens[-1]
+            arrays = [batch.column("doc_id"), pa.array(data, pa.binary()), pa.array(tiers, pa.int32()), pa.array(tokens, pa.int64()), pa.array(before, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "tier", "tokens", "before"])
 
     narrow = docs.select(column("doc_id").cast("long").alias("doc_id"), F.coalesce(column("text"), F.lit("")).alias("text"))
-    return in_arrow(narrow, step, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return in_arrow(narrow, step, "doc_id long, ids binary, tier int, tokens long, before long").withColumn("part", F.spark_partition_id())
 
 
-@dataclass
-class Pattern:
-    """``times`` sequences that hold ``runs``: (length, how many pieces) in order."""
+@dataclass(frozen=True)
+class Region:
+    """Part of the line that is cut into windows of one size; the last one of all may be short of tokens."""
 
-    times: int
-    gap: int
-    runs: list[tuple[int, int]] = field(default_factory=list)
+    begin: int
+    end: int
+    window: int
+    first_sequence: int
+    first_step: int
 
 
-def plan(histogram: dict[int, int], windows: tuple[int, ...] = WINDOWS) -> list[Pattern]:
-    """Patterns that hold each length as often as ``histogram`` says.
+def regions(totals: dict[int, int], windows: tuple[int, ...] = WINDOWS, step: int = STEP) -> list[Region]:
+    """The line's regions from the tokens of each tier: the tiers from the longest to the shortest, each up to the end of its last window.
 
-    From the longest length to the shortest: the tightest gap that a piece fits into takes as many pieces as it
-    holds, then the next tightest; what is left opens windows of the largest size, several to a window.  Each length splits at most one
-    pattern and opens at most two, so there are at most four patterns per length.
+    A step group holds sequences of one size, and as many of them as hold ``step`` of the largest windows.
     """
-    largest = max(windows)
-    by_gap: dict[int, list[Pattern]] = {}  # open patterns by what fits into them
-    gaps: list[int] = []  # the keys, ascending
-    done: list[Pattern] = []
-
-    def put(p: Pattern) -> None:
-        if p.gap == 0:
-            done.append(p)
-            return
-        if p.gap not in by_gap:
-            bisect.insort(gaps, p.gap)
-        by_gap.setdefault(p.gap, []).append(p)
-
-    def take(length: int) -> Pattern | None:
-        at = bisect.bisect_left(gaps, length)
-        if at == len(gaps):
-            return None
-        found = by_gap[gaps[at]]
-        p = found.pop()
-        if not found:
-            del by_gap[gaps.pop(at)]
-        return p
-
-    def fill(p: Pattern, length: int, left: int) -> int:
-        """Add up to ``left`` pieces to the sequences of p, evenly; the pattern is split where they run out."""
-        each = min(p.gap // length, -(-left // p.times))
-        full = min(p.times, left // each)
-        if rest := p.times - full:
-            put(Pattern(rest, p.gap, list(p.runs)))
-        if full:
-            put(Pattern(full, p.gap - each * length, [*p.runs, (length, each)]))
-        return left - full * each
-
-    tiers: dict[int, list[int]] = {w: [] for w in sorted(windows, reverse=True)}
-    for length in sorted(histogram, reverse=True):
-        tiers[min(w for w in windows if w >= length)].append(length)
-    for routed in tiers.values():
-        for length in routed:
-            left = histogram[length]
-            while left and (p := take(length)):
-                left = fill(p, length, left)
-            if left:
-                each = largest // length
-                left = fill(Pattern(-(-left // each), largest, []), length, left)
-            while left and (p := take(length)):
-                left = fill(p, length, left)
-    for gap in gaps:
-        done.extend(p for p in by_gap[gap] if p.runs)
-    return done
-
-
-def places(patterns: list[Pattern]) -> list[tuple[int, int, int, int, int, int, int]]:
-    """(length, first rank, last rank, first sequence, pieces per sequence, offset, used): where pieces of a length go by rank from 0."""
-    ranks: dict[int, int] = {}
-    out, sequence = [], 0
-    for p in sorted(patterns, key=lambda p: (p.gap, p.runs)):
-        used, offset = sum(n * k for n, k in p.runs), 0
-        for length, each in p.runs:
-            first = ranks.get(length, 0)
-            ranks[length] = first + p.times * each
-            out.append((length, first, ranks[length] - 1, sequence, each, offset, used))
-            offset += length * each
-        sequence += p.times
+    out, at, line, sequence, group = [], 0, 0, 0, 0
+    for w in sorted(windows, reverse=True):
+        line += totals.get(w, 0)
+        n = max(0, -(-(line - at) // w))
+        if n:
+            out.append(Region(at, at + n * w, w, sequence, group))
+            at, sequence, group = at + n * w, sequence + n, group - (-n // (step * max(windows) // w))
     return out
 
 
+def cut(place: int, tokens: int, line: list[Region], whole: int, largest: int, step: int) -> Iterator[tuple[int, int, int, int, int, int, int]]:
+    """(start, length, sequence, offset, used, window, step) of the pieces of a document that begins at ``place``; ``whole`` is the line's length."""
+    start = 0
+    while start < tokens:
+        at = place + start
+        region = next(r for r in line if at < r.end)
+        nth, offset = divmod(at - region.begin, region.window)
+        length = min(tokens - start, region.window - offset)
+        used = min(region.window, whole - (at - offset))
+        yield start, length, region.first_sequence + nth, offset, used, region.window, region.first_step + nth // (step * largest // region.window)
+        start += length
+
+
 def pack(docs: DataFrame, tokenizer: Callable[[], str], windows: tuple[int, ...] = WINDOWS, end_id: int = 2, step: int = STEP) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, used, window, step_id.
 
     A document's ids are the tokenizer's, without added tokens, then ``end_id``; a null text counts as empty, so it is
-    a piece of that one id.  start counts the document's ids before the piece, offset the sequence's ids before it.  used is what the
-    sequence holds and window the smallest window that does.  Sequences of one pattern have neighbouring numbers and are
-    dealt in turn to step groups of ``step`` sequences, so groups hold near equal tokens and the same mix of lengths.
+    a piece of that one id.  start counts the document's ids before the piece, offset the sequence's ids before it.  window is the sequence's size and used what it
+    holds, which is less for the last sequence of all only.  A step group (``step_id``) holds sequences of one size, and all groups the same number of
+    tokens, but for the last of each size.  A document is cut where a window ends: once at most if the largest window holds it.
     Repeated rows and rows with a null doc_id are packed like any other.  An empty table gives an empty result; other columns are
     ignored.
     """
-    cut = materialize(pieces(docs, tokenizer, max(windows), end_id).withColumn("nth", F.monotonically_increasing_id()), "pieces")
-    histogram = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}  # one row per length
-    rows = places(plan(histogram, windows))
-    spark = docs.sparkSession
-    schema = "its_length long, first long, last long, sequence long, each long, before long, used long"
-    plan_rows = spark.createDataFrame(rows, schema) if rows else spark.createDataFrame([], schema)
-    ranked = add_position(cut, [F.col(c) for c in ("doc_id", "start", "ids_crc32", "nth")], "rank", within="length")
-    ranked = ranked.withColumn("rank", F.col("rank") - 1)
-    # Bounded by the window: a few rows for each of at most max(windows) lengths.
-    fits = (F.col("length") == F.col("its_length")) & F.col("rank").between(F.col("first"), F.col("last"))
-    placed = ranked.join(F.broadcast(plan_rows), fits)
-    nth = F.col("rank") - F.col("first")
-    sequence = F.col("sequence") + F.floor(nth / F.col("each"))
-    n_steps = -(-max((r[3] + (r[2] - r[1] + 1) // r[4] for r in rows), default=1) // step)
-    held = F.lit(None).cast("int")
-    for w in sorted(windows, reverse=True):
-        held = F.when(F.col("used") <= w, w).otherwise(held)
-    return placed.select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", sequence.alias("sequence_id"),
-        (F.col("before") + nth % F.col("each") * F.col("length")).alias("offset"), "used", held.alias("window"), (sequence % n_steps).alias("step_id"),
-    )
+    found = materialize(tokenized(docs, tokenizer, windows, end_id), "ids")
+    sums = found.groupBy("tier", "part").agg(F.sum("tokens").alias("tokens"))  # a row for each scan task and tier
+    totals = {r["tier"]: r["tokens"] for r in sums.groupBy("tier").agg(F.sum("tokens").alias("tokens")).collect()}
+    line, whole, largest = regions(totals, windows, step), sum(totals.values()), max(windows)
+    earlier = Window.orderBy(F.desc("tier"), "part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("tier", "part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
+    placed = found.join(bases, ["tier", "part"]).select("doc_id", "ids", "tokens", (F.col("base") + F.col("before")).alias("place"))
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "used", "window", "step_id"]
+        for batch in batches:
+            out: list[tuple] = []
+            for doc_id, ids, tokens, place in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), batch.column("tokens").to_pylist(), batch.column("place").to_pylist(), strict=True):
+                data = memoryview(ids.as_buffer())
+                for start, length, sequence, offset, used, window, group in cut(place, tokens, line, whole, largest, step):
+                    out.append((doc_id, start, length, zlib.crc32(data[4 * start : 4 * (start + length)]), tokens, sequence, offset, used, window, group))
+            columns = list(zip(*out, strict=True)) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if n == "window" else pa.int64()) for n, c in zip(names, columns, strict=True)], names=names)
+
+    return in_arrow(placed, pieces, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, used long, window int, step_id long")
