@@ -19,11 +19,18 @@ MAX_REPEATED = 30  # percent of words inside of repeated windows
 
 # Line rules.
 END_PUNCTUATION = r"[.!?:;,\"')\]”’»…。！？][\x20\x09-\x0D]*$"
-NAVIGATION = r"(?i)^[\x20\x09-\x0D]*(home|next|previous|back to top|top|menu|log ?in|sign ?in|sign ?up|register|search|share|contact( us)?|about( us)?|read more|skip to content)[\x20\x09-\x0D]*$"
+_ENTRY = (
+    r"(home( ?page)?|next( page)?|previous( page)?|back( to top)?|top|menu|log ?(in|out)|sign ?(in|up|out)|register|search|share|contact( us)?|about( us)?|read more|more|skip to content"
+    r"|accueil|suivant|pr[éÉ]c[éÉ]dent|connexion|rechercher|lire la suite|startseite|weiter|zur[üÜ]ck|anmelden|suche|kontakt|[üÜ]ber uns|mehr lesen|weiterlesen"
+    r"|inicio|siguiente|anterior|iniciar sesi[óÓ]n|buscar|contacto|leer m[áÁ]s)"
+)
+_MARKS = r"[\x20\x09-\x0D|>»·•/,;:.!?…-]"
+NAVIGATION = rf"(?i)^{_MARKS}*{_ENTRY}({_MARKS}+{_ENTRY})*{_MARKS}*$"  # entries of a menu and marks, nothing else
 CRUMBS = r"^([^|>»·•]{1,40}[|>»·•]){2,}[^|>»·•]{0,40}$"  # short pieces between separators
-SHORT_LINE = 400  # bytes; navigation and crumbs are no longer than this
 BOILERPLATE = (
     r"(?i)cookie policy|privacy policy|terms of use|terms of service|all rights reserved|enable javascript|uses cookies|lorem ipsum|subscribe to our newsletter"
+    r"|politique de confidentialit[éÉ]|mentions l[éÉ]gales|tous droits r[éÉ]serv[éÉ]s|utilise des cookies|datenschutzerkl[äÄ]rung|nutzungsbedingungen|alle rechte vorbehalten"
+    r"|verwendet cookies|pol[íÍ]tica de privacidad|t[éÉ]rminos de uso|todos los derechos reservados|utiliza cookies"
 )
 MAX_SYMBOLS = 0.3  # symbols per word from which a line is no prose
 MAX_LOST = 0.5  # share of a document's characters
@@ -43,10 +50,9 @@ def _symbols(text: Column) -> Column:
 
 def _passes(line: Column) -> Column:
     """Whether a line with a word is text: it ends like a sentence and is no navigation, boilerplate or run of symbols."""
-    short = F.octet_length(line) <= SHORT_LINE
     bare = F.trim(line, F.lit(_BLANKS))
     noisy = (_symbols(line) > 0) & (_symbols(line) > MAX_SYMBOLS * F.size(F.split(bare, _SPACE)))
-    return F.right(bare, F.lit(1)).rlike(END_PUNCTUATION) & ~noisy & ~(short & (line.rlike(NAVIGATION) | line.rlike(CRUMBS))) & ~line.rlike(BOILERPLATE)
+    return F.right(bare, F.lit(1)).rlike(END_PUNCTUATION) & ~noisy & ~line.rlike(NAVIGATION) & ~line.rlike(CRUMBS) & ~line.rlike(BOILERPLATE)
 
 
 def _characters(lines: Column) -> Column:
@@ -83,7 +89,7 @@ def _with_repeated(df: DataFrame) -> DataFrame:
 def clean_lines(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, lost, clean_text.
 
-    Lines with a word are judged one by one: a line fails if it lacks end punctuation, is a navigation entry or a row of
+    Lines with a word are judged one by one: a line fails if it lacks end punctuation, holds entries of a menu and marks only (punctuated or not), is a row of
     crumbs, holds a boilerplate phrase, or has more than 0.3 symbols per word.  Failing lines go; clean_text joins the
     others with a line feed; lost is the share of the lines' characters that went.  kept is false for a document that
     fails the base rules (under 20 words, or over 30 percent of its words in repeated 8-word windows) or loses over half of its

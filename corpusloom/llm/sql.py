@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm.line_quality import BOILERPLATE, CRUMBS, MAX_LOST, MAX_REPEATED, MAX_SYMBOLS, MIN_WORDS, NAVIGATION, SHORT_LINE, SPAN
+from corpusloom.llm.line_quality import BOILERPLATE, CRUMBS, MAX_LOST, MAX_REPEATED, MAX_SYMBOLS, MIN_WORDS, NAVIGATION, SPAN
 from corpusloom.llm.line_quality import END_PUNCTUATION as END
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -58,7 +58,7 @@ def _symbols(text: str) -> str:
 
 _PASSES = f"""regexp_matches(line, '{_quoted(END)}') AND NOT {_symbols('line')} > {MAX_SYMBOLS} * len({_split('line')})
     AND NOT regexp_matches(line, '{_quoted(BOILERPLATE)}')
-    AND NOT (strlen(line) <= {SHORT_LINE} AND (regexp_matches(line, '{_quoted(NAVIGATION)}') OR regexp_matches(line, '{_quoted(CRUMBS)}')))"""
+    AND NOT regexp_matches(line, '{_quoted(NAVIGATION)}') AND NOT regexp_matches(line, '{_quoted(CRUMBS)}')"""
 
 LINE_QUALITY = f"""WITH d AS MATERIALIZED (SELECT doc_id, text, {_split('text')} AS words,
     list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),

@@ -47,8 +47,11 @@ PROSE = [
 
 def test_lines_that_fail_go(spark):
     bad = ["Home | About | Contact | Shop", "no end of a sentence here", "Read more", "All rights reserved.", "a ## b ** c $$ d %% e.", "We use a cookie policy here.", "Start > Shop > Shoes > Red."]
+    # Menus that end like sentences, in several languages and of any length.
+    bad += ["Home, Search, Contact us.", "Read more…", "Weiter, Zurück: Kontakt.", "Accueil / Connexion / Rechercher.", " > ".join(["shop section"] * 60) + ".", "Search. " * 90]
+    bad += ["Alle Rechte vorbehalten.", "© 2020, TOUS DROITS RÉSERVÉS.", "Lea nuestra política de privacidad."]
     row = _line(spark, "\n".join(PROSE[:3] + bad + ["", PROSE[3]]))
-    assert row.clean_text == "\n".join(PROSE) and row.kept and 0 < row.lost < 0.5
+    assert row.clean_text == "\n".join(PROSE) and row.lost > 0
 
 
 def test_documents_that_lose_too_much_go(spark):
@@ -60,7 +63,7 @@ def test_documents_that_lose_too_much_go(spark):
 
 def test_padded_and_crlf_lines_equal_sql(spark):
     noisy = ["a b # c d #.", "some words | and # more %."]  # 2 symbols in 6 words, 3 in 7: one word fewer fails
-    lines = [*PROSE, *noisy, "# a b.", "no end here", "Read more", "*** three #.", "。", "It is so.)"]
+    lines = [*PROSE, *noisy, "# a b.", "no end here", "Read more", "Read more, Home.", "ZURÜCK!", "*** three #.", "。", "It is so.)"]
     pads = ["", " " * 60, "\t" * 45, "\r", " \x0b\f\r", "\t \r"]
     texts = [front.join(["", *[line + back + "\n" for line in lines for _ in range(1 + (line in PROSE))]]) for front in ["", "\t", " " * 50, "\x0b "] for back in pads]
     texts += [line + back + "\n" + PROSE[i % 4] for i, line in enumerate(noisy + PROSE) for back in pads]
