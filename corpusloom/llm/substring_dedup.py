@@ -102,7 +102,7 @@ def _spaced(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs(words: np.ndarray, docs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first, last) of runs of two or more parts of one document with at least ``least`` words: the shortest from each part on and up to each part.
+    """(first, last) of runs of two or more parts of one document with at least ``least`` words, in order: the shortest from each part on and up to each part.
 
     ``words`` are those of all parts up to each one, over all documents; ``docs`` is where each document's parts begin; both go on to the end.
     """
@@ -115,7 +115,9 @@ def runs(words: np.ndarray, docs: np.ndarray, least: int) -> tuple[np.ndarray, n
     first = np.minimum(np.searchsorted(words, words[1:] - least, side="right") - 1, at - 1)
     fits = first >= docs[doc]
     fits[fits] = last[first[fits]] != at[fits]  # not again
-    return np.concatenate([forward[0], first[fits]]), np.concatenate([forward[1], at[fits]])
+    first, last = np.concatenate([forward[0], first[fits]]), np.concatenate([forward[1], at[fits]])
+    order = np.lexsort((last, first))
+    return first[order], last[order]
 
 
 _BASE = 0x9E3779B97F4A7C17
@@ -136,7 +138,7 @@ def run_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nd
     return value ^ (value >> np.uint64(29))
 
 
-_RUN = pa.schema([("key", pa.int64()), ("settled", pa.bool_()), ("doc_id", pa.int64()), ("place", pa.int64()), ("last", pa.int32())])
+_RUN = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64())])
 _NO_ID = -(1 << 63)  # sorts a null id first
 
 
@@ -149,10 +151,10 @@ def _later(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _spans(docs: DataFrame, least: int) -> DataFrame:
-    """(key, settled, doc_id, place, last) of runs; place holds half of the document's key and, below, the run's first part.
+    """(key, doc_id, place) of runs; place holds half of the document's key and, below, the run's number in the document.
 
-    The first run of each hash in a block of documents has the hash as its key.  The others are settled: they aren't the first of their hash, and
-    their key spreads them.
+    The first run of each hash in a block of documents has the hash as its key, an even number.  The others are settled: they aren't the first of their hash, and
+    their keys are odd numbers that spread them.  This is all that is shuffled of a run.
     """
 
     def block(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -161,12 +163,12 @@ def _spans(docs: DataFrame, least: int) -> DataFrame:
         order = np.lexsort((rows.column("place").to_numpy(), ids, rows.column("key").to_numpy()))
         rows = rows.take(pa.array(order)).combine_chunks().to_batches()[0]
         new, later = _later(rows)
-        keys = rows.column("key").to_numpy()
-        spread = (keys.view(np.uint64) + rows.column("place").to_numpy().view(np.uint64)) * np.uint64(_BASE)
+        keys, places = rows.column("key").to_numpy(), rows.column("place").to_numpy()
+        spread = (keys.view(np.uint64) + places.view(np.uint64)) * np.uint64(_BASE) | np.uint64(1)
         keys = np.where(later, spread.view(np.int64), keys)
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(later), *rows.columns[2:]], schema=_RUN).filter(pa.array(new))
+        return pa.RecordBatch.from_arrays([pa.array(keys), *rows.columns[1:]], schema=_RUN).filter(pa.array(new))
 
-    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def found(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, words, sizes, n_words = [], [np.zeros(1, np.int64)], [0], 0
         for text in batch.column("text"):
             cut = parts(text.as_py())
@@ -177,69 +179,64 @@ def _spans(docs: DataFrame, least: int) -> DataFrame:
         starts = np.cumsum(sizes)
         first, last = runs(np.concatenate(words), starts, least)
         doc = np.searchsorted(starts, first, side="right") - 1
-        place = (batch.column("half").to_numpy()[doc] << 32) + (first - starts[doc])
-        arrays = [pa.array(run_hashes(np.array(hashes, np.uint64), first, last).view(np.int64)), pa.nulls(len(doc), pa.bool_()), batch.column("doc_id").take(pa.array(doc))]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(place), pa.array((last - starts[doc]).astype(np.int32))], schema=_RUN)
+        number = np.arange(len(doc)) - np.searchsorted(doc, np.arange(batch.num_rows))[doc]
+        place = (batch.column("half").to_numpy()[doc] << 32) + number
+        keys = run_hashes(np.array(hashes, np.uint64), first, last) & ~np.uint64(1)
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), batch.column("doc_id").take(pa.array(doc)), pa.array(place)], schema=_RUN)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, 256):  # few texts at once
-                for rows in found(batch.slice(start, 256)):
-                    held.append(rows)
-                    n += rows.num_rows
+                held.append(found(batch.slice(start, 256)))
+                n += held[-1].num_rows
                 if n >= BLOCK:
                     yield block(held)
                     held, n = [], 0
         if n:
             yield block(held)
 
-    return in_arrow(docs.filter("text IS NOT NULL"), step, "key long, settled boolean, doc_id long, place long, last int")
+    return in_arrow(docs.filter("text IS NOT NULL"), step, "key long, doc_id long, place long")
 
 
 def _not_first(spans: DataFrame) -> DataFrame:
-    """(doc_id, place, last) of the runs whose hash stands earlier in the order of (doc_id, place); repeats of a document count once."""
-    order = ["settled", "key", "doc_id", "place"]
+    """(doc_id, place) of the runs whose hash stands earlier in the order of (doc_id, place); repeats of a document count once."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None  # the last row so far that isn't settled
+        before = None  # the last row so far
         for batch in batches:
-            cut = int(np.searchsorted(batch.column("settled").to_numpy(zero_copy_only=False), True))
-            open_rows, settled = batch.slice(0, cut), batch.slice(cut)
-            if cut:
-                rows = open_rows if before is None else pa.Table.from_batches([before, open_rows]).combine_chunks().to_batches()[0]
-                _, later = _later(rows)
-                if before is not None:
-                    later = later[1:]
-                before = open_rows.slice(cut - 1)
-                yield open_rows.filter(pa.array(later)).select(["doc_id", "place", "last"])
-            if settled.num_rows:
-                yield settled.select(["doc_id", "place", "last"])
-
-    dealt = spans.repartition("key").sortWithinPartitions(*order)
-    return in_arrow(dealt, step, "doc_id long, place long, last int")
+            if not batch.num_rows:
+                continue
+            rows = batch if before is None else pa.Table.from_batches([before, batch]).combine_chunks().to_batches()[0]
+            later = _later(rows)[1][0 if before is None else 1 :]
+            settled = (batch.column("key").to_numpy() & 1).astype(bool)
+            before = batch.slice(batch.num_rows - 1)
+            yield batch.filter(pa.array(later | settled)).select(["doc_id", "place"])
+
+    return in_arrow(spans.repartition("key").sortWithinPartitions("key", "doc_id", "place"), step, "doc_id long, place long")
 
 
 def repeated_runs(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, half, ranges): for documents with repeated runs, the (first, last) part of each run that isn't the first of its hash.
+    """(doc_id, half, numbers): for documents with repeated runs, the numbers of the runs that aren't the first of their hash.
 
-    half is the upper half of the document's text key; a document has at most two ranges for each of its parts.
+    half is the upper half of the document's text key; a document has at most two runs for each of its parts.
     """
     narrow = docs.select(column("doc_id").cast("long").alias("doc_id"), F.shiftright(text_key(column("text")), 32).alias("half"), column("text").alias("text"))
     found = _not_first(_spans(narrow, least))
-    first = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
-    return found.groupBy("doc_id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(F.struct(first.alias("first"), "last")).alias("ranges"))
+    number = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")
+    return found.groupBy("doc_id", F.shiftright("place", 32).alias("half")).agg(F.collect_set(number).alias("numbers"))
 
 
-def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int]:
-    """The text without the parts in ``ranges`` (first, last), how many parts there were and how many went."""
-    begins = parts(text).begins
-    n = len(begins)
+def without(text: str, numbers: list[int], least: int) -> tuple[str, int, int]:
+    """The text without the runs of these numbers, how many parts there were and how many went."""
+    cut = parts(text)
+    n = len(cut.begins)
+    first, last = runs(cut.words_before, np.array([0, n]), least)
     edges = np.zeros(n + 1, np.int64)
-    np.add.at(edges, [a for a, _ in ranges], 1)
-    np.add.at(edges, [b + 1 for _, b in ranges], -1)
+    np.add.at(edges, first[numbers], 1)
+    np.add.at(edges, last[numbers] + 1, -1)
     gone = np.cumsum(edges)[:n] > 0
-    stops = [*begins.tolist(), len(text)]
+    stops = [*cut.begins.tolist(), len(text)]
     return "".join(text[a:b] for a, b, g in zip(stops, stops[1:], gone.tolist(), strict=False) if not g), n, int(gone.sum())
 
 
@@ -254,15 +251,15 @@ def drop_repeated_sentences(docs: DataFrame, least: int = MIN_WORDS, counts: tup
     nothing was found).
     """
     found = repeated_runs(docs, least)
-    found = found.select(F.col("doc_id").alias("its_id"), F.col("half").alias("its_half"), "ranges")
+    found = found.select(F.col("doc_id").alias("its_id"), F.col("half").alias("its_half"), "numbers")
     rows = docs.select(as_row(docs.drop("text")), column("text").alias("text"), column("doc_id").cast("long").alias("doc_id"), F.shiftright(text_key(column("text")), 32).alias("half"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("half") == F.col("its_half")), "left").select("row", "text", "ranges")
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("half") == F.col("its_half")), "left").select("row", "text", "numbers")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, totals, removed = [], [], []
-            for text, ranges in zip(batch.column("text"), batch.column("ranges"), strict=True):
-                new, n, k = (text.as_py(), None, None) if not ranges.is_valid else without(text.as_py(), [(r["first"], r["last"]) for r in ranges.as_py()])
+            for text, numbers in zip(batch.column("text"), batch.column("numbers"), strict=True):
+                new, n, k = (text.as_py(), None, None) if not numbers.is_valid else without(text.as_py(), numbers.as_py(), least)
                 texts.append(new)
                 totals.append(n)
                 removed.append(k)
