@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +48,32 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+@contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the intermediate tables written inside, which goes with them at the end.
+
+    Only for jobs that have written all their results by then; a driver that is lost before leaves the folder behind.
+    """
+    path = f"{scratch_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _run_folder.set(path)
+    try:
+        yield path
+    finally:
+        _run_folder.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and continue from the written table.
 
     This cuts the lineage in a way that survives lost executors, and later reads prune columns.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{_run_folder.get() or scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

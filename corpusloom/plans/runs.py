@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from corpusloom.functions import patterns as P
 from corpusloom.functions import text as X
-from corpusloom.functions.frames import materialize, once
+from corpusloom.functions.frames import materialize, once, own_scratch
 from corpusloom.functions.text import hash_form, quality_bucket
 from corpusloom.operators import cleaning, report
 from corpusloom.operators.dedup import dedup_rollup, exact_dedup
@@ -234,8 +234,15 @@ def run(
     paths = {n: f"{out}/{n}" for n in ("clean", "processed", "train", "metrics", "source_distribution", "filtered_reasons",
                                        "quality_distribution", "safety_flags", "core", "top_samples", "filtered_samples",
                                        "duplicate_ids", "duplicate_pairs")}
-    tokenizer = tokenizer.checked(spark)
-    stages = Stages(spark, f"{out}/_stages", _run_key(spark, input_path, pattern, config, tokenizer), resume, mode)
+    with own_scratch(spark):
+        _run(spark, input_path, f"{out}/_stages", paths, config, tokenizer.checked(spark), mode, pattern, resume)
+    return paths
+
+
+def _run(
+    spark: SparkSession, input_path: str, notes: str, paths: dict[str, str], config: RunConfig, tokenizer: Tokenizer, mode: str, pattern: str, resume: bool
+) -> None:
+    stages = Stages(spark, notes, _run_key(spark, input_path, pattern, config, tokenizer), resume, mode)
 
     # Interim: cleaned rows in Parquet, kept and filtered apart, with the prepared columns.
     clean = stages.done("clean") or stages.finish("clean", _clean_stage(spark, input_path, pattern, config, tokenizer, paths["clean"], stages.mode))
@@ -264,7 +271,6 @@ def run(
     train = read_train(spark, paths["train"])
     core = report.report_core(train, None, clean["records"], processed["dedup"], processed["tokens"]["total_tokens"], clean["filtered"])
     _write_report(spark, train, core, metrics, paths, stages.mode, clean["reasons"], clean["flags"], cleaned)
-    return paths
 
 
 def _write_report(
@@ -298,9 +304,10 @@ def run_clean(
     spark: SparkSession, input_path: str, output_path: str, config: RunConfig = RunConfig(), mode: str = "errorifexists", pattern: str = "*.jsonl"
 ) -> str:
     """Load, parse and clean only; JSON lines in input order."""
-    # Written once: bringing the rows into order reads its input twice.
-    rows = materialize(cleaning.clean(load_corpus(spark, input_path, pattern=pattern), config.cleaning, canonical=True), "clean")
-    sinks.write_jsonl(rows, output_path, "ord", mode)
+    with own_scratch(spark):
+        # Written once: bringing the rows into order reads its input twice.
+        rows = materialize(cleaning.clean(load_corpus(spark, input_path, pattern=pattern), config.cleaning, canonical=True), "clean")
+        sinks.write_jsonl(rows, output_path, "ord", mode)
     return output_path
 
 

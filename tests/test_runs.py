@@ -1,6 +1,7 @@
 """Whole runs on a small corpus of files, and every query against its SQL."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -37,7 +38,10 @@ def table(path):
 
 def test_full_run_and_report(spark, folder):
     config = RunConfig.of({"sampling": {"max_records": 10, "source_ratios": {"web": 0.5, "document": 0.5}}, "dedup": {"approximate_threshold": 0.8}})
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(scratch.iterdir())
     paths = runs.run(spark, str(folder / "raw"), str(folder / "out"), config)
+    assert set(scratch.iterdir()) == before  # nothing is left of the run's own tables
     metrics = json.loads("".join(p.read_text() for p in (folder / "out" / "metrics").glob("part-*")))
     assert metrics["ingest"] == {"raw_records": 8, "records_by_source": {"document": 5, "web": 2, "code": 1}}
     assert metrics["cleaning"]["filter_reasons"] == {"empty_text": 1, "pii_detected": 1} and metrics["cleaning"]["kept_records"] == 6
