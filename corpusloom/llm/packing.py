@@ -157,7 +157,8 @@ def pack(docs: DataFrame, tokenizer: Callable[[], str], windows: tuple[int, ...]
     line, whole, largest = regions(totals, windows, step), sum(totals.values()), max(windows)
     earlier = Window.orderBy(F.desc("tier"), "part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sums.select("tier", "part", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base"))
-    placed = found.join(bases, ["tier", "part"]).select("doc_id", "ids", "tokens", (F.col("base") + F.col("before")).alias("place"))
+    # A few numbers for each scan task; without the hint the ids would be shuffled before that is known.
+    placed = found.join(F.broadcast(bases), ["tier", "part"]).select("doc_id", "ids", "tokens", (F.col("base") + F.col("before")).alias("place"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "used", "window", "step_id"]
