@@ -88,7 +88,7 @@ def test_filter_reasons(spark):
     config = CleanConfig.of({"min_chars": 24, "max_chars": 90, "max_urls": 1, "repeated_char_threshold": 6})
     plain = "the harbour opens at dawn"  # 25 characters
     cases = {
-        plain: "", plain[:24]: "", plain[:23]: "too_short", (plain + " ") * 3 + "calm seas now": "", (plain + " ") * 4: "too_long",
+        plain: "", plain[:24]: "", plain[:23]: "too_short", (plain + " ") * 3 + "calm sea now": "", (plain + " ") * 4: "too_long",
         f"{plain} www.a.org": "", f"{plain} www.a.org https://b.org": "too_many_urls", f"{plain} mmmmm": "", f"{plain} mmmmmm": "repeated_chars",
         f"{plain} mmmmmm https://b.org www.a.org": "too_many_urls", f"{plain} write to crew@ship.example": "pii_detected",
         f"{plain} mmmmmm crew@ship.example": "repeated_chars", "\n\t \n": "empty_text", "(-) [-] {-} <-> |-| /-/ ok": "low_information",
