@@ -87,7 +87,7 @@ def tokenized(docs: DataFrame, tokenizer: Callable[[], str], windows: tuple[int,
             _IDS[path] = Ids(path)
         ids, end = _IDS[path], end_id.to_bytes(4, "little")
         counted = dict.fromkeys(sizes, 0)
-        for batch in batches:
+        for batch in (b.slice(at, 512) for b in batches for at in range(0, b.num_rows, 512)):  # few texts' ids at once
             data, tiers, tokens, before = [], [], [], []
             for text in batch.column("text"):
                 data.append(ids.of(text.as_py()) + end)

@@ -26,7 +26,7 @@ from corpusloom.llm.rows import as_row, column, in_arrow, text_key
 MIN_WORDS = 25  # of a run
 WHOLE = 12  # sentences of more words are cut, at words that the words around them choose
 NEAR = 7  # so many words in a row hold a cut; WHOLE and NEAR leave MIN_WORDS of any 50 words between cuts that depend on nothing outside
-BLOCK = 1 << 20  # runs that a task compares with each other
+BLOCK = 1 << 18  # runs that a task compares with each other
 
 # Letters of scripts without spaces (Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han), each a word with the marks and signs behind it.
 _LETTERS = "ก-໿ཀ-ྼက-႟ក-៿々-〇ぁ-ヿㇰ-ㇿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ\U00020000-\U0003ffff"
