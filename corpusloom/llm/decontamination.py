@@ -2,8 +2,8 @@
 
 Of every window of consecutive k-gram hashes the smallest is kept (the leftmost of equals).  Two texts that share a span of
 k + w - 1 words keep the same hash at the same place of the span, so a join of kept hashes meets every shared span of
-that length.  A meeting fixes an alignment of document and item; along it the words are compared and every
-shared window counts.
+that length.  A hit is extended to the windows around it, each of which is looked up among the different windows of the benchmark;
+items come in last, so a window that many items share is compared once.
 """
 
 from __future__ import annotations
@@ -51,56 +51,62 @@ def n_words_of(text: Column) -> Column:
     return F.when(text.isNull(), 0).otherwise(F.size(F.filter(F.split(text, _BETWEEN_ANY), lambda w: w != ""))).cast("long")
 
 
-def _items(benchmark: DataFrame) -> DataFrame:
-    """(item, words, n, span, ids): the different word sequences of the benchmark, the ids that carry them, their window."""
+def _windows(benchmark: DataFrame) -> DataFrame:
+    """(words, span, window, ids, bearers): the different windows of the benchmark, their hash, the ids of the items that hold them, a digest of these."""
     words = benchmark.select(column("item_id").cast("string").alias("item_id"), words_of(column("text")).alias("words")).filter("size(words) > 0")
-    texts = words.groupBy(F.xxhash64("words").alias("item")).agg(F.first("words").alias("words"), F.collect_set("item_id").alias("ids"))
-    return texts.select("item", "words", F.size("words").alias("n"), F.least(F.size("words"), F.lit(WINDOW)).alias("span"), "ids")
+    texts = once(words.groupBy("words").agg(F.collect_set("item_id").alias("ids")), span=F.least(F.size("words"), F.lit(WINDOW)))
+    cut = F.expr("transform(sequence(0, size(words) - span), i -> slice(words, i + 1, span))")
+    each = texts.select("ids", F.explode(F.array_distinct(cut)).alias("words"))
+    held = each.select("words", F.explode_outer("ids").alias("item_id")).groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    return held.select("words", F.size("words").alias("span"), F.xxhash64("words").alias("window"), "ids", F.md5(F.to_json("ids")).alias("bearers"))
 
 
-def _occurrences(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, key, ids, begin, end): places of benchmark windows in documents, as word numbers from 0; end is exclusive."""
-    spans = sorted(r["span"] for r in items.select("span").distinct().collect())  # at most 13 numbers
+def _occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc_id, key, bearers, begin, end): places of benchmark windows in documents, as word numbers from 0; end is exclusive.
+
+    A kept hash of a document meets only the places that it has inside of windows (at most 6), however many windows and
+    items share it; the window around it is then looked up as a whole.
+    """
+    spans = sorted(r["span"] for r in windows.select("span").distinct().collect())  # at most 13 numbers
     if not spans:
-        return docs.select("doc_id", "key", F.array(F.lit("")).alias("ids"), F.lit(0).alias("begin"), F.lit(0).alias("end")).limit(0)
+        return docs.select("doc_id", "key", F.lit("").alias("bearers"), F.lit(0).alias("begin"), F.lit(0).alias("end")).limit(0)
     ours = fingerprints(docs.select("doc_id", "key", words_of(F.col("text")).alias("words")), spans, "doc_id", "key")
-    theirs = fingerprints(items.select("item", "n", "words", F.col("span").alias("window")), spans, "item", "n", "window")
-    theirs = theirs.filter("span = window").select("item", "n", "span", F.col("at").alias("there"), "hash")
-    met = ours.join(theirs, ["span", "hash"]).select("doc_id", "key", F.struct("item", "n", "span", (F.col("at") - F.col("there")).alias("shift")).alias("meet"))
+    theirs = fingerprints(windows.select("words", F.col("span").alias("its_span")), spans, "its_span")
+    theirs = theirs.filter("span = its_span").select("span", "hash", F.col("at").alias("there")).distinct()
+    met = ours.join(theirs, ["span", "hash"]).select("doc_id", "key", F.struct("span", (F.col("at") - F.col("there")).alias("begin")).alias("meet")).filter("meet.begin >= 0")
     met = materialize(met.groupBy("doc_id", "key").agg(F.collect_set("meet").alias("meets")), "meets")
-    # Along each meeting, the words of the document that face the item's.
     found = docs.join(met, same_document(docs, met)).select(docs["doc_id"], docs["key"], words_of(docs["text"]).alias("words"), "meets")
     found = once(found, words=F.col("words"))
-
-    def facing(m: Column) -> Column:
-        piece = F.slice("words", F.greatest(m["shift"] + 1, F.lit(1)), F.greatest(m["n"] + F.least(m["shift"], F.lit(0)), F.lit(0)))
-        return F.struct(m["item"].alias("item"), m["span"].alias("span"), m["shift"].alias("shift"), piece.alias("ours"))
-
-    found = found.select("doc_id", "key", F.inline(F.transform("meets", facing)))
-    both = found.join(items.select("item", "words", "ids"), "item").filter("size(ours) >= span")
-    same = once(both, theirs=F.expr("slice(words, greatest(-shift, 0) + 1, size(ours))")).drop("words")
-    starts = F.expr("filter(sequence(0, size(ours) - span), i -> slice(ours, i + 1, span) = slice(theirs, i + 1, span))")
-    begin = F.col("start") + F.greatest(F.col("shift"), F.lit(0))
-    places = same.select("doc_id", "key", "ids", "span", "shift", F.explode(starts).alias("start"))
-    return places.select("doc_id", "key", "ids", begin.alias("begin"), (begin + F.col("span")).alias("end"))
+    around = F.expr("transform(filter(meets, m -> m.begin + m.span <= size(words)), m -> struct(m.begin as begin, slice(words, m.begin + 1, m.span) as words))")
+    places = once(found.select("doc_id", "key", F.inline(around)), window=F.xxhash64("words"))
+    known = windows.select("window", F.col("words").alias("its_words"), "bearers")
+    same = places.join(known, "window").filter("words = its_words")
+    return same.select("doc_id", "key", "bearers", "begin", (F.col("begin") + F.size("words")).alias("end"))
 
 
 def _read(docs: DataFrame) -> DataFrame:
     return docs.select(column("doc_id").cast("long").alias("doc_id"), text_key(column("text")).alias("key"), column("text").alias("text"))
 
 
-def _verdicts(rows: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, key, n_hit, item_ids) of the documents that hold a benchmark window."""
-    places = _occurrences(rows, materialize(_items(benchmark), "items"))
-    # First one row per document and place, so that an item that many documents share is combined before the shuffle.
-    lists = places.groupBy("doc_id", "key").agg(F.collect_set(F.struct("begin", "end")).alias("places"), F.collect_set("ids").alias("ids"))
+def _verdicts(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc_id, key, n_hit, held) of the documents that hold a benchmark window; held: the sorted digests of the id sets of their windows."""
+    places = _occurrences(rows, windows)
+    lists = places.groupBy("doc_id", "key").agg(F.collect_set(F.struct("begin", "end")).alias("places"), F.array_sort(F.collect_set("bearers")).alias("held"))
     covered = F.aggregate(
         F.array_sort("places"),
         F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).alias("upto")),
         lambda acc, p: F.struct((acc["n"] + F.greatest(p["end"] - F.greatest(p["begin"], acc["upto"]), F.lit(0))).alias("n"), F.greatest(acc["upto"], p["end"]).alias("upto")),
         lambda acc: acc["n"],
     )
-    return lists.select("doc_id", "key", covered.alias("n_hit"), F.array_sort(F.array_distinct(F.flatten("ids"))).alias("item_ids"))
+    return lists.select("doc_id", "key", covered.alias("n_hit"), "held")
+
+
+def _lists(found: DataFrame, windows: DataFrame) -> DataFrame:
+    """(held, item_ids, n_items, items_sha256): the ids behind each different ``held``, put together once however many documents have it."""
+    sets = windows.groupBy("bearers").agg(F.first("ids").alias("ids"))
+    each = found.select("held").distinct().select("held", F.explode("held").alias("bearers")).join(sets, "bearers")
+    ids = each.select("held", F.explode_outer("ids").alias("item_id")).groupBy("held").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    return ids.select("held", "item_ids", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -114,20 +120,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     are ignored.
     """
     rows = _read(docs)
-    found = _verdicts(rows, benchmark)
+    windows = materialize(_windows(benchmark), "windows")
+    found = materialize(_verdicts(rows, windows), "verdicts")
+    listed = found.join(_lists(found, windows), "held").drop("held")
     counted = rows.select("doc_id", "key", n_words_of(F.col("text")).alias("n_words"))
-    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    ids = F.coalesce("item_ids", F.array().cast("array<string>"))
-    return counted.join(found, same_document(counted, found), "left").select(
-        counted["doc_id"], counted["key"], "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
-        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), ids.alias("item_ids"),
+    n_hit, none = F.coalesce("n_hit", F.lit(0).cast("long")), F.sha2(F.lit(""), 256)
+    return counted.join(listed, same_document(counted, listed), "left").select(
+        counted["doc_id"], counted["key"], "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"),
+        F.coalesce("items_sha256", none).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
+        F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows; all columns stay as they are, rows without doc_id or text included."""
     rows = docs.select(as_row(docs), column("doc_id").cast("long").alias("doc_id"), text_key(column("text")).alias("key"), column("text").alias("text"))
-    found = _verdicts(_read(docs), benchmark)
+    found = _verdicts(_read(docs), materialize(_windows(benchmark), "windows"))
     marked = rows.join(found.select(F.col("doc_id").alias("its_id"), F.col("key").alias("its_key"), "n_hit"), F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("key") == F.col("its_key")), "left")
     # Only rows with a hit have their words counted.
     spoiled = F.col("n_hit").isNotNull() & (20 * F.col("n_hit") >= n_words_of(F.col("text")))

@@ -77,3 +77,14 @@ def test_empty_and_null(spark):
     assert {r.n_hit for r in contamination(cases.table(spark, rows), none).collect()} == {0}
     assert drop_contaminated(cases.table(spark, rows), none).count() == len(rows)
     assert {(r.n_words, r.contaminated) for r in contamination(cases.with_nulls(spark), bench).collect()} == {(0, False)}
+
+
+def test_items_that_share_a_template(spark):
+    template = " ".join(f"w{i}" for i in range(18))
+    items = [(i, f"{template} answer{i}") for i in range(40)] + [(40 + i, f"start{i} {template}") for i in range(20)] + [(70, template), (71, template), (72, "w3 w3 w3")]
+    texts = [template, f"so {template} answer7 and {template} answer8", " ".join(template.split()[:12]), " ".join(template.split()[4:17]) + " answer3", f"start5 {template}" * 2, "w3 w3 w3 w3 w3", template + " other" * 400]
+    rows = [(i, texts[i % len(texts)], None) for i in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = cases.table(spark, rows)
+    assert sorted(_got(contamination(docs, bench)), key=repr) == sorted(_expected(rows, items), key=repr)
+    assert all(len(r.item_ids) == r.n_items for r in contamination(docs, bench).collect())
