@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.frames import once
-from corpusloom.llm.ngrams import winnowed, with_run_hashes, word_hashes
+from corpusloom.llm.ngrams import paired, winnowed, with_run_hashes, word_hashes
 from corpusloom.llm.rows import as_row, column, materialize, same_document, text_key
 
 WINDOW = 13  # words of a benchmark window
@@ -30,20 +30,30 @@ def words_of(text: Column) -> Column:
 
 
 def fingerprints(words: DataFrame, lengths: list[int], *names: str) -> DataFrame:
-    """(names, span, at, hash): winnowed k-grams of ``words``, such that texts with a common span of any of ``lengths`` share one there."""
+    """(names, span, at, hash, around): winnowed k-grams of ``words``, such that texts with a common span of any of ``lengths`` share one there.
+
+    ``around`` holds the hashes of the whole spans around the k-gram: element d begins d words before it, null if that isn't in the text.
+    """
     hashed = once(words.filter(F.size("words") >= min(lengths)), each=word_hashes(F.col("words"))).drop("words")
     kept = []
     for length in lengths:
         gram = min(GRAM, length)
         hashed = with_run_hashes(hashed, "each", gram, f"grams{length}")
-        kept.append(_marks(F.col(f"grams{length}"), length, length - gram + 1))
+        hashed = once(hashed, **{f"whole{length}": paired(f"grams{length}", length - gram)})
+        kept.append(_marks(length, length - gram + 1))
     return hashed.select(*names, F.inline(F.concat(*kept)))
 
 
-def _marks(grams: Column, length: int, window: int) -> Column:
-    """The winnowed grams of a text that has at least ``length`` words, with the span that they stand for."""
-    marks = F.transform(winnowed(grams, window), lambda m: F.struct(F.lit(length).alias("span"), m["at"].alias("at"), m["hash"].alias("hash")))
-    return F.when(F.size("each") >= length, marks).otherwise(F.array().cast("array<struct<span:int,at:int,hash:bigint>>"))
+def _marks(length: int, window: int) -> Column:
+    """The winnowed grams of a text that has at least ``length`` words, with the spans that they stand for."""
+
+    def mark(m: Column) -> Column:
+        begins = [m["at"] - d for d in range(window)]
+        around = F.array(*[F.when(i <= F.size("each") - length, F.get(F.col(f"whole{length}"), i)) for i in begins])
+        return F.struct(F.lit(length).alias("span"), m["at"].alias("at"), m["hash"].alias("hash"), around.alias("around"))
+
+    marks = F.transform(winnowed(F.col(f"grams{length}"), window), mark)
+    return F.when(F.size("each") >= length, marks).otherwise(F.array().cast("array<struct<span:int,at:int,hash:bigint,around:array<bigint>>>"))
 
 
 def n_words_of(text: Column) -> Column:
@@ -52,36 +62,33 @@ def n_words_of(text: Column) -> Column:
 
 
 def _windows(benchmark: DataFrame) -> DataFrame:
-    """(words, span, window, ids, bearers): the different windows of the benchmark, their hash, the ids of the items that hold them, a digest of these."""
+    """(span, hash, there, window, ids, bearers): the different windows of the benchmark by their kept k-gram, its place and their own hash, with the
+    ids of the items that hold them and a digest of these."""
     words = benchmark.select(column("item_id").cast("string").alias("item_id"), words_of(column("text")).alias("words")).filter("size(words) > 0")
     texts = once(words.groupBy("words").agg(F.collect_set("item_id").alias("ids")), span=F.least(F.size("words"), F.lit(WINDOW)))
     cut = F.expr("transform(sequence(0, size(words) - span), i -> slice(words, i + 1, span))")
-    each = texts.select("ids", F.explode(F.array_distinct(cut)).alias("words"))
-    held = each.select("words", F.explode_outer("ids").alias("item_id")).groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
-    return held.select("words", F.size("words").alias("span"), F.xxhash64("words").alias("window"), "ids", F.md5(F.to_json("ids")).alias("bearers"))
+    each = texts.select("ids", F.explode(F.array_distinct(cut)).alias("words")).select("words", F.explode_outer("ids").alias("item_id"))
+    held = each.groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
+    spans = sorted(r["span"] for r in texts.select("span").distinct().collect()) or [WINDOW]  # at most 13 numbers
+    marks = fingerprints(held.select("words", "ids", F.size("words").alias("its_span")), spans, "ids", "its_span").filter("span = its_span")
+    return marks.select("span", "hash", F.col("at").alias("there"), F.get("around", "at").alias("window"), "ids", F.md5(F.to_json("ids")).alias("bearers"))
 
 
 def _occurrences(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc_id, key, bearers, begin, end): places of benchmark windows in documents, as word numbers from 0; end is exclusive.
 
     A kept hash of a document meets only the places that it has inside of windows (at most 6), however many windows and
-    items share it; the window around it is then looked up as a whole.
+    items share it.  The window around it carries its own hash, which is then looked up, so texts are read once and never
+    shuffled.  Both 64-bit hashes have to agree.
     """
     spans = sorted(r["span"] for r in windows.select("span").distinct().collect())  # at most 13 numbers
     if not spans:
         return docs.select("doc_id", "key", F.lit("").alias("bearers"), F.lit(0).alias("begin"), F.lit(0).alias("end")).limit(0)
     ours = fingerprints(docs.select("doc_id", "key", words_of(F.col("text")).alias("words")), spans, "doc_id", "key")
-    theirs = fingerprints(windows.select("words", F.col("span").alias("its_span")), spans, "its_span")
-    theirs = theirs.filter("span = its_span").select("span", "hash", F.col("at").alias("there")).distinct()
-    met = ours.join(theirs, ["span", "hash"]).select("doc_id", "key", F.struct("span", (F.col("at") - F.col("there")).alias("begin")).alias("meet")).filter("meet.begin >= 0")
-    met = materialize(met.groupBy("doc_id", "key").agg(F.collect_set("meet").alias("meets")), "meets")
-    found = docs.join(met, same_document(docs, met)).select(docs["doc_id"], docs["key"], words_of(docs["text"]).alias("words"), "meets")
-    found = once(found, words=F.col("words"))
-    around = F.expr("transform(filter(meets, m -> m.begin + m.span <= size(words)), m -> struct(m.begin as begin, slice(words, m.begin + 1, m.span) as words))")
-    places = once(found.select("doc_id", "key", F.inline(around)), window=F.xxhash64("words"))
-    known = windows.select("window", F.col("words").alias("its_words"), "bearers")
-    same = places.join(known, "window").filter("words = its_words")
-    return same.select("doc_id", "key", "bearers", "begin", (F.col("begin") + F.size("words")).alias("end"))
+    met = ours.join(windows.select("span", "hash", "there").distinct(), ["span", "hash"])
+    met = met.select("doc_id", "key", "span", "hash", "there", (F.col("at") - F.col("there")).alias("begin"), F.get("around", "there").alias("window"))
+    same = met.filter("window IS NOT NULL").join(windows.drop("ids"), ["span", "hash", "there", "window"])
+    return same.select("doc_id", "key", "bearers", "begin", (F.col("begin") + F.col("span")).alias("end"))
 
 
 def _read(docs: DataFrame) -> DataFrame:

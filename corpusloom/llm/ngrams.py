@@ -21,12 +21,15 @@ def with_run_hashes(df: DataFrame, each: str, size: int, name: str) -> DataFrame
     have, source = 1, each
     while have < size:
         step = min(have, size - have)
-        df = once(df, **{name: _paired(source, step)})
+        df = once(df, **{name: paired(source, step)})
         have, source = have + step, name
     return df if size > 1 else df.withColumn(name, F.col(each))
 
 
-def _paired(source: str, step: int) -> Column:
+def paired(source: str, step: int) -> Column:
+    """Each hash joined with the one ``step`` places after it; the hash itself if there is none or ``step`` is 0."""
+    if step == 0:
+        return F.col(source)
     return F.transform(source, lambda h, i: F.xxhash64(h, F.get(F.col(source), i + step)))
 
 
