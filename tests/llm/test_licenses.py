@@ -1,5 +1,7 @@
+import re
+
 import cases
-from corpusloom.llm.licenses import RULES, SENTENCES, Rule, Scanner, normal, scan_licenses
+from corpusloom.llm.licenses import RULES, SENTENCES, SPDX, Rule, Scanner, normal, scan_licenses
 
 MIT = """Copyright (c) 2020 Someone
 
@@ -70,6 +72,21 @@ ISC = """Permission to use, copy, modify, and/or distribute this software for an
 purpose with or without fee is hereby granted, provided that the above
 copyright notice and this permission notice appear in all copies."""
 
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+BSL = """Permission is hereby granted, free of charge, to any person or organization
+obtaining a copy of the software and accompanying documentation covered by
+this license (the "Software") to use, reproduce, display, distribute"""
+
 NOTICES = {
     ("mit-grant", "mit-notice", "as-is-mit"): MIT,
     ("isc-grant",): ISC,
@@ -90,11 +107,25 @@ NOTICES = {
     ("cc-by-4",): "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     ("cc0",): "Licensed under CC0 1.0.",
     ("unlicense",): "This is free and unencumbered software released into the public domain.",
+    ("gpl3-later",): "Licensed under the GNU General Public License, version 3 or later.",
+    ("gpl2-later",): "Licensed under the GNU General Public License, version 2 or any later version.",
+    ("lgpl3-free", "lgpl-hope"): (GPL.format(":", ",", 3) + HOPE).replace("GNU General", "GNU Lesser General").replace("program", "library"),
+    ("lgpl21-free", "lgpl-hope"): (GPL.format(";", ";", 2.1) + HOPE).replace("GNU General", "GNU Lesser General").replace("program", "library"),
+    ("agpl3-free", "gpl-hope"): (GPL.format(":", ",", 3) + HOPE).replace("GNU General", "GNU Affero General"),
+    ("lgpl3-free",): GPL.format(":", ",", 3).replace("GNU General", "GNU Lesser General"),
+    ("lgpl21-free",): GPL.format(";", ";", 2.1).replace("GNU General", "GNU Lesser General"),
+    ("agpl3-free",): GPL.format(":", ",", 3).replace("GNU General", "GNU Affero General"),
+    ("epl2-available",): EPL,
+    ("zlib-as-is", "zlib-grant"): ZLIB,
+    ("zlib-grant",): ZLIB.partition("arising")[2],
+    ("bsl1-grant",): BSL,
+    ("bsl1-distributed",): "Distributed under the Boost Software License, Version 1.0.",
     ("mit-grant",): MIT.partition("The above")[0],
     ("mit-released",): "Released under the MIT License.",
     ("mit-name",): "The MIT License (MIT)",
     ("bsd-released",): "Released under the BSD License.",
 }
+NOTICES |= {(f"spdx-{name}",): f"SPDX-License-Identifier: {name}" for name in SPDX}
 
 
 def test_every_rule_on_its_notice():
@@ -123,6 +154,48 @@ def test_length_of_a_line_does_not_matter():
     assert Scanner().identifiers(f" {'*' * 40} ".join(grant.split()))[0][1] == "mit-grant"
 
 
+def test_inside_of_sentences():
+    scan = Scanner().scan
+    assert scan("Code is released under the MIT License.")[0] == ["MIT"]
+    assert scan("License: MIT")[0] == ["MIT"] and scan("We discuss the MIT License, and others")[0] == []
+    assert scan("It is licensed under the Apache License, Version 2.0, since last year.")[0] == ["Apache-2.0"]
+    assert scan("// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-3.0-or-later\nint x;")[0] == ["MIT", "Apache-2.0", "GPL-3.0-or-later"]
+    assert scan("unlicensed under CC0 1.0x. SPDX-License-Identifier: Own-1.0")[0] == []
+
+
+def _plainly(text: str) -> list[str]:
+    """The identifiers by trying every form at every word."""
+    words, begins, ends = [], set(), set()
+    for piece in re.split(r"(?<=[.!?:;])(?=\s)|\n", text):
+        found = "".join(c if c.isalnum() else " " for c in piece.lower()).split()
+        if found:
+            begins.add(len(words))
+            words += found
+            ends.add(len(words))
+    forms = sorted(((form.split(), name) for name, known in SENTENCES.items() for form in known), key=lambda f: -len(f[0]))
+    tags = [(normal(name).split(), f"spdx-{name}") for name in sorted(SPDX, key=lambda n: -len(normal(n).split()))]
+    out, at = [], 0
+    while at < len(words):
+        fits = ((f, name) for f, name in forms if words[at : at + len(f)] == f and (len(f) >= 5 or name.startswith("spdx-") or (at in begins and at + len(f) in ends)))
+        form, name = next(fits, ([words[at]], None))
+        at += len(form)
+        while name:
+            out.append(name)
+            fits = ((f, n) for f, n in tags if name.startswith("spdx-") and words[at : at + 1] in (["or"], ["and"]) and words[at + 1 : at + 1 + len(f)] == f)
+            form, name = next(fits, ([], None))
+            at += len(form) + 1 if name else 0
+    return out
+
+
+def test_equals_plain_search(spark):
+    texts = [t or "" for _, t, _ in cases.texts()] + [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    notices = list(NOTICES.values())
+    texts += [f"We say: {a} and {b}\n{a}" for a, b in zip(notices, notices[1:] + notices[:1], strict=True)]
+    scanner = Scanner()
+    got = [[name for _, name, _ in scanner.identifiers(t)] for t in texts]
+    assert got == [_plainly(t) for t in texts] and sum(map(len, got)) > 100
+
+
 def test_rules_name_known_sentences():
     assert all(set(r.sequence) <= set(SENTENCES) for r in RULES)
     forms = [s for known in SENTENCES.values() for s in known]
