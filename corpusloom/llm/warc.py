@@ -235,7 +235,8 @@ def write_archives(pages: DataFrame, folder: str, file_bytes: int = FILE_BYTES,
     infos = files.select(*_KEY, "gz", "file", group).join(F.broadcast(bundles), "group").select(*_KEY, "gz", "file", F.lit(None).cast("binary").alias("payload"), F.col("bundle").alias("group"))
     wide = _with_groups(rows, starts).select("page_id", "url", "sha", "length", F.lit(-1).cast("long").alias("nth"), F.lit(None).cast("binary").alias("gz"), F.lit(None).cast("long").alias("file"), "payload", "group")
     order = ["group", unknown, "page_id", "url", "sha", "nth"]
-    every = _merged(wide.union(infos).repartition("group").sortWithinPartitions(*order)).sortWithinPartitions("file", "place")
+    tasks = max(2 * len(numbers), 1)  # as many as the stored sizes give files, so a task has a few groups at most
+    every = _merged(wide.union(infos).repartition(tasks, "group").sortWithinPartitions(*order)).sortWithinPartitions("file", "place")
     # Spark's text writer puts bytes as they are and ends each row with a separator: the 0 that every member ends with.
     bare = F.substring("gz", F.lit(1), F.octet_length("gz") - 1).cast("string").alias("value")
     incoming = f"{folder.rstrip('/')}.incoming-{uuid.uuid4().hex}"
