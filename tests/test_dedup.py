@@ -199,3 +199,36 @@ def test_components(spark, monkeypatch):
         df = spark.createDataFrame(edges + [(b, a) for a, b in edges[:20]], "a long, b long").repartition(4)
         assert {r.node: r.root for r in graph.components(df).collect()} == want
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_tokens_travel_in_packs_of_few_bytes():
+    """A set of 1,500 members has at most .34 tokens a member, and a token moves in fewer than 9 bytes (24 and more as a row of its own)."""
+    import numpy as np
+
+    rng = np.random.default_rng(12)
+    tokens_of, parts = G.PigeonholeTokens(0.85), 7
+    sets = {o: np.unique(rng.integers(0, 2**63, 1500, dtype=np.uint64)) for o in (-5, 3, 4, 900, 2**56 + 1)}
+    tokens = {o: tokens_of(g)[0] for o, g in sets.items()}
+    for places in (False, True):
+        packer = G._Packer(parts, places)
+        for o in reversed(sets):
+            packer.add(o, len(sets[o]), tokens[o])
+        packs = [p for batch in packer.packed() for p in batch.to_pylist()]
+        found, size = set(), 0
+        for pack in packs:
+            size += sum(len(pack[c]) for c in ("ords", "sizes", "counts", "places", "tokens"))
+            rows = G._unpacked(pack, places)
+            assert set(rows["size"]) == {1500}
+            found |= {(int(o), int(t) % 2**32, int(p)) for o, t, p in zip(rows["ord"], rows["token"], rows["place"], strict=True)}
+        want = {(o, int(t) % 2**32, i if places else 0) for o, ts in tokens.items() for i, t in enumerate(ts)}
+        n = sum(map(len, tokens.values()))
+        assert found == want and n < 0.34 * 5 * 1500 and size < (13 if places else 9) * n
+
+
+def test_rows_with_the_same_key_or_none(spark):
+    text = "the quick brown fox jumps over the lazy dog near the river bank " * 3
+    rows = [(1, text), (1, text), (2, text + "!"), (None, text + "?"), (3, "something else entirely")]
+    df = spark.createDataFrame([(o, f"r{o}", t) for o, t in rows], "ord bigint, id string, text string")
+    result = neardup.near_dedup(df)
+    assert {(r.ord, r.leader_ord) for r in result.dropped.collect()} == {(2, 1)}
+    assert sorted(str(r.ord) for r in result.kept.collect()) == ["1", "1", "3", "None"]
