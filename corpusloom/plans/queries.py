@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as X
-from corpusloom.functions.frames import materialize, once, scratch_dir
+from corpusloom.functions.frames import materialize, once, scratch_dir, ship_package
 from corpusloom.operators import cleaning, dedup, hamming, neardup, quality, report, sampling, schema, tokens
 from corpusloom.plans import runs
 from corpusloom.plans.config import CleanConfig, RunConfig, SamplingConfig
@@ -126,9 +126,8 @@ def sha1_sig(spark, folder):
 
 
 def char_ngrams(spark, folder):
-    grams = once(raw_docs(spark, folder).select("ord", "text"), grams=X.char_ngrams("text"))
-    joined = F.array_join(F.array_sort("grams"), "|")
-    return grams.select("ord", F.size("grams").cast("bigint").alias("grams"), F.md5(joined).alias("grams_md5"))
+    grams = ship_package(raw_docs(spark, folder)).select("ord", X.char_ngrams_digest("text").alias("digest"))
+    return grams.select("ord", "digest.grams", "digest.grams_md5")
 
 
 def turn_jaccard(spark, folder):
