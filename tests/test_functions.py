@@ -209,3 +209,46 @@ def test_costly_columns_are_not_copied_into_filters(spark):
     df = once(spark.createDataFrame([("a",)], "text string"), text=X.normalize_text("text"))
     plan = once(df, n=X.token_count("text")).filter("n > 0")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("{C}&&") == 1
+
+
+def test_char_ngrams_digest(spark):
+    import hashlib
+
+    texts = [None, "", " \n", "ab", "ABCDE", "abcdef", "aaaaaaaaaa", "one two one two", "😀é中文字符 abc", "| a|b|c"]
+    want = []
+    for t in texts:
+        v = "".join((t or "").lower().split())
+        grams = sorted(set() if not v else {v} if len(v) <= 5 else {v[i : i + 5] for i in range(len(v) - 4)})
+        want.append((len(grams), hashlib.md5("|".join(grams).encode()).hexdigest()))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    found = df.select("i", X.char_ngrams_digest("text").alias("d"), F.size(X.char_ngrams("text")).alias("n")).orderBy("i").collect()
+    assert [(r.d.grams, r.d.grams_md5) for r in found] == want and [r.n for r in found] == [n for n, _ in want]
+
+
+def test_verdicts_of_several_configurations_read_the_texts_once(spark, tmp_path):
+    from corpusloom.plans import queries
+
+    texts = ["", "short", "a plain text " * 40, "xxxxxxxxxxxxxxxxxxxxxxxxx" * 30, "http://a.b http://c.d " * 40, "mail me@example.com " * 30, None]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.config_scoping(spark, str(tmp_path))
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan parquet") == 1
+    forms = {"flat": queries.CLEANING, "section": {"cleaning": queries.CLEANING, "min_chars": 1}, "none": None}
+    rows = queries.tables.load_tables(spark, str(tmp_path), ("document",))
+    want = set()
+    for form, c in forms.items():
+        config = queries.CleanConfig.of(c)
+        cleaned = queries.cleaning.clean(rows, config, canonical=True).filter("filtered")
+        want |= {(form, r.filter_reason, r["count"]) for r in cleaned.groupBy("filter_reason").count().collect()}
+        same = queries.cleaning.verdicts(rows, config, keep=["ord", "text"]).filter("filtered")
+        assert {tuple(r) for r in same.select("ord", "text", "filter_reason").collect()} == {tuple(r) for r in cleaned.select("ord", "text", "filter_reason").collect()}
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 4
+
+
+def test_html_lines_take_arrow_arrays():
+    import pyarrow as pa
+
+    from corpusloom.sources.html import html_lines
+
+    pages = pa.array([None, "", "<p>a</p><script>x</script><p>b</p>"] * 200)
+    assert html_lines.func(pages).to_pylist() == [None, "", "a\nb"] * 200 and html_lines.func(pages.slice(0, 0)).to_pylist() == []
