@@ -232,3 +232,36 @@ def test_rows_with_the_same_key_or_none(spark):
     result = neardup.near_dedup(df)
     assert {(r.ord, r.leader_ord) for r in result.dropped.collect()} == {(2, 1)}
     assert sorted(str(r.ord) for r in result.kept.collect()) == ["1", "1", "3", "None"]
+
+
+def test_pairs_travel_in_packs_of_few_bytes():
+    """A pair that met leaves its task in fewer than 16 bytes, with the number of tokens that its sizes call for; sets of one class meet in its own scheme alone."""
+    import numpy as np
+
+    rng = np.random.default_rng(13)
+    tokens_of, cells = G.PigeonholeTokens(0.85), 5
+    every = rng.integers(0, 2**63, 1500, dtype=np.uint64)
+    sets = [np.unique(np.r_[every[int(rng.integers(0, 60)) :], rng.integers(0, 2**63, 20, dtype=np.uint64)]) for _ in range(60)]
+    tokens = [tokens_of(s)[0] for s in sets]
+    token = np.concatenate(tokens).view(np.int64)
+    of = np.repeat(np.arange(len(sets)), [len(t) for t in tokens])
+    order = np.lexsort((of, token))
+    ords = np.arange(len(sets)) * 1000 - 3
+    size = np.array([len(s) for s in sets])
+    rows = {"token": token[order], "ord": ords[of[order]], "size": size[of[order]], "place": np.zeros(len(of), np.int64)}
+    buckets = G._Buckets(tokens_of, 128, 4, cells)
+    rows |= {"facts": rows["size"] << 32, "gone": np.zeros(len(of), bool)}
+    packs = [p for step in (buckets.read(rows), buckets.close(), buckets.flushed(1)) for batch in step for p in batch.to_pylist()]
+    seen = {}
+    for pack in packs:
+        found = G._unpacked_pairs(pack)
+        assert set(G._cells(found["lo"], cells)) == {pack["cell"]}
+        seen |= {(lo, hi): (n, need) for lo, hi, n, need in zip(*(found[c].tolist() for c in ("lo", "hi", "seen", "need")), strict=True)}
+    one_class = len({tokens_of._class_of(int(n)) for n in size}) == 1
+    shared = {(a, b): len(np.intersect1d(tokens[a], tokens[b])) for a in range(60) for b in range(a)}
+    for (a, b), n in shared.items():
+        alike = len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) >= 0.85
+        met = seen.get((int(ords[b]), int(ords[a])))
+        assert not alike or met and met[0] >= met[1]
+        assert met is None or met[0] < n or not one_class or not tokens_of.facts(token, size[of])["upper"].any()
+    assert len(seen) > 1000 and sum(len(p[c]) for p in packs for c in ("los", "counts", "his", "seen", "need", "left")) < 16 * len(seen)

@@ -252,3 +252,13 @@ def test_html_lines_take_arrow_arrays():
 
     pages = pa.array([None, "", "<p>a</p><script>x</script><p>b</p>"] * 200)
     assert html_lines.func(pages).to_pylist() == [None, "", "a\nb"] * 200 and html_lines.func(pages.slice(0, 0)).to_pylist() == []
+
+
+def test_api_keys_are_looked_for_at_their_openings_alone(spark):
+    """The opening rules out most positions, and no match of any alternative."""
+    names = ["api_key", "API-KEY", "apikey", "access-key", "Secret", "ſecret", "tOKEN", "toKen", "PASSWORD", "paſſword"]
+    good = [f"x {n} = 'abcd_1234" for n in names] + ["sk-abcdefghij", "SK-abcdefghij", "xsK-abcdefghij", "ſk-abcdefghij"]
+    bad = ["api_key = abc", "sk-abc", "key: abcdefghij", "a: abcdefghij", "secrets: abcdefghij", ""]
+    assert P.API_KEY.startswith("(?=")
+    df = spark.createDataFrame([(t,) for t in good + bad], "text string").select("text", F.col("text").rlike(P.API_KEY).alias("found"))
+    assert {r.text for r in df.collect() if r.found} == set(good)
