@@ -4,12 +4,15 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from compare import differences, duck
-from corpusloom.plans import runs
+from corpusloom.plans import queries, runs
 from corpusloom.plans.config import RunConfig
 from corpusloom.plans.oracle import SQL
 from corpusloom.plans.queries import QUERIES
+from corpusloom.sources import sinks
+from corpusloom.sources.jsonl import load_corpus
 
 SMALL = "/root/testdata/sf0.001"
 SENTENCE = "Rivers carry sand and silt from the mountains to the sea, and the coast grows where they slow down."
@@ -36,6 +39,33 @@ def table(path):
     return [line.split(",") for line in part.read_text(encoding="utf-8-sig").splitlines()]
 
 
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getPath() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_written_outputs_leave_no_shuffle_and_are_compressed(spark, tmp_path):
+    rows = spark.range(2000).select(F.col("id").alias("ord"), F.repeat(F.lit(SENTENCE), 3).alias("text"), F.lit("web").alias("source"))
+    before = shuffle_files(spark)
+    sinks.write_jsonl(rows, str(tmp_path / "lines"))
+    sinks.write_corpus(rows.repartition(4, "ord"), str(tmp_path / "corpus"), "source")
+    assert not shuffle_files(spark) - before
+    assert [p for p in (tmp_path / "corpus").rglob("part-*") if not p.name.endswith(".zstd.parquet")] == []
+    assert spark.read.json(str(tmp_path / "lines")).count() == spark.read.parquet(str(tmp_path / "corpus")).count() == 2000
+
+
+def test_raw_files_are_compressed_lines_in_order(spark, tmp_path):
+    texts = [f"{i} {SENTENCE}" for i in range(300)]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    before = shuffle_files(spark)
+    path = queries.raw_files(spark, str(tmp_path))
+    assert not shuffle_files(spark) - before
+    files = [p for p in Path(path).iterdir() if p.name.startswith("part-")]
+    assert sum(p.stat().st_size for p in files) < sum(map(len, texts)) / 3
+    rows = load_corpus(spark, path, pattern=queries.RAW_FILES).orderBy("ord").collect()
+    assert [(r.ord, r.text) for r in rows] == list(enumerate(texts, 1))
+
+
 def test_full_run_and_report(spark, folder):
     config = RunConfig.of({"sampling": {"max_records": 10, "source_ratios": {"web": 0.5, "document": 0.5}}, "dedup": {"approximate_threshold": 0.8}})
     scratch = Path(spark.conf.get("spark.checkpoint.dir"))
