@@ -1,5 +1,6 @@
 """Row-level functions on hand-made values, and against plain Python on odd characters."""
 
+import random
 import re
 
 import pytest
@@ -11,6 +12,7 @@ from corpusloom.functions.frames import once
 from corpusloom.functions.rounding import python_round
 from corpusloom.operators import cleaning, quality, tokens
 from corpusloom.operators.dedup import simhash_signatures
+from corpusloom.plans import queries
 from corpusloom.plans.config import CleanConfig
 from corpusloom.sources.html import page_lines
 
@@ -78,6 +80,28 @@ def test_counters_agree_with_python(spark):
         assert (r.symbols, r.alnum, r.distinct) == (sum(c in P.CODE_SYMBOLS for c in seen), sum(c.isalnum() for c in seen), len(set(seen))), r.text
 
 
+def test_table_of_classes_counts_as_the_patterns_do(spark):
+    rng = random.Random(7)
+    alphabet = list("ab_Z''..1290٣²Ⅷ中鿿é😀😀~;/ \n\t　 ́") + ["a'b", "it's_a'", "1.2.3", "a'b'c'd", "__", "\U0001d7d8"]
+    texts = [*ODD, *["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)], "x" * 70_000, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    rest = F.regexp_replace(X.visible_chars("text"), "[A-Za-z]+", "")
+    plain = {
+        "visible": F.length(X.visible_chars("text")), "zh": X.count_class(rest, f"[{P.CJK_RANGE}]"), "letters": F.length(X.visible_chars("text")) - F.length(rest),
+        "digits": X.count_class(rest, P.digit_class()), "symbols": X.count_class(rest, P.CODE_SYMBOL_CLASS), "alnum": X.count_class(X.visible_chars("text"), P.ALNUM),
+        "distinct": X.count_distinct_chars(X.visible_chars("text")), "max_run": X.max_run("text"),
+    }
+    counted = tokens.add_token_counts(cleaning.with_counters(df)).withColumn("plain", F.struct(*[c.cast("bigint").alias(n) for n, c in plain.items()]))
+    for r in counted.withColumn("tokens", X.tokens("text")).collect():
+        assert {n: r.counters[n] for n in plain} == r.plain.asDict(), r.text
+        assert r.token_count == (None if r.tokens is None else len(r.tokens)), r.text
+
+
+def test_quality_features_looks_at_each_text_once(spark):
+    plan = queries.quality_features(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(P.SENSITIVE) == plan.count(P.URL) == 1
+
+
 def test_flags_of_contact_text(spark):
     [(flags,)] = evaluate(spark, ["ask jo.doe@mail.example.net or ring 15900001111; Token: abcd-1234-efgh, bearer x.y"], X.pii_flags("text"))
     assert flags == ["email", "phone", "api_key", "sensitive_keyword"]
