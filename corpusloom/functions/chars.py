@@ -21,7 +21,9 @@ SPACE, CJK, LETTER, DIGIT_VALUED, SYMBOL, ALNUM, DECIMAL = (1 << i for i in rang
 TEXTS = 256  # whose characters a task holds at once
 _SURROGATES = range(0xD800, 0xE000)
 _COUNTED = {"visible": SPACE, "zh": CJK, "letters": LETTER, "digits": DIGIT_VALUED, "symbols": SYMBOL, "alnum": ALNUM}
-CHAR_COUNTERS = [*_COUNTED, "distinct", "max_run"]
+CHAR_COUNTERS = [*_COUNTED, "distinct", "keywords", "max_run"]
+_KEYWORD_CHARS = max(map(len, P.CODE_KEYWORDS))
+_KEYWORDS = np.unique([int.from_bytes(k.encode().ljust(_KEYWORD_CHARS, b"\0"), "big") for k in P.CODE_KEYWORDS])
 
 
 @lru_cache(maxsize=None)
@@ -74,11 +76,27 @@ def _longest_runs(t: _Texts) -> np.ndarray:
     return longest
 
 
+def _keywords(t: _Texts) -> np.ndarray:
+    """Words (runs of letters, numbers and underscores) that are keywords."""
+    words = t.are(ALNUM) | (t.points == ord("_"))
+    edges = np.flatnonzero(words[1:] != words[:-1]) + 1
+    edges = (np.r_[0, edges] if words[0] else edges).reshape(-1, 2)  # the last character is a line end
+    edges = edges[edges[:, 1] - edges[:, 0] <= _KEYWORD_CHARS]
+    starts, lengths = edges[:, 0], edges[:, 1] - edges[:, 0]
+    packed, plain = np.zeros(len(starts), np.int64), np.ones(len(starts), bool)
+    for k in range(_KEYWORD_CHARS):
+        char = np.where(k < lengths, t.points[np.minimum(starts + k, len(t.points) - 1)], 0)
+        plain &= char < 128
+        packed = (packed << 8) + np.where(plain, char, 0)
+    found = starts[plain & np.isin(packed, _KEYWORDS)]
+    return np.bincount(np.searchsorted(t.starts, found, side="right") - 1, minlength=len(t.starts))
+
+
 def _char_counts(texts: list[str], classes: bytes) -> dict[str, np.ndarray]:
     t = _Texts(texts, classes)
     blanks = frozenset(P.WS_CHARS)
     counts = {name: t.sums(~t.are(bit) if bit == SPACE else t.are(bit)) for name, bit in _COUNTED.items()}
-    return counts | {"distinct": np.array([len(set(x) - blanks) for x in texts], np.int64), "max_run": _longest_runs(t)}
+    return counts | {"distinct": np.array([len(set(x) - blanks) for x in texts], np.int64), "keywords": _keywords(t), "max_run": _longest_runs(t)}
 
 
 def _joined(places: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> np.ndarray:
