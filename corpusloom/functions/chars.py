@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import patterns as P
 
-SPACE, CJK, LETTER, DIGIT_VALUED, SYMBOL, ALNUM, DECIMAL = (1 << i for i in range(7))
+SPACE, CJK, LETTER, DIGIT_VALUED, SYMBOL, ALNUM, DECIMAL, WORD = (1 << i for i in range(8))
 TEXTS = 256  # whose characters a task holds at once
 _SURROGATES = range(0xD800, 0xE000)
 _COUNTED = {"visible": SPACE, "zh": CJK, "letters": LETTER, "digits": DIGIT_VALUED, "symbols": SYMBOL, "alnum": ALNUM}
@@ -28,7 +28,7 @@ _KEYWORDS = np.unique([int.from_bytes(k.encode().ljust(_KEYWORD_CHARS, b"\0"), "
 
 @lru_cache(maxsize=None)
 def _asked(_: str, spark: SparkSession) -> bytes:
-    patterns = {SPACE: P.WS, CJK: f"[{P.CJK_RANGE}]", LETTER: "[A-Za-z]", DIGIT_VALUED: P.digit_class(), SYMBOL: P.CODE_SYMBOL_CLASS, ALNUM: P.ALNUM, DECIMAL: P.DIGIT}
+    patterns = {SPACE: P.WS, CJK: f"[{P.CJK_RANGE}]", LETTER: "[A-Za-z]", DIGIT_VALUED: P.digit_class(), SYMBOL: P.CODE_SYMBOL_CLASS, ALNUM: P.ALNUM, DECIMAL: P.DIGIT, WORD: P.WORD}
     codes = spark.range(0x110000, numPartitions=1).filter(~F.col("id").between(_SURROGATES[0], _SURROGATES[-1]))
     chars = codes.select("id", F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
     found = chars.select("id", reduce(Column.__add__, [F.when(F.col("c").rlike(p), bit).otherwise(0) for bit, p in patterns.items()]).alias("classes"))
@@ -78,7 +78,7 @@ def _longest_runs(t: _Texts) -> np.ndarray:
 
 def _keywords(t: _Texts) -> np.ndarray:
     """Words (runs of letters, numbers and underscores) that are keywords."""
-    words = t.are(ALNUM) | (t.points == ord("_"))
+    words = t.are(WORD)
     edges = np.flatnonzero(words[1:] != words[:-1]) + 1
     edges = (np.r_[0, edges] if words[0] else edges).reshape(-1, 2)  # the last character is a line end
     edges = edges[edges[:, 1] - edges[:, 0] <= _KEYWORD_CHARS]

@@ -86,10 +86,11 @@ def test_table_of_classes_counts_as_the_patterns_do(spark):
     texts = [*ODD, *["".join(rng.choices(alphabet, k=rng.randrange(40))) for _ in range(3000)], "x" * 70_000, "", None]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     rest = F.regexp_replace(X.visible_chars("text"), "[A-Za-z]+", "")
+    words = F.regexp_extract_all("text", F.lit(P.WORD + "+"), F.lit(0))
     plain = {
         "visible": F.length(X.visible_chars("text")), "zh": X.count_class(rest, f"[{P.CJK_RANGE}]"), "letters": F.length(X.visible_chars("text")) - F.length(rest),
         "digits": X.count_class(rest, P.digit_class()), "symbols": X.count_class(rest, P.CODE_SYMBOL_CLASS), "alnum": X.count_class(X.visible_chars("text"), P.ALNUM),
-        "distinct": X.count_distinct_chars(X.visible_chars("text")), "max_run": X.max_run("text"), "keywords": X.code_keyword_count("text"),
+        "distinct": X.count_distinct_chars(X.visible_chars("text")), "max_run": X.max_run("text"), "keywords": F.size(F.filter(words, lambda w: w.isin(P.CODE_KEYWORDS))),
     }
     counted = tokens.add_token_counts(cleaning.with_counters(df)).withColumn("plain", F.struct(*[c.cast("bigint").alias(n) for n, c in plain.items()]))
     for r in counted.withColumn("tokens", X.tokens("text")).collect():
