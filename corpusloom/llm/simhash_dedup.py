@@ -71,7 +71,8 @@ def links(prints: DataFrame, max_bits: int) -> DataFrame:
     postings = prints.select("fingerprint", F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in masks])).alias("places", "bytes"))
     left = postings.withColumnRenamed("fingerprint", "a")
     right = postings.withColumnRenamed("fingerprint", "b")
-    pairs = left.join(right, ["places", "bytes"]).filter("a < b")
+    # Spark sizes postings like the fingerprints that they come from, which are many times fewer, and would broadcast them through the driver.
+    pairs = left.join(right.hint("merge"), ["places", "bytes"]).filter("a < b")
     apart = F.col("a").bitwiseXOR(F.col("b"))
     tally = sum((F.when(_byte(apart, p) == 0, 1).otherwise(0) for p in range(8)), F.lit(0))
     kept = pairs.filter((tally >= least) & (F.bit_count(apart) <= max_bits))

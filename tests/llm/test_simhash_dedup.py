@@ -2,8 +2,9 @@ import re
 
 import cases
 import xxhash
+from corpusloom.functions.frames import materialize
 from corpusloom.llm.components import components
-from corpusloom.llm.simhash_dedup import drop_near_duplicates, near_duplicates
+from corpusloom.llm.simhash_dedup import drop_near_duplicates, links, near_duplicates
 
 
 def _print(text: str | None, width: int) -> int:
@@ -73,3 +74,11 @@ def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(500)] + [(i + 1, i) for i in range(500)] + [(1000, 1001), (7, 7), (9000, 9000)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(501)} | {1000: 1000, 1001: 1000}
+
+
+def test_postings_are_not_broadcast(spark):
+    prints = materialize(spark.range(1000).selectExpr("xxhash64(id) AS fingerprint"), "prints")
+    near = prints.union(prints.selectExpr("fingerprint ^ 3"))
+    plan = links(near, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    assert links(near, 2).count() == 1000
